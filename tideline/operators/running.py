@@ -55,13 +55,14 @@ class Fold:
         return (F.greatest if self.op == "max" else F.least)(before, here)
 
 
-def chunk_levels(order: Column, bits: int = CHUNK_BITS) -> list[Column]:
+def chunk_levels(order: Column, bits: int | None = None) -> list[Column]:
     """Chunk numbers of an integer order column, fine to coarse.
 
     With 16 bits, no chunk has more than 65,536 order values, no second-level chunk more than
     65,536 chunks, and the top level has one entry per 2^32 order values (71 minutes in
     microseconds; 233 entries for 10^12 numbered rows).
     """
+    bits = CHUNK_BITS if bits is None else bits
     return [F.shiftright(order, bits), F.shiftright(order, 2 * bits)]
 
 

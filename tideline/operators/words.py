@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 from tideline.functions.text import words_of
 from tideline.operators.running import Fold, chunk_levels, running
 from tideline.operators.skew import HOT_ROWS
+from tideline.session import ship_by_value
+
+ship_by_value(__name__)
 
 
 def tokenize(

@@ -1 +1,238 @@
-"""Queries that run the streaming forms."""
+"""Queries that run the streaming forms over the events until none are left.
+
+Checkpoint and output lie in the cluster's shared folder. Results that a watermark closes
+lack the last ones, as they would on a running stream; their SQL form says so.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tideline.functions.time import HOUR
+from tideline.operators import words
+from tideline.plans.registry import EVENTS_SQL, SQL, cents, load, query
+from tideline.session import ROCKSDB, use_utc, work_folder
+from tideline.sources.sinks import batched_writer, write_stream
+from tideline.streaming import batches, forms
+
+
+def stream(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """A table's file as a stream."""
+    use_utc(spark)
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    schema = load(spark, sf_dir, table).schema
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", f"{table}.parquet")
+    return reader.parquet(sf_dir)
+
+
+def event_stream(spark, sf_dir) -> DataFrame:
+    rows = stream(spark, sf_dir, "events").withColumn("cents", cents("value"))
+    return rows.withColumn("ts", F.col("ts").cast("timestamp"))  # watermarks need this type
+
+
+def finish(rows: DataFrame, name: str) -> DataFrame:
+    """Run an append-mode stream to its end and read what it wrote."""
+    spark = rows.sparkSession
+    folder = work_folder(spark, name)
+    out = f"{folder}/out"
+    writer = write_stream(rows, "parquet", checkpoint=f"{folder}/checkpoint", target=out)
+    writer.start().awaitTermination()
+    return spark.read.schema(rows.schema).parquet(out)
+
+
+def finish_batches(rows: DataFrame, name: str, make, mode: str = "append") -> str:
+    """Run a stream through a ``foreachBatch`` writer; returns its folder."""
+    folder = work_folder(rows.sparkSession, name)
+    writer = rows.writeStream.outputMode(mode).option("checkpointLocation", f"{folder}/checkpoint")
+    writer.foreachBatch(make(folder)).trigger(availableNow=True).start().awaitTermination()
+    return folder
+
+
+@query(SQL["word_count"])
+def stream_word_count(spark, sf_dir):
+    counts = words.word_count(words.tokenize(stream(spark, sf_dir, "documents"), "text"))
+    folder = finish_batches(counts, "words", batches.replace_writer, "complete")
+    return spark.read.schema(counts.schema).parquet(f"{folder}/out")
+
+
+_CLOSED = "(SELECT max(ts) - INTERVAL 1 HOUR FROM events)"
+
+
+@query(f"SELECT * FROM ({SQL['hourly_top_driver']}) WHERE window_end <= {_CLOSED}")
+def stream_hourly_top_driver(spark, sf_dir):
+    rows = event_stream(spark, sf_dir)
+    return finish(forms.hourly_top_driver(rows, "ts", "user_id", "cents", "1 hour"), "top")
+
+
+@query(f"SELECT * FROM ({SQL['sliding_event_time']}) WHERE window_end <= {_CLOSED}")
+def stream_sliding_count(spark, sf_dir):
+    rows = event_stream(spark, sf_dir)
+    counts = forms.window_count(rows, "ts", "1 hour", "2 hours", "1 hour", ["user_id"])
+    return finish(counts, "sliding")
+
+
+@query(f"SELECT * FROM ({SQL['driving_sessions']}) WHERE session_end <= {_CLOSED}")
+def stream_driving_sessions(spark, sf_dir):
+    rows = event_stream(spark, sf_dir).withColumn("throttle", (F.col("cents") % 1000) / 100)
+    found = forms.driving_sessions(rows, "user_id", "ts", "value", "throttle", "6 hours", "1 hour")
+    return finish(found, "sessions").withColumn("erraticness", F.round("erraticness", 4))
+
+
+@query(f"SELECT * FROM ({SQL['session_dynamic_gap']}) WHERE session_end <= {_CLOSED}")
+def stream_session_dynamic_gap(spark, sf_dir):
+    kind = F.col("event_type")
+    gap = F.when(kind == "view", "4 hours").when(kind == "purchase", "8 hours").otherwise("2 hours")
+    rows = event_stream(spark, sf_dir)
+    return finish(forms.dynamic_sessions(rows, "user_id", "ts", gap, "cents", "1 hour"), "gaps")
+
+
+def _average(spark, sf_dir, store):
+    rows = forms.count_average(
+        event_stream(spark, sf_dir), "user_id", ["event_id"], "cents", 3, store
+    )
+    return finish(rows, f"average-{store}").withColumn("average", F.round("average", 4))
+
+
+@query(SQL["count_avg"])
+def stream_count_avg(spark, sf_dir):
+    return _average(spark, sf_dir, "value")
+
+
+@query(SQL["count_avg"])
+def stream_count_avg_list(spark, sf_dir):
+    return _average(spark, sf_dir, "list")
+
+
+@query(SQL["count_avg"])
+def stream_count_avg_map(spark, sf_dir):
+    return _average(spark, sf_dir, "map")
+
+
+@query(SQL["count_window_cumulative"])
+def stream_count_window_cumulative(spark, sf_dir):
+    rows = forms.count_window(event_stream(spark, sf_dir), "user_id", ["event_id"], "cents", 3)
+    return finish(rows, "cumulative")
+
+
+@query(SQL["count_window_sliding"])
+def stream_count_window_sliding(spark, sf_dir):
+    rows = forms.count_window(event_stream(spark, sf_dir), "user_id", ["event_id"], "cents", 2, 3)
+    return finish(rows, "counted")
+
+
+@query(SQL["running_sum"])
+def stream_running_sum(spark, sf_dir):
+    rows = forms.running_fold(
+        event_stream(spark, sf_dir), "user_id", ["event_id"], "cents", with_text=False
+    )
+    return finish(rows, "fold").select(F.col("seq").alias("event_id"), "user_id", "total")
+
+
+@query(SQL["join_slots"])
+def stream_join_slots(spark, sf_dir):
+    sides = event_stream(spark, sf_dir).filter(F.col("event_type").isin("view", "purchase"))
+    rows = sides.select(
+        "user_id",
+        F.col("event_id").alias("seq"),
+        (F.col("event_type") == "view").alias("is_left"),
+        "event_id",
+    )
+    pairs = forms.pair_slots(rows, "user_id", "seq", "is_left", "event_id")
+    return finish(pairs, "slots").withColumnRenamed("seq", "event_id")
+
+
+@query(
+    """SELECT p.event_id, p.user_id FROM events p WHERE p.event_type <> 'error' AND NOT EXISTS
+        (SELECT 1 FROM events e WHERE e.event_type = 'error' AND e.user_id = p.user_id
+            AND e.event_id < p.event_id)"""
+)
+def stream_blocklist(spark, sf_dir):
+    """A user's events pass until the user's first error."""
+    rows = event_stream(spark, sf_dir).withColumn("seq", F.col("event_id"))
+    errors = F.col("event_type") == "error"
+    passed = forms.blocklist(
+        rows.filter(~errors), rows.filter(errors), "user_id", "seq", ["event_id"]
+    )
+    return finish(passed, "blocked")
+
+
+@query(
+    f"""SELECT v.event_id AS view_id, p.event_id AS purchase_id, v.user_id FROM events v JOIN events p
+            ON v.user_id = p.user_id AND p.ts BETWEEN v.ts - INTERVAL 2 HOUR AND v.ts + INTERVAL 2 HOUR
+        WHERE v.event_type = 'view' AND p.event_type = 'purchase'"""
+)
+def stream_join_rides_fares(spark, sf_dir):
+    """Views and purchases of a user at most two hours apart."""
+    rows = event_stream(spark, sf_dir)
+    views = rows.filter(F.col("event_type") == "view")
+    views = views.select("user_id", F.col("ts").alias("view_ts"), F.col("event_id").alias("view_id"))
+    bought = rows.filter(F.col("event_type") == "purchase").select(
+        "user_id", F.col("ts").alias("purchase_ts"), F.col("event_id").alias("purchase_id")
+    )
+    pairs = forms.join_rides_fares(views, bought, "user_id", "view_ts", "purchase_ts", "2 hours")
+    return finish(pairs.select("view_id", "purchase_id", "user_id"), "join")
+
+
+@query(f"SELECT * FROM ({SQL['stop_segments']}) WHERE stop_time <= {_CLOSED}")
+def stream_stop_segments(spark, sf_dir):
+    rows = event_stream(spark, sf_dir).withColumn("throttle", (F.col("cents") % 1000) / 100)
+    stop = F.col("event_type") == "error"
+    found = forms.stop_segments(rows, "user_id", "ts", "value", "throttle", "1 hour", stop)
+    return finish(found, "segments").withColumn("erraticness", F.round("erraticness", 4))
+
+
+@query(f"SELECT user_id, ts, event_id FROM events WHERE ts <= {_CLOSED}")
+def stream_car_sort(spark, sf_dir):
+    rows = event_stream(spark, sf_dir).withColumn("seq", F.col("event_id"))
+    found = forms.event_sorter(rows, "user_id", "ts", "seq", "event_id", "1 hour")
+    return finish(found, "sorter").select("user_id", "ts", "event_id")
+
+
+@query(SQL["late_split"])
+def stream_late_split(spark, sf_dir):
+    shift = (F.col("event_id") * 7919) % 23
+    rows = event_stream(spark, sf_dir).withColumn("seq", F.col("event_id") + shift)
+    folder = finish_batches(
+        rows.select("event_id", "seq", "ts"),
+        "late",
+        lambda path: batches.late_split_writer(path, "ts", ["seq", "event_id"], HOUR, HOUR),
+    )
+    found = spark.read.parquet(f"{folder}/out")
+    return found.select("event_id", "window_start", "window_end", F.col("late").cast("boolean"))
+
+
+@query(
+    f"""SELECT event_id, cents FROM {EVENTS_SQL} WHERE event_type <> 'signup' AND cents <=
+        coalesce((SELECT max_by(cents, event_id) FROM {EVENTS_SQL} WHERE event_type = 'signup'), cents)"""
+)
+def stream_dynamic_rule(spark, sf_dir):
+    """The newest signup of a micro-batch sets the largest amount that may pass."""
+    folder = finish_batches(
+        event_stream(spark, sf_dir).select("event_id", "event_type", "cents"),
+        "rule",
+        lambda path: batches.dynamic_rule_writer(
+            path,
+            F.col("event_type") == "signup",
+            F.col("cents"),
+            lambda limit: F.col("cents") <= limit,
+            "event_id",
+        ),
+    )
+    return spark.read.parquet(f"{folder}/out").select("event_id", "cents")
+
+
+@query(SQL["sink_batches"])
+def stream_sink_batches(spark, sf_dir):
+    folder = finish_batches(
+        event_stream(spark, sf_dir).select("event_id", "cents"),
+        "batches",
+        lambda path: batched_writer(f"{path}/out", ["event_id"], 20),
+    )
+    found = spark.read.parquet(f"{folder}/out")
+    return found.groupBy("batch_no").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.min("event_id").alias("first_id"),
+        F.max("event_id").alias("last_id"),
+        F.sum("cents").alias("total"),
+    )

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -47,3 +49,9 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
         root = tempfile.mkdtemp(prefix="tideline-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/tideline/{purpose}-{uuid.uuid4().hex}"
+
+
+def ship_by_value(module: str) -> None:
+    """Send a module's functions and classes to the Python workers with the task, so that
+    executors need no copy of this package."""
+    cloudpickle.register_pickle_by_value(sys.modules[module])

@@ -47,5 +47,5 @@ def queue_options(
     if "group_id" in options:
         known["kafka.group.id"] = options.pop("group_id")
     if stream:
-        known["maxOffsetsPerTrigger"] = options.pop("max_rows", "10000000")
+        known["maxOffsetsPerTrigger"] = options.pop("max_rows", "1000000")
     return known | options
