@@ -98,8 +98,9 @@ def parametrized_tokenize(
         def split(batch: pd.DataFrame) -> pd.DataFrame:
             words = [_words(text) for text in batch[line]]
             ids = np.repeat(batch[line_id].to_numpy(), [len(w) for w in words])
-            flat = [word for some in words for word in some]
-            return pd.DataFrame({line_id: ids, "word": flat, "one": 1, "tag": tag})
+            flat = pd.Series([word for some in words for word in some], dtype=object)
+            tags = pd.Series([tag] * len(flat), dtype=object)
+            return pd.DataFrame({line_id: ids, "word": flat, "one": 1, "tag": tags})
 
         return split
 
