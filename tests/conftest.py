@@ -20,8 +20,9 @@ def spark(tmp_path_factory):
 
 @pytest.fixture
 def small_chunks(monkeypatch):
-    """Chunks of two order values, so that a few rows already span all levels."""
+    """Chunks of two order values, so that a few rows already span many chunks."""
     monkeypatch.setattr(running_module, "CHUNK_BITS", 1)
+    monkeypatch.setattr(running_module, "TIME_CHUNK_BITS", 1)
 
 
 def rows_of(df, *columns):

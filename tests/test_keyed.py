@@ -63,8 +63,9 @@ def test_running_folds_of_hot_keys_match_brute_force(spark, small_chunks):
         "low": Fold("min", F.when(F.col("value") > 0, F.col("value"))),
         "text": Fold("text", F.when(F.col("value") % 2 == 0, F.col("value")).cast("string"), sep="|"),
     }
-    for keys, hot_rows in ((["key"], 10), (["key"], 1 << 20), ([], 10)):
-        found = running(pairs(spark, rows), keys, ["seq"], folds, hot_rows=hot_rows)
+    for keys, hot_rows, levels in ((["key"], 10, 3), (["key"], 10, 1), (["key"], 1 << 20, 1), ([], 10, 2)):
+        chunks = chunk_levels(F.col("seq"), 3, levels)
+        found = running(pairs(spark, rows), keys, ["seq"], folds, chunks=chunks, hot_rows=hot_rows)
         expected, state = [], {}
         for key, value, seq in sorted(rows, key=lambda r: r[2]):
             past = state.setdefault(key if keys else None, [])
@@ -85,7 +86,7 @@ def test_rows_with_a_null_key_stay_together(spark, small_chunks):
 
 
 def test_chunks_are_bounded_and_ordered(spark):
-    levels = chunk_levels(F.col("id"), 4)
+    levels = chunk_levels(F.col("id"), 4, 2)
     sizes = spark.range(-1000, 1000).select(levels[0].alias("a"), levels[1].alias("b"))
     assert sizes.groupBy("a").count().agg(F.max("count")).first()[0] == 16
     assert sizes.distinct().groupBy("b").count().agg(F.max("count")).first()[0] == 16
@@ -109,11 +110,11 @@ def test_blocklists(spark):
         [("data", 2), ("DROP", 3), ("artisans", 4), ("IGNORE", 5)], "word string, seq long"
     )
     names = spark.createDataFrame([("DROP", 0), ("IGNORE", 1)], "word string, seq long")
-    for hot_rows in (1 << 20, 0):
-        passed = control.blocklist_anti(words, names, ["word"], hot_rows)
+    for hot_rows, small_rows in ((1 << 20, 10), (1 << 20, 1), (0, 1)):
+        passed = control.blocklist_anti(words, names, ["word"], hot_rows, small_rows)
         assert rows_of(passed, "word") == [("artisans",), ("data",)]
         early = names.withColumn("seq", F.when(F.col("word") == "DROP", 4).otherwise(0))
-        ordered = control.blocklist_ordered(words, early, "word", "seq", hot_rows)
+        ordered = control.blocklist_ordered(words, early, "word", "seq", hot_rows, small_rows)
         assert rows_of(ordered, "word") == [("DROP",), ("artisans",), ("data",)]
 
 

@@ -13,6 +13,6 @@ def words_of(line: Column, lower: bool = True) -> Column:
     a line of blanks has none.
     """
     text = F.lower(line) if lower else line
-    words = F.split(F.regexp_replace(text, " +$", ""), " ", -1)
-    only_blanks = (F.length(line) > 0) & (F.trim(line) == "")
+    words = F.split(F.rtrim(text), " ", -1)
+    only_blanks = (line != "") & (F.ltrim(line) == "")
     return F.when(only_blanks, F.array().cast("array<string>")).otherwise(words)

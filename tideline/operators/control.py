@@ -8,23 +8,32 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tideline.operators.running import Fold, running
-from tideline.operators.skew import HOT_ROWS, lookup_join
+from tideline.operators.skew import HOT_ROWS, SMALL_ROWS, control_join
 
 
 def blocklist_anti(
-    words: DataFrame, control: DataFrame, on: Sequence[str], hot_rows: int = HOT_ROWS
+    words: DataFrame,
+    control: DataFrame,
+    on: Sequence[str],
+    hot_rows: int = HOT_ROWS,
+    small_rows: int = SMALL_ROWS,
 ) -> DataFrame:
     """Rows whose key is nowhere in the control table."""
     blocked = control.select(*on).distinct()
-    return lookup_join(words, blocked, on, "left_anti", hot_rows)
+    return control_join(words, blocked, on, "left_anti", hot_rows, small_rows)
 
 
 def blocklist_ordered(
-    words: DataFrame, control: DataFrame, on: str, seq: str, hot_rows: int = HOT_ROWS
+    words: DataFrame,
+    control: DataFrame,
+    on: str,
+    seq: str,
+    hot_rows: int = HOT_ROWS,
+    small_rows: int = SMALL_ROWS,
 ) -> DataFrame:
     """Rows whose key was not in the control stream before them, in arrival order ``seq``."""
     first = control.groupBy(on).agg(F.min(seq).alias("_blocked_at"))
-    rows = lookup_join(words, first, [on], "left", hot_rows)
+    rows = control_join(words, first, [on], "left", hot_rows, small_rows)
     passes = F.col("_blocked_at").isNull() | (F.col(seq) < F.col("_blocked_at"))
     return rows.filter(passes).drop("_blocked_at")
 

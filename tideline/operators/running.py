@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 
 from tideline.operators.skew import HOT, HOT_ROWS, mark_hot
 
-CHUNK_BITS = 16
+CHUNK_BITS = 20
+TIME_CHUNK_BITS = 24
 
 
 @dataclass(frozen=True)
@@ -55,15 +56,19 @@ class Fold:
         return (F.greatest if self.op == "max" else F.least)(before, here)
 
 
-def chunk_levels(order: Column, bits: int | None = None) -> list[Column]:
+def chunk_levels(order: Column, bits: int | None = None, levels: int = 1) -> list[Column]:
     """Chunk numbers of an integer order column, fine to coarse.
 
-    With 16 bits, no chunk has more than 65,536 order values, no second-level chunk more than
-    65,536 chunks, and the top level has one entry per 2^32 order values (71 minutes in
-    microseconds; 233 entries for 10^12 numbered rows).
+    With 20 bits a chunk holds at most 1,048,576 order values, and 10^12 numbered rows give a
+    million chunks, which one task folds in seconds.
     """
     bits = CHUNK_BITS if bits is None else bits
-    return [F.shiftright(order, bits), F.shiftright(order, 2 * bits)]
+    return [F.shiftright(order, bits * level) for level in range(1, levels + 1)]
+
+
+def time_chunks(at: Column) -> list[Column]:
+    """Chunks of a column of microseconds: 16.8 seconds each, two million per year."""
+    return chunk_levels(at, TIME_CHUNK_BITS)
 
 
 def running(

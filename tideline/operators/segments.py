@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tideline.functions.stats import erratic_class, merged_stddev
 from tideline.functions.time import from_micros, micros, time_type
-from tideline.operators.running import Fold, running
+from tideline.operators.running import Fold, running, time_chunks
 from tideline.operators.sessions import collapse_hot
 from tideline.operators.skew import HOT_ROWS, mark_hot
 
@@ -55,7 +55,8 @@ def stop_segments(
     rows = collapse_hot(marked, [car], values, merge)
     rows = rows.withColumn("_after_stop", F.col("_stop_at").isNull())
     closing = Fold("min", F.col("_stop_at"))
-    rows = running(rows, [car], ["_at", "_after_stop"], {"_closing": closing})
+    order = ["_at", "_after_stop"]
+    rows = running(rows, [car], order, {"_closing": closing}, chunks=time_chunks(F.col("_at")))
     segments = (
         rows.filter(F.col("_closing").isNotNull() & (F.col("_n") > 0))
         .groupBy(car, "_closing")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tideline.functions.stats import erratic_class, merged_stddev
 from tideline.functions.time import from_micros, micros, time_type
-from tideline.operators.running import Fold, running
+from tideline.operators.running import Fold, running, time_chunks
 from tideline.operators.skew import HOT, HOT_ROWS, mark_hot
 
 
@@ -75,9 +75,10 @@ def sessions(
     marked = mark_hot(df.filter(F.col(ts).isNotNull()), [key], hot_rows)
     rows = collapse_hot(marked, [key], values, merge)
     reach = Fold("max", F.col("_reach"), inclusive=False)
-    rows = running(rows, [key], ["_at"], {"_reached": reach})
+    chunks = time_chunks(F.col("_at"))
+    rows = running(rows, [key], ["_at"], {"_reached": reach}, chunks=chunks)
     opens = F.when(F.col("_reached").isNull() | (F.col("_at") > F.col("_reached")), F.col("_at"))
-    rows = running(rows, [key], ["_at"], {"_start": Fold("max", opens)})
+    rows = running(rows, [key], ["_at"], {"_start": Fold("max", opens)}, chunks=chunks)
     out = rows.groupBy(key, "_start").agg(
         F.max("_reach").alias("_end"),
         F.sum("_n").alias("length"),

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 HOT = "_hot"
 HOT_ROWS = 1 << 20
+SMALL_ROWS = 1_000_000
+SMALL_BYTES = 64 << 20
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -41,6 +43,16 @@ def mark_hot(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> Da
     )
 
 
+def is_small(df: DataFrame, max_rows: int = SMALL_ROWS, max_bytes: int = SMALL_BYTES) -> bool:
+    """Whether a table may be broadcast, found by counting its rows and the size of their text.
+
+    The count stops after ``max_rows`` rows.
+    """
+    size = F.sum(F.octet_length(F.to_json(F.struct("*")))).alias("bytes")
+    seen = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("rows"), size).first()
+    return seen["rows"] <= max_rows and (seen["bytes"] or 0) <= max_bytes
+
+
 def lookup_join(
     left: DataFrame,
     right: DataFrame,
@@ -55,12 +67,31 @@ def lookup_join(
     ordinary join, whose strategy Spark picks. ``how`` is inner, left, left_semi or left_anti.
     """
     on = list(on)
+    hot = hot_keys(left, on, hot_rows)
     marked = mark_hot(left, on, hot_rows)
     hot_right = (
         right.withColumn("_hash", F.xxhash64(*on))
-        .join(F.broadcast(hot_keys(left, on, hot_rows)), "_hash", "left_semi")
+        .join(F.broadcast(hot), "_hash", "left_semi")
         .drop("_hash")
     )
     cold = marked.filter(~F.col(HOT)).drop(HOT).join(right, on, how)
-    hot = marked.filter(F.col(HOT)).drop(HOT).join(F.broadcast(hot_right), on, how)
-    return cold.unionByName(hot)
+    busy = marked.filter(F.col(HOT)).drop(HOT).join(F.broadcast(hot_right), on, how)
+    return cold.unionByName(busy)
+
+
+def control_join(
+    left: DataFrame,
+    right: DataFrame,
+    on: Sequence[str],
+    how: str,
+    hot_rows: int = HOT_ROWS,
+    small_rows: int = SMALL_ROWS,
+) -> DataFrame:
+    """Like :func:`lookup_join`, for a right side that is small as a rule.
+
+    Its size is checked now. If it is small it is broadcast, and the left side is read once
+    and does not move; otherwise this is :func:`lookup_join`.
+    """
+    if is_small(right, small_rows):
+        return left.join(F.broadcast(right), list(on), how)
+    return lookup_join(left, right, on, how, hot_rows)

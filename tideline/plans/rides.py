@@ -39,8 +39,8 @@ def rides(spark, sf_dir):
         (F.col("l_returnflag") == "A").alias("is_start"),
         shipped.alias("start_time"),
         (shipped + F.make_dt_interval(mins=F.col("l_linenumber"))).alias("end_time"),
-        _lon("l_suppkey").alias("start_lon"),
-        _lat("l_suppkey").alias("start_lat"),
+        _lon("l_orderkey").alias("start_lon"),
+        _lat("l_orderkey").alias("start_lat"),
         _lon("l_partkey").alias("end_lon"),
         _lat("l_partkey").alias("end_lat"),
         F.col("l_linenumber").cast("short").alias("passenger_cnt"),
@@ -51,7 +51,7 @@ def rides(spark, sf_dir):
 
 _RIDES = f"""(SELECT l_orderkey AS ride_id, l_returnflag = 'A' AS is_start,
     l_shipdate AS start_time, l_shipdate + to_minutes(l_linenumber) AS end_time,
-    {_lon_sql("l_suppkey")} AS start_lon, {_lat_sql("l_suppkey")} AS start_lat,
+    {_lon_sql("l_orderkey")} AS start_lon, {_lat_sql("l_orderkey")} AS start_lat,
     {_lon_sql("l_partkey")} AS end_lon, {_lat_sql("l_partkey")} AS end_lat,
     CAST(l_linenumber AS SMALLINT) AS passenger_cnt, l_partkey AS taxi_id,
     l_suppkey AS driver_id FROM lineitem)"""

@@ -31,7 +31,11 @@ CAR_FIELDS = {
 
 def _tokens(line: Column, separator: str) -> Column:
     """Tokens of a line; empty ones at the end do not count."""
-    return F.split(F.regexp_replace(line, f"(?:{separator})+$", ""), separator, -1)
+    if len(separator) == 1:
+        kept = F.rtrim(line, F.lit(separator))
+    else:
+        kept = F.regexp_replace(line, f"(?:{separator})+$", "")
+    return F.split(kept, separator, -1)
 
 
 def _number(token: Column, kind: T.DataType) -> Column:

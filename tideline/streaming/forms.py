@@ -54,12 +54,13 @@ def idle_count(rows, key: str, idle_ms: int):
 
 def blocklist(words: DataFrame, control: DataFrame, on: str, seq: str, keep: Sequence[str]):
     """Words whose key no control row named before, in arrival order."""
-    tagged = words.select(on, seq, F.lit(False).alias("_control"), *keep)
+    others = [c for c in keep if c != seq]
+    tagged = words.select(on, seq, F.lit(False).alias("_control"), *others)
     names = control.select(
         on,
         seq,
         F.lit(True).alias("_control"),
-        *[F.lit(None).cast(words.schema[c].dataType).alias(c) for c in keep],
+        *[F.lit(None).cast(words.schema[c].dataType).alias(c) for c in others],
     )
     fields = ", ".join(f"{c} {words.schema[c].dataType.simpleString()}" for c in keep)
     # Of equals in arrival, the control row counts as first.
