@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from tideline.operators.skew import HOT, HOT_ROWS, mark_hot
 
+CHUNK = "_chunk"
 CHUNK_BITS = 20
 TIME_CHUNK_BITS = 24
 
@@ -71,6 +72,19 @@ def time_chunks(at: Column) -> list[Column]:
     return chunk_levels(at, TIME_CHUNK_BITS)
 
 
+def with_chunks(
+    df: DataFrame, keys: Sequence[str], chunks: Sequence[Column], hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """Add the chunk columns that :func:`running` works on; they are null for keys that are not
+    hot. Folds that follow each other on the result share one shuffle. A column ``_hot`` from
+    :func:`mark_hot` is used if present."""
+    levels = list(chunks)
+    if keys:
+        df = df if HOT in df.columns else mark_hot(df, keys, hot_rows)
+        levels = [F.when(F.col(HOT).isNotNull(), level) for level in levels]
+    return df.select("*", *[level.alias(f"{CHUNK}{i}") for i, level in enumerate(levels)])
+
+
 def running(
     df: DataFrame,
     keys: Sequence[str],
@@ -84,27 +98,23 @@ def running(
 
     ``order`` names the columns that order the rows of a key; ``chunks`` are integer columns,
     fine to coarse, that grow with them (default: from the first order column). Without keys
-    the whole table is one ordered sequence. A column ``_hot`` from :func:`mark_hot` is used
-    and kept if present.
+    the whole table is one ordered sequence.
     """
     keys, order = list(keys), list(order)
-    levels = list(chunks) if chunks is not None else chunk_levels(F.col(order[0]))
-    names = [f"_chunk{i}" for i in range(len(levels))]
     marked = df
-    if keys:
-        marked = df if HOT in df.columns else mark_hot(df, keys, hot_rows)
-        levels = [F.when(F.col(HOT), level) for level in levels]
-        # Part of the partitioning, so that the filter on it passes below earlier folds.
-        keys.append(HOT)
-    marked = marked.select(
-        "*",
-        *[level.alias(name) for level, name in zip(levels, names)],
-        *[fold.value.alias(f"_value_{name}") for name, fold in folds.items()],
+    if f"{CHUNK}0" not in df.columns:
+        levels = chunks if chunks is not None else chunk_levels(F.col(order[0]))
+        marked = with_chunks(df, keys, levels, hot_rows)
+    names = [name for name in marked.columns if name.startswith(CHUNK)]
+    # With _hot and the chunk, rows are partitioned the same way for the fold and for the join
+    # with what came before, and filters on either pass below earlier folds.
+    group = [*keys, HOT] if keys else []
+    values = marked.select(
+        "*", *[fold.value.alias(f"_value_{name}") for name, fold in folds.items()]
     )
-
-    within = Window.partitionBy(*keys, names[0]).orderBy(*order)
-    local = marked.select(
-        *dict.fromkeys([*df.columns, *keys, names[0]]),
+    within = Window.partitionBy(*group, names[0]).orderBy(*order)
+    local = values.select(
+        *dict.fromkeys([*df.columns, *group, names[0]]),
         *[
             fold.over(
                 F.col(f"_value_{name}"),
@@ -113,15 +123,18 @@ def running(
             for name, fold in folds.items()
         ],
     )
-    split = marked.filter(F.col(HOT)) if HOT in keys else marked
-    totals = split.groupBy(*keys, *names).agg(
-        *[
-            fold.total(F.col(f"_value_{name}"), order).alias(f"_before_{name}")
-            for name, fold in folds.items()
-        ]
+    totals = (
+        values.filter(F.col(names[0]).isNotNull())
+        .groupBy(*group, *names)
+        .agg(
+            *[
+                fold.total(F.col(f"_value_{name}"), order).alias(f"_before_{name}")
+                for name, fold in folds.items()
+            ]
+        )
     )
-    before = _before_chunks(totals, keys, names, folds)
-    return local.join(before, keys + names[:1], "left").select(
+    before = _before_chunks(totals, group, names, folds)
+    return local.join(before, [*group, names[0]], "left").select(
         *df.columns,
         *[
             fold.combine(F.col(f"_before_{name}"), F.col(f"_here_{name}")).alias(name)

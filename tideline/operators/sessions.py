@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tideline.functions.stats import erratic_class, merged_stddev
 from tideline.functions.time import from_micros, micros, time_type
-from tideline.operators.running import Fold, running, time_chunks
+from tideline.operators.running import Fold, running, time_chunks, with_chunks
 from tideline.operators.skew import HOT, HOT_ROWS, mark_hot
 
 
@@ -24,11 +24,11 @@ def collapse_hot(
     """
     rows = df.select(*keys, HOT, *[value.alias(name) for name, value in values.items()])
     hot = (
-        rows.filter(F.col(HOT))
+        rows.filter(F.col(HOT).isNotNull())
         .groupBy(*keys, HOT, "_at")
         .agg(*[merge[name].alias(name) for name in values if name != "_at"])
     )
-    return rows.filter(~F.col(HOT)).unionByName(hot)
+    return rows.filter(F.col(HOT).isNull()).unionByName(hot)
 
 
 def sessions(
@@ -75,10 +75,10 @@ def sessions(
     marked = mark_hot(df.filter(F.col(ts).isNotNull()), [key], hot_rows)
     rows = collapse_hot(marked, [key], values, merge)
     reach = Fold("max", F.col("_reach"), inclusive=False)
-    chunks = time_chunks(F.col("_at"))
-    rows = running(rows, [key], ["_at"], {"_reached": reach}, chunks=chunks)
+    rows = with_chunks(rows, [key], time_chunks(F.col("_at")))
+    rows = running(rows, [key], ["_at"], {"_reached": reach})
     opens = F.when(F.col("_reached").isNull() | (F.col("_at") > F.col("_reached")), F.col("_at"))
-    rows = running(rows, [key], ["_at"], {"_start": Fold("max", opens)}, chunks=chunks)
+    rows = running(rows, [key], ["_at"], {"_start": Fold("max", opens)})
     out = rows.groupBy(key, "_start").agg(
         F.max("_reach").alias("_end"),
         F.sum("_n").alias("length"),

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,15 +32,15 @@ def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> Da
 
 
 def mark_hot(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Add the boolean column ``_hot``. Rows with a null in their key are never hot."""
-    hot = hot_keys(df, keys, hot_rows).withColumn(HOT, F.lit(True))
-    whole = F.lit(True)
-    for key in keys:
-        whole = whole & F.col(key).isNotNull()
+    """Add ``_hot``: the key's hash in rows of hot keys, else null.
+
+    Rows with a null in their key are never hot.
+    """
+    hot = hot_keys(df, keys, hot_rows).withColumn(HOT, F.col("_hash"))
+    whole = reduce(and_, [F.col(key).isNotNull() for key in keys])
     return (
         df.withColumn("_hash", F.when(whole, F.xxhash64(*keys)))
         .join(F.broadcast(hot), "_hash", "left")
-        .withColumn(HOT, F.coalesce(F.col(HOT), F.lit(False)))
         .drop("_hash")
     )
 
@@ -74,8 +76,8 @@ def lookup_join(
         .join(F.broadcast(hot), "_hash", "left_semi")
         .drop("_hash")
     )
-    cold = marked.filter(~F.col(HOT)).drop(HOT).join(right, on, how)
-    busy = marked.filter(F.col(HOT)).drop(HOT).join(F.broadcast(hot_right), on, how)
+    cold = marked.filter(F.col(HOT).isNull()).drop(HOT).join(right, on, how)
+    busy = marked.filter(F.col(HOT).isNotNull()).drop(HOT).join(F.broadcast(hot_right), on, how)
     return cold.unionByName(busy)
 
 
