@@ -100,6 +100,37 @@ def test_running_folds(spark, tmp_path):
     assert rows_of(found, "seq", "total") == sums and rows_of(found, "seq", "text") == texts
 
 
+def wait_for(spark, table, rows):
+    for _ in range(120):
+        if spark.table(table).count() >= rows:
+            return
+        time.sleep(0.5)
+    raise AssertionError(f"{table} has only {spark.table(table).count()} rows")
+
+
+def test_state_with_a_time_to_live(spark, tmp_path):
+    source = keyed_rows(spark, 12)
+    feed = Feed(spark, tmp_path, source.schema)
+    feed.add(source)
+    rows = forms.running_fold(feed.stream(), "key", ["seq"], "value", ttl_ms=1)
+    # With wall-clock state a stream has always more to do, so it is stopped by hand.
+    writer = write_stream(
+        rows, "memory", checkpoint=str(tmp_path / "c"), target="ttl", every="200 milliseconds"
+    )
+    query = writer.start()
+    try:
+        wait_for(spark, "ttl", 12)
+        feed.add(source.withColumn("seq", F.col("seq") + 100))
+        wait_for(spark, "ttl", 24)
+    finally:
+        query.stop()
+    found = spark.table("ttl")
+    # The sums start again, as the state of the first rows has expired.
+    first = rows_of(found.filter("seq < 100"), "seq", "total")
+    again = rows_of(found.filter("seq >= 100").withColumn("seq", F.col("seq") - 100), "seq", "total")
+    assert first == again
+
+
 def test_slots(spark, tmp_path):
     rng = random.Random(4)
     rows = [(rng.randrange(3), i, rng.random() < 0.4, f"r{i}") for i in range(80)]
@@ -282,10 +313,7 @@ def test_idle_count(spark, tmp_path):
     writer = write_stream(rows, "memory", checkpoint=str(tmp_path / "c"), target="idle", every="200 milliseconds")
     running = writer.start()
     try:
-        for _ in range(120):
-            if spark.table("idle").count() == 2:
-                break
-            time.sleep(0.5)
+        wait_for(spark, "idle", 2)
     finally:
         running.stop()
     assert rows_of(spark.table("idle")) == [("a", 2), ("b", 1)]

@@ -15,9 +15,22 @@ from tideline.streaming import processors as p
 
 
 def keyed(
-    rows: DataFrame, key: str, processor: p.Ordered, output: str, time_mode: str = "None"
+    rows: DataFrame,
+    key: str,
+    processor: p.Ordered,
+    output: str,
+    time_mode: str = "None",
+    ttl_ms: int | None = None,
 ) -> DataFrame:
-    """Run a processor per key; ``output`` lists the columns after the key."""
+    """Run a processor per key; ``output`` lists the columns after the key.
+
+    State lasts forever unless ``ttl_ms`` is given: then a key's state is dropped that long
+    (wall clock) after its last change, which keeps the state of an endless stream bounded.
+    Wall-clock state (this and ``idle_count``) needs a trigger with an interval; a stream that
+    is to end when its input does never finds that there is nothing left to do.
+    """
+    if ttl_ms is not None:
+        processor.ttl_ms, time_mode = ttl_ms, "ProcessingTime"
     schema = T.StructType([rows.schema[key], *T.StructType.fromDDL(output).fields])
     processor.names = schema.fieldNames()
     return rows.groupBy(key).transformWithState(
@@ -28,22 +41,45 @@ def keyed(
     )
 
 
-def count_average(rows, key: str, order: Sequence[str], value: str, size: int = 3, store: str = "value"):
+def count_average(
+    rows,
+    key: str,
+    order: Sequence[str],
+    value: str,
+    size: int = 3,
+    store: str = "value",
+    ttl_ms: int | None = None,
+):
     """Average of every ``size`` values of a key, with one of three kinds of state."""
     processor = p.BlockAverage(order, value, size, store)
-    return keyed(rows.select(key, *order, value), key, processor, processor.OUTPUT)
-
-
-def count_window(rows, key: str, order: Sequence[str], value: str, every: int, size: int | None = None):
+    return keyed(rows.select(key, *order, value), key, processor, processor.OUTPUT, ttl_ms=ttl_ms)
+
+
+def count_window(
+    rows,
+    key: str,
+    order: Sequence[str],
+    value: str,
+    every: int,
+    size: int | None = None,
+    ttl_ms: int | None = None,
+):
     """Counted windows: cumulative without ``size``, tumbling if equal, else sliding."""
     processor = p.CountWindow(order, value, every, size)
-    return keyed(rows.select(key, *order, value), key, processor, processor.OUTPUT)
+    return keyed(rows.select(key, *order, value), key, processor, processor.OUTPUT, ttl_ms=ttl_ms)
 
 
-def running_fold(rows, key: str, order: Sequence[str], value: str, with_text: bool = True):
+def running_fold(
+    rows,
+    key: str,
+    order: Sequence[str],
+    value: str,
+    with_text: bool = True,
+    ttl_ms: int | None = None,
+):
     """Running sum, and running text, per row."""
     processor = p.RunningFold(order, value, with_text)
-    return keyed(rows.select(key, *order, value), key, processor, processor.OUTPUT)
+    return keyed(rows.select(key, *order, value), key, processor, processor.OUTPUT, ttl_ms=ttl_ms)
 
 
 def idle_count(rows, key: str, idle_ms: int):
@@ -52,7 +88,14 @@ def idle_count(rows, key: str, idle_ms: int):
     return keyed(rows.select(key), key, processor, processor.OUTPUT, "ProcessingTime")
 
 
-def blocklist(words: DataFrame, control: DataFrame, on: str, seq: str, keep: Sequence[str]):
+def blocklist(
+    words: DataFrame,
+    control: DataFrame,
+    on: str,
+    seq: str,
+    keep: Sequence[str],
+    ttl_ms: int | None = None,
+):
     """Words whose key no control row named before, in arrival order."""
     others = [c for c in keep if c != seq]
     tagged = words.select(on, seq, F.lit(False).alias("_control"), *others)
@@ -65,15 +108,18 @@ def blocklist(words: DataFrame, control: DataFrame, on: str, seq: str, keep: Seq
     fields = ", ".join(f"{c} {words.schema[c].dataType.simpleString()}" for c in keep)
     # Of equals in arrival, the control row counts as first.
     rows = tagged.unionByName(names).withColumn("_last", F.when(F.col("_control"), 0).otherwise(1))
-    return keyed(rows, on, p.BlockList([seq, "_last"], "_control", keep), fields)
+    return keyed(rows, on, p.BlockList([seq, "_last"], "_control", keep), fields, ttl_ms=ttl_ms)
 
 
-def pair_slots(rows, key: str, seq: str, is_left: str, payload: str):
+def pair_slots(
+    rows, key: str, seq: str, is_left: str, payload: str, ttl_ms: int | None = None
+):
     """Pairs with one saved row per side, over the union of both sides."""
     processor = p.Slots([seq], is_left, payload, rows.schema[payload].dataType)
     kind = processor.kind.simpleString()
     output = f"{seq} long, left_{payload} {kind}, right_{payload} {kind}"
-    return keyed(rows.select(key, seq, is_left, payload), key, processor, output)
+    columns = rows.select(key, seq, is_left, payload)
+    return keyed(columns, key, processor, output, ttl_ms=ttl_ms)
 
 
 def join_rides_fares(rides, fares, on: str, ride_ts: str, fare_ts: str, within: str):

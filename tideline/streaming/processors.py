@@ -35,10 +35,14 @@ class Ordered(StatefulProcessor):
     """A processor that knows the arrival columns, and the ``names`` of its output columns."""
 
     names: Sequence[str] = ()
+    ttl_ms: int | None = None
 
     def __init__(self, order: Sequence[str]):
         self.order = list(order)
 
+    def value_state(self, name: str, **fields: T.DataType):
+        return self.handle.getValueState(name, _schema(**fields), self.ttl_ms)
+
     def row(self, *values) -> Row:
         return Row(*self.names)(*values)
 
@@ -64,14 +68,14 @@ class BlockAverage(Ordered):
         self.value, self.size, self.store = value, size, store
 
     def open(self) -> None:
-        self.done = self.handle.getValueState("blocks", _schema(blocks=LONG))
+        self.done = self.value_state("blocks", blocks=LONG)
         if self.store == "value":
-            self.state = self.handle.getValueState("open", _schema(n=LONG, total=DOUBLE))
+            self.state = self.value_state("open", n=LONG, total=DOUBLE)
         elif self.store == "list":
-            self.state = self.handle.getListState("open", _schema(value=DOUBLE))
+            self.state = self.handle.getListState("open", _schema(value=DOUBLE), self.ttl_ms)
         elif self.store == "map":
             self.state = self.handle.getMapState(
-                "open", _schema(pos=LONG), _schema(value=DOUBLE)
+                "open", _schema(pos=LONG), _schema(value=DOUBLE), self.ttl_ms
             )
         else:
             raise ValueError(f"unknown state kind: {self.store}")
@@ -127,9 +131,7 @@ class CountWindow(Ordered):
         self.value, self.every, self.size = value, every, size
 
     def open(self) -> None:
-        self.state = self.handle.getValueState(
-            "window", _schema(n=LONG, total=LONG, tail=T.ArrayType(LONG))
-        )
+        self.state = self.value_state("window", n=LONG, total=LONG, tail=T.ArrayType(LONG))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         n, total, tail = 0, 0, []
@@ -155,7 +157,7 @@ class RunningFold(Ordered):
         self.value, self.with_text = value, with_text
 
     def open(self) -> None:
-        self.state = self.handle.getValueState("so_far", _schema(total=LONG, text=T.StringType()))
+        self.state = self.value_state("so_far", total=LONG, text=T.StringType())
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         total, text = self.state.get() if self.state.exists() else (0, None)
@@ -178,7 +180,7 @@ class IdleCount(Ordered):
         self.idle_ms = idle_ms
 
     def open(self) -> None:
-        self.state = self.handle.getValueState("count", _schema(n=LONG, due=LONG))
+        self.state = self.value_state("count", n=LONG, due=LONG)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         n, due = self.state.get() if self.state.exists() else (0, None)
@@ -204,7 +206,7 @@ class BlockList(Ordered):
         self.is_control, self.columns = is_control, list(columns)
 
     def open(self) -> None:
-        self.state = self.handle.getValueState("blocked", _schema(blocked=T.BooleanType()))
+        self.state = self.value_state("blocked", blocked=T.BooleanType())
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         if self.state.exists():
@@ -225,7 +227,7 @@ class Slots(Ordered):
 
     def open(self) -> None:
         self.sides = {
-            side: self.handle.getValueState(name, _schema(payload=self.kind))
+            side: self.value_state(name, payload=self.kind)
             for side, name in ((True, "left"), (False, "right"))
         }
 
@@ -248,7 +250,37 @@ class Slots(Ordered):
                 state.update((saved[side],))
 
 
-class EventSorter(Ordered):
+class Held(Ordered):
+    """Holds the rows of a key in a list, with one timer per key, at the earliest moment (in
+    microseconds) that something is to be done."""
+
+    def open_held(self, schema: T.StructType) -> None:
+        self.held = self.handle.getListState("held", schema)
+        self.due = self.value_state("due", due=LONG)
+
+    def wake_at(self, at: int) -> None:
+        """Move the timer forward if ``at`` comes before it."""
+        due = -(-at // 1000)
+        if self.due.exists():
+            before = self.due.get()[0]
+            if before <= due:
+                return
+            self.handle.deleteTimer(before)
+        self.handle.registerTimer(due)
+        self.due.update((due,))
+
+    def keep(self, rest: list[tuple], wake: int | None) -> None:
+        """After the timer has fired: what is still held, and when to look at it again."""
+        if rest:
+            self.held.put(rest)
+        else:
+            self.held.clear()
+        self.due.clear()
+        if wake is not None:
+            self.wake_at(wake)
+
+
+class EventSorter(Held):
     """Holds the rows of a key until the watermark passes them, then emits them in event-time
     order. The columns are ``at`` (microseconds), ``seq`` and the payload."""
 
@@ -257,29 +289,12 @@ class EventSorter(Ordered):
         self.payload, self.kind = payload, kind
 
     def open(self) -> None:
-        self.held = self.handle.getListState(
-            "held", _schema(at=LONG, seq=LONG, payload=self.kind)
-        )
-        self.due = self.handle.getValueState("due", _schema(due=LONG))
-
-    def _wake(self, at: int | None) -> None:
-        """One timer per key, at its earliest held row."""
-        if at is None:
-            self.due.clear()
-            return
-        due = -(-at // 1000)
-        self.handle.registerTimer(due)
-        self.due.update((due,))
+        self.open_held(_schema(at=LONG, seq=LONG, payload=self.kind))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         added = [(row["at"], row["seq"], row[self.payload]) for row in rows]
         self.held.appendList(added)
-        earliest = min(at for at, _, _ in added)
-        due = self.due.get()[0] if self.due.exists() else None
-        if due is None or earliest < due * 1000:
-            if due is not None:
-                self.handle.deleteTimer(due)
-            self._wake(earliest)
+        self.wake_at(min(at for at, _, _ in added))
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
@@ -287,16 +302,12 @@ class EventSorter(Ordered):
         ready, rest = [], []
         for row in self.held.get():
             (ready if row[0] <= limit else rest).append(tuple(row))
-        if rest:
-            self.held.put(rest)
-        else:
-            self.held.clear()
-        self._wake(min((row[0] for row in rest), default=None))
+        self.keep(rest, min((row[0] for row in rest), default=None))
         for at, seq, payload in sorted(ready):
             yield self.row(*key, at, seq, payload)
 
 
-class StopSegments(Ordered):
+class StopSegments(Held):
     """Segments of a key closed by stop rows, emitted when the watermark passes the stop.
 
     Columns: ``at`` (microseconds), ``is_stop``, ``speed``, ``throttle``.
@@ -308,30 +319,27 @@ class StopSegments(Ordered):
         super().__init__(["at"])
 
     def open(self) -> None:
-        self.held = self.handle.getListState(
-            "held", _schema(at=LONG, is_stop=T.BooleanType(), speed=DOUBLE, throttle=DOUBLE)
-        )
+        self.open_held(_schema(at=LONG, is_stop=T.BooleanType(), speed=DOUBLE, throttle=DOUBLE))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        added = []
-        for row in rows:
-            added.append((row["at"], row["is_stop"], row["speed"], row["throttle"]))
-            if row["is_stop"]:
-                self.handle.registerTimer(-(-row["at"] // 1000))
+        added = [(row["at"], row["is_stop"], row["speed"], row["throttle"]) for row in rows]
         self.held.appendList(added)
+        stop = min((row[0] for row in added if row[1]), default=None)
+        if stop is not None:
+            self.wake_at(stop)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         limit = timerValues.getCurrentWatermarkInMs() * 1000
         stops = sorted({row[0] for row in self.held.get() if row[1] and row[0] <= limit})
-        if not stops:
-            return
         # Per stop: count, start, top speed, mean, sum of squared differences.
         found = [[0, None, None, 0.0, 0.0] for _ in stops]
-        rest = []
+        rest, next_stop = [], None
         for at, is_stop, speed, throttle in (tuple(row) for row in self.held.get()):
-            if at > stops[-1]:
+            if not stops or at > stops[-1]:
                 rest.append((at, is_stop, speed, throttle))
+                if is_stop:
+                    next_stop = at if next_stop is None else min(next_stop, at)
             elif not is_stop:
                 part = found[bisect_left(stops, at)]
                 part[0] += 1
@@ -340,10 +348,7 @@ class StopSegments(Ordered):
                 step = throttle - part[3]
                 part[3] += step / part[0]
                 part[4] += step * (throttle - part[3])
-        if rest:
-            self.held.put(rest)
-        else:
-            self.held.clear()
+        self.keep(rest, next_stop)
         for stop, (n, start, speed, _, squares) in zip(stops, found):
             if n:
                 yield self.row(*key, start, stop, n, speed, sqrt(squares / n))
