@@ -281,6 +281,18 @@ def test_late_split_across_batches(spark, tmp_path):
     assert rows_of(again, "seq", "late") == rows_of(expected, "seq", "late")
 
 
+def test_late_ids_of_the_sorter_across_batches(spark, tmp_path):
+    source = car_rows(spark)
+    feed = Feed(spark, tmp_path, source.schema)
+    write = batches.sorter_split_writer(str(tmp_path / "late"), "ts", ["seq"], 30 * SECOND)
+    for low, high in ((1, 4), (5, 6), (7, 9)):
+        feed.add(source.filter(F.col("seq").between(low, high)))
+        feed.run_batches(feed.stream(), write)
+    found = spark.read.parquet(str(tmp_path / "late/out"))
+    assert rows_of(found.filter(F.col("late").cast("boolean")), "id") == [("e7",)]
+    assert found.count() == 9
+
+
 def test_dynamic_rule_across_batches(spark, tmp_path):
     rows = [(0, None, "hello world"), (1, 5, None), (2, None, "hello"), (3, None, "worlds"), (4, 10, None), (5, None, "worlds")]
     source = spark.createDataFrame(rows, "seq long, n long, line string")

@@ -183,3 +183,19 @@ def test_long_element_lists_come_in_parts(spark):
     on_time, _ = late.late_split(source.withColumn("key", F.lit(1)), "ts", ["seq"], 3 * SECOND, 0)
     parts = late.window_elements(on_time, "key", "ts", ["seq"], list_rows=10).orderBy("part").collect()
     assert [(p.part, p.n) for p in parts] == [(0, 10), (1, 10), (2, 5)]
+
+
+def test_nothing_is_lost_or_doubled(spark, small_chunks):
+    rng = random.Random(8)
+    rows = [(rng.choice([0, 0, 1, 2]), i, rng.randrange(400), rng.randrange(9)) for i in range(200)]
+    source = at_seconds(spark, rows, "key long, seq long, t long, v long")
+    on_time, too_late = late.late_split(source, "ts", ["seq"], 3 * SECOND, 100 * SECOND)
+    assert rows_of(on_time.unionByName(too_late), "seq") == rows_of(source, "seq")
+    gap = F.lit(2 * SECOND).cast("long")
+    found = sessions.sessions(source, "key", "ts", gap, total=F.col("v"), hot_rows=50)
+    total = found.agg(F.sum("length"), F.sum("total")).first()
+    assert tuple(total) == (200, sum(row[3] for row in rows))
+    closed = segments.stop_segments(source, "key", "ts", "v", "v", hot_rows=50)
+    last_stop = {k: max((t for key, _, t, v in rows if key == k and v == 0), default=-1) for k in (0, 1, 2)}
+    moving = sum(1 for k, _, t, v in rows if v and t <= last_stop[k])
+    assert closed.agg(F.sum("length")).first()[0] == moving

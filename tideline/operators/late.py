@@ -110,13 +110,25 @@ def window_elements(
     )
 
 
+def sorter_rows(
+    df: DataFrame,
+    ts: str,
+    order: Sequence[str],
+    delay_micros: int,
+    start: Column | None = None,
+) -> DataFrame:
+    """Add ``late``: the event time was at or below the watermark when the row arrived."""
+    rows = with_watermark_column(df, ts, order, delay_micros, start=start)
+    late = F.coalesce(micros(F.col(ts)) <= F.col("_mark"), F.lit(False))
+    return rows.withColumn("late", late).drop("_mark")
+
+
 def sorter_split(
     df: DataFrame, ts: str, order: Sequence[str], delay_micros: int
 ) -> tuple[DataFrame, DataFrame]:
-    """Rows in time for the sorter, and the late ones (event time at or below the watermark)."""
-    rows = with_watermark_column(df, ts, order, delay_micros)
-    late = F.coalesce(micros(F.col(ts)) <= F.col("_mark"), F.lit(False))
-    return rows.filter(~late).drop("_mark"), rows.filter(late).drop("_mark")
+    """Rows in time for the sorter, and the late ones."""
+    rows = sorter_rows(df, ts, order, delay_micros)
+    return rows.filter(~F.col("late")).drop("late"), rows.filter(F.col("late")).drop("late")
 
 
 def car_sort(df: DataFrame, car: str, ts: str, order: Sequence[str], delay_micros: int) -> DataFrame:

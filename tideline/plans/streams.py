@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tideline.functions.time import HOUR
 from tideline.operators import words
-from tideline.plans.registry import EVENTS_SQL, SQL, cents, load, query
+from tideline.plans.registry import ARRIVAL, EVENTS_SQL, SQL, cents, load, query
 from tideline.session import ROCKSDB, use_utc, work_folder
 from tideline.sources.sinks import batched_writer, write_stream
 from tideline.streaming import batches, forms
@@ -189,19 +189,44 @@ def stream_car_sort(spark, sf_dir):
     return finish(found, "sorter").select("user_id", "ts", "event_id")
 
 
-@query(SQL["late_split"])
-def stream_late_split(spark, sf_dir):
+def _arrivals(spark, sf_dir):
     shift = (F.col("event_id") * 7919) % 23
     rows = event_stream(spark, sf_dir).withColumn("seq", F.col("event_id") + shift)
-    folder = finish_batches(
-        rows.select("event_id", "seq", "ts"),
-        "late",
-        lambda path: batches.late_split_writer(path, "ts", ["seq", "event_id"], HOUR, HOUR),
-    )
+    return rows.select("event_id", "seq", "ts", "event_type")
+
+
+def _late(spark, folder):
     found = spark.read.parquet(f"{folder}/out")
     return found.select("event_id", "window_start", "window_end", F.col("late").cast("boolean"))
 
 
+@query(SQL["late_split"])
+def stream_late_split(spark, sf_dir):
+    def make(path):
+        return batches.late_split_writer(path, "ts", ARRIVAL, HOUR, HOUR)
+
+    return _late(spark, finish_batches(_arrivals(spark, sf_dir), "late", make))
+
+
+@query(SQL["late_split_marker"])
+def stream_late_split_marker(spark, sf_dir):
+    marker = F.col("event_type") == "signup"
+
+    def make(path):
+        return batches.late_split_writer(path, "ts", ARRIVAL, HOUR, HOUR, HOUR // 6, marker)
+
+    return _late(spark, finish_batches(_arrivals(spark, sf_dir), "marker", make))
+
+
+@query(SQL["car_late_ids"])
+def stream_car_late_ids(spark, sf_dir):
+    def make(path):
+        return batches.sorter_split_writer(path, "ts", ARRIVAL, HOUR)
+
+    folder = finish_batches(_arrivals(spark, sf_dir), "sorter-late", make)
+    return spark.read.parquet(f"{folder}/out").filter(F.col("late").cast("boolean")).select("event_id")
+
+
 @query(
     f"""SELECT event_id, cents FROM {EVENTS_SQL} WHERE event_type <> 'signup' AND cents <=
         coalesce((SELECT max_by(cents, event_id) FROM {EVENTS_SQL} WHERE event_type = 'signup'), cents)"""

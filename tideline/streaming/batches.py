@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tideline.functions.time import micros
-from tideline.operators.late import late_rows
+from tideline.operators.late import late_rows, sorter_rows
 
 Write = Callable[[DataFrame, int], None]
 
@@ -26,6 +26,23 @@ def _state(batch: DataFrame, folder: str, batch_id: int, schema: str) -> DataFra
     return spark.read.schema(schema).parquet(f"{folder}/state/batch={batch_id - 1}")
 
 
+def _marked_writer(
+    folder: str, ts: str, marker: Column | None, split: Callable[[DataFrame, Column], DataFrame]
+) -> Write:
+    """Write ``split(batch, largest event time so far)``, and carry that time on."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        before = _state(batch, folder, batch_id, "seen long")
+        rows = split(batch, before.agg(F.max("seen")).scalar())
+        rows.write.mode("overwrite").partitionBy("late").parquet(f"{folder}/out/batch={batch_id}")
+        moving = batch if marker is None else batch.filter(marker)
+        seen = moving.select(micros(F.col(ts)).alias("seen")).unionByName(before)
+        newest = seen.agg(F.max("seen").alias("seen"))
+        newest.write.mode("overwrite").parquet(f"{folder}/state/batch={batch_id}")
+
+    return write
+
+
 def late_split_writer(
     folder: str,
     ts: str,
@@ -33,25 +50,30 @@ def late_split_writer(
     width_micros: int,
     delay_micros: int,
     lateness_micros: int = 0,
+    marker: Column | None = None,
 ) -> Write:
-    """Write each micro-batch's rows with their ``late`` flag, partitioned by it.
+    """Write each micro-batch's rows with their window and ``late`` flag, partitioned by it.
 
     The largest event time so far is carried from batch to batch, and rows move it one by one in
     arrival order, so the split is exact also within a batch.
     """
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        before = _state(batch, folder, batch_id, "seen long")
-        start = before.agg(F.max("seen")).scalar()
-        rows = late_rows(
-            batch, ts, order, width_micros, delay_micros, lateness_micros, start=start
+    def split(batch: DataFrame, start: Column) -> DataFrame:
+        return late_rows(
+            batch, ts, order, width_micros, delay_micros, lateness_micros, marker, start
         )
-        rows.write.mode("overwrite").partitionBy("late").parquet(f"{folder}/out/batch={batch_id}")
-        seen = batch.select(micros(F.col(ts)).alias("seen")).unionByName(before)
-        newest = seen.agg(F.max("seen").alias("seen"))
-        newest.write.mode("overwrite").parquet(f"{folder}/state/batch={batch_id}")
 
-    return write
+    return _marked_writer(folder, ts, marker, split)
+
+
+def sorter_split_writer(folder: str, ts: str, order: Sequence[str], delay_micros: int) -> Write:
+    """Write each micro-batch's rows with the event sorter's ``late`` flag, partitioned by it:
+    the late output that goes with the sorter, which itself leaves such rows out."""
+
+    def split(batch: DataFrame, start: Column) -> DataFrame:
+        return sorter_rows(batch, ts, order, delay_micros, start)
+
+    return _marked_writer(folder, ts, None, split)
 
 
 def dynamic_rule_writer(
