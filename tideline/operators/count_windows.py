@@ -88,7 +88,12 @@ def count_window_sliding(
 
 
 def count_average(
-    df: DataFrame, key: str, order: Sequence[str], value: str, size: int = 3, hot_rows: int = HOT_ROWS
+    df: DataFrame,
+    key: str,
+    order: Sequence[str],
+    value: str,
+    size: int = 3,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Average of every ``size`` values of a key."""
     blocks = count_window_tumbling(df, key, order, value, size, hot_rows)

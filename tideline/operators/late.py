@@ -131,7 +131,9 @@ def sorter_split(
     return rows.filter(~F.col("late")).drop("late"), rows.filter(F.col("late")).drop("late")
 
 
-def car_sort(df: DataFrame, car: str, ts: str, order: Sequence[str], delay_micros: int) -> DataFrame:
+def car_sort(
+    df: DataFrame, car: str, ts: str, order: Sequence[str], delay_micros: int
+) -> DataFrame:
     """On-time events of each car in event-time order.
 
     A range partitioning on (car, ts, arrival) cuts a busy car's events over several tasks.
@@ -140,7 +142,9 @@ def car_sort(df: DataFrame, car: str, ts: str, order: Sequence[str], delay_micro
     return on_time.orderBy(car, ts, *order)
 
 
-def car_late_ids(df: DataFrame, event_id: str, ts: str, order: Sequence[str], delay_micros: int) -> DataFrame:
+def car_late_ids(
+    df: DataFrame, event_id: str, ts: str, order: Sequence[str], delay_micros: int
+) -> DataFrame:
     """Ids of the events that came too late to be sorted in."""
     _, late = sorter_split(df, ts, order, delay_micros)
     return late.select(event_id)

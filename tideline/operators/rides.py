@@ -32,13 +32,18 @@ def rides_enriched(rides: DataFrame) -> DataFrame:
     return with_cells(rides_in_city(rides))
 
 
-def ride_count(rides: DataFrame, driver: str = "driver_id", is_start: str = "is_start") -> DataFrame:
+def ride_count(
+    rides: DataFrame, driver: str = "driver_id", is_start: str = "is_start"
+) -> DataFrame:
     """Start events per driver."""
     return rides.filter(is_start).groupBy(driver).agg(F.count(F.lit(1)).alias("n"))
 
 
 def trip_minutes(
-    rides: DataFrame, start: str = "start_time", end: str = "end_time", is_start: str | None = "is_start"
+    rides: DataFrame,
+    start: str = "start_time",
+    end: str = "end_time",
+    is_start: str | None = "is_start",
 ) -> tuple[DataFrame, DataFrame]:
     """End events with their whole minutes, and the rejects that end before they start."""
     ends = rides.filter(~F.col(is_start)) if is_start else rides

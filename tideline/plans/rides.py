@@ -9,7 +9,8 @@ from tideline.functions.geo import grid_cell
 from tideline.operators import pairing
 from tideline.operators import rides as ops
 from tideline.operators.skew import lookup_join
-from tideline.plans.registry import cents, events, load, query
+from tideline.plans import cars
+from tideline.plans.registry import SQL, cents, events, load, query
 from tideline.session import work_folder
 from tideline.sources import records
 from tideline.sources.lines import read_lines
@@ -170,14 +171,20 @@ def parse_fares(spark, sf_dir):
             strftime(start_time, '%Y-%m-%d %H:%M:%S'), payment_type, tip, tolls, total_fare) AS line
         FROM {_FARES}
         UNION ALL
-        SELECT 'pair', '(' || event_type || ',' || event_id || ')' FROM events"""
+        SELECT 'pair', '(' || event_type || ',' || event_id || ')' FROM events
+        UNION ALL
+        SELECT 'segment', concat_ws(', ', user_id, epoch_us(start_time) // 1000,
+            length || ' events', max_speed || ' kph', manner) FROM ({SQL["stop_segments"]})"""
 )
 def format_records(spark, sf_dir):
-    fare_lines = records.format_fares(fares(spark, sf_dir), "line")
-    pair_lines = records.format_pairs(events(spark, sf_dir), "event_type", "event_id", "line")
-    return fare_lines.select(F.lit("fare").alias("kind"), "line").unionByName(
-        pair_lines.select(F.lit("pair").alias("kind"), "line")
-    )
+    segments = cars.stop_segments(spark, sf_dir)
+    texts = {
+        "fare": records.format_fares(fares(spark, sf_dir), "line"),
+        "pair": records.format_pairs(events(spark, sf_dir), "event_type", "event_id", "line"),
+        "segment": records.format_segments(segments, "user_id", "start_time", "line"),
+    }
+    kinds = [text.select(F.lit(kind).alias("kind"), "line") for kind, text in texts.items()]
+    return kinds[0].unionByName(kinds[1]).unionByName(kinds[2])
 
 
 @query("SELECT c_mktsegment AS key, CAST(c_custkey AS INTEGER) AS number FROM customer")
