@@ -39,7 +39,7 @@ def stop_segments(
         "_n": moving,
         "_speed": F.when(~stop, F.col(speed)),
         "_level": F.when(~stop, F.col(throttle).cast("double")),
-        "_k": F.when(~stop & F.col(throttle).isNotNull(), F.lit(1)).otherwise(F.lit(0)).cast("long"),
+        "_k": F.when(~stop & F.col(throttle).isNotNull(), 1).otherwise(0).cast("long"),
         "_m2": F.lit(0.0),
     }
     merge = {

@@ -166,7 +166,9 @@ def stream_join_rides_fares(spark, sf_dir):
     """Views and purchases of a user at most two hours apart."""
     rows = event_stream(spark, sf_dir)
     views = rows.filter(F.col("event_type") == "view")
-    views = views.select("user_id", F.col("ts").alias("view_ts"), F.col("event_id").alias("view_id"))
+    views = views.select(
+        "user_id", F.col("ts").alias("view_ts"), F.col("event_id").alias("view_id")
+    )
     bought = rows.filter(F.col("event_type") == "purchase").select(
         "user_id", F.col("ts").alias("purchase_ts"), F.col("event_id").alias("purchase_id")
     )
@@ -224,7 +226,8 @@ def stream_car_late_ids(spark, sf_dir):
         return batches.sorter_split_writer(path, "ts", ARRIVAL, HOUR)
 
     folder = finish_batches(_arrivals(spark, sf_dir), "sorter-late", make)
-    return spark.read.parquet(f"{folder}/out").filter(F.col("late").cast("boolean")).select("event_id")
+    found = spark.read.parquet(f"{folder}/out")
+    return found.filter(F.col("late").cast("boolean")).select("event_id")
 
 
 @query(

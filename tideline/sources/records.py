@@ -136,7 +136,11 @@ def parse_car_events(
 
 
 def parse_pairs(
-    lines: DataFrame, value: T.DataType, line: str = "value", separator: str = ",", mode: str = "rejects"
+    lines: DataFrame,
+    value: T.DataType,
+    line: str = "value",
+    separator: str = ",",
+    mode: str = "rejects",
 ) -> tuple[DataFrame, DataFrame]:
     """Lines "key<separator>number" as (key, number); blanks around the number are allowed."""
     fields = {"key": _at(0), "number": F.trim(_at(1)).try_cast(value)}
