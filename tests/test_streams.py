@@ -229,6 +229,28 @@ def test_dynamic_sessions_and_window_counts(spark, tmp_path):
     assert rows_of(counts) == rows_of(batch.filter("key <> 'end'"))
 
 
+def test_window_elements(spark, tmp_path):
+    rows = [(i, i % 2, t) for i, t in enumerate((0, 1, 2, 4, 5, 7, 1, 2))] + [(100, 9, 900)]
+    source = at_seconds(spark, rows, "seq long, key long, t long")
+    feed = Feed(spark, tmp_path, source.schema)
+    feed.add(source)
+    # All windows but that of the last row are closed by it.
+    for list_rows, name in ((1000, "whole"), (2, "parts")):
+        found = feed.run(
+            forms.window_elements(feed.stream(), "key", "ts", "seq", "10 seconds", "3 seconds", list_rows),
+            name,
+        )
+        flat = found.orderBy("key", "window_start", "part").collect()
+        texts = {}
+        for row in flat:
+            assert row.n <= list_rows
+            texts.setdefault((row.key, row.window_start), []).append(row.elements)
+        on_time, _ = late.late_split(source, "ts", ["seq"], 3 * SECOND, 3600 * SECOND)
+        expected = late.window_elements(on_time.filter("key < 9"), "key", "ts", ["seq"]).collect()
+        joined = {place: ", ".join(parts) for place, parts in texts.items()}
+        assert joined == {(r.key, r.window_start): r.elements for r in expected}
+
+
 def test_hourly_top_driver(spark, tmp_path):
     rng = random.Random(9)
     rows = [(i, rng.randrange(5), rng.randrange(90), i * 120) for i in range(200)]

@@ -79,6 +79,14 @@ def late_text(late: DataFrame, key: str, ts: str) -> DataFrame:
     return late.withColumn("text", pair)
 
 
+def element_text(key: str, ts: str) -> Column:
+    """An element as "(key,epoch ms)|clock time", in a column ``text``."""
+    epoch_ms = F.floor(micros(F.col(ts)) / MILLI).cast("long")
+    return F.format_string(
+        "(%s,%d)|%s", F.col(key).cast("string"), epoch_ms, clock(F.col(ts))
+    ).alias("text")
+
+
 def window_elements(
     on_time: DataFrame,
     key: str,
@@ -92,19 +100,16 @@ def window_elements(
     A window of more than ``list_rows`` elements comes out as several rows, numbered by
     ``part``, so no cell of the result grows without bound and no element is lost.
     """
-    epoch_ms = F.floor(micros(F.col(ts)) / MILLI).cast("long")
-    element = F.format_string("(%s,%d)|%s", F.col(key).cast("string"), epoch_ms, clock(F.col(ts)))
     keys = [key, "window_start", "window_end"]
-    rows = numbered(
-        on_time.select(*keys, *order, element.alias("_text")), keys, order, "_rn", hot_rows=hot_rows
-    )
+    elements = on_time.select(*keys, *order, element_text(key, ts))
+    rows = numbered(elements, keys, order, "_rn", hot_rows=hot_rows)
     part = F.floor((F.col("_rn") - 1) / list_rows).cast("long")
-    listed = F.sort_array(F.collect_list(F.struct("_rn", "_text")))
+    listed = F.sort_array(F.collect_list(F.struct("_rn", "text")))
     return (
         rows.groupBy(*keys, part.alias("part"))
         .agg(
             F.count(F.lit(1)).alias("n"),
-            F.array_join(F.transform(listed, lambda e: e["_text"]), ", ").alias("elements"),
+            F.array_join(F.transform(listed, lambda e: e["text"]), ", ").alias("elements"),
         )
         .select(*keys, "part", "n", "elements")
     )

@@ -18,12 +18,12 @@ from tideline.streaming import batches, forms
 
 
 def stream(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    """A table's file as a stream."""
+    """A table's files as a stream, at most a thousand per micro-batch, in the order they came."""
     use_utc(spark)
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     schema = load(spark, sf_dir, table).schema
     reader = spark.readStream.schema(schema).option("pathGlobFilter", f"{table}.parquet")
-    return reader.parquet(sf_dir)
+    return reader.option("maxFilesPerTrigger", 1000).parquet(sf_dir)
 
 
 def event_stream(spark, sf_dir) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from tideline.functions.stats import erratic_class
 from tideline.functions.time import from_micros, micros, time_type
 from tideline.operators import time_windows as tw
+from tideline.operators.late import element_text
 from tideline.streaming import processors as p
 
 
@@ -196,6 +197,31 @@ def window_count(rows, ts: str, delay: str, width: str, slide: str | None = None
     return tw.window_count(rows.withWatermark(ts, delay), ts, width, slide, keys)
 
 
+def window_elements(
+    rows, key: str, ts: str, seq: str, delay: str, width: str, list_rows: int = 10_000
+):
+    """The elements of each closed window and key as text, in arrival order.
+
+    Elements come in parts by arrival number (``seq``, which does not repeat), so that a part
+    holds at most ``list_rows`` of them.
+    """
+    part = F.floor(F.col(seq) / list_rows).cast("long").alias("part")
+    found = (
+        rows.withWatermark(ts, delay)
+        .groupBy(F.window(ts, width).alias("_w"), key, part)
+        .agg(F.sort_array(F.collect_list(F.struct(seq, element_text(key, ts)))).alias("_list"))
+    )
+    texts = F.transform("_list", lambda element: element["text"])
+    return found.select(
+        key,
+        F.col("_w.start").alias("window_start"),
+        F.col("_w.end").alias("window_end"),
+        "part",
+        F.size("_list").cast("long").alias("n"),
+        F.array_join(texts, ", ").alias("elements"),
+    )
+
+
 def event_sorter(events, key: str, ts: str, seq: str, payload: str, delay: str):
     """Events of a key in event-time order; those behind the watermark are left out."""
     kind = time_type(events, ts)
