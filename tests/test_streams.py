@@ -353,6 +353,17 @@ def test_idle_count(spark, tmp_path):
     assert rows_of(spark.table("idle")) == [("a", 2), ("b", 1)]
 
 
+def test_console_sink_and_socket_source(spark, tmp_path):
+    feed = Feed(spark, tmp_path, "key long")
+    feed.add(spark.range(3).withColumnRenamed("id", "key"))
+    query = write_stream(feed.stream(), "console", checkpoint=str(tmp_path / "c")).start()
+    query.awaitTermination()
+    assert query.exception() is None
+    # Described only; nothing connects before a stream starts.
+    lines = read_lines(spark, "socket", "localhost:9", stream=True)
+    assert lines.isStreaming and lines.columns == ["value"]
+
+
 def test_unknown_sink(spark, tmp_path):
     with pytest.raises(ValueError):
         write_stream(spark.readStream.format("rate").load(), "tape", checkpoint=str(tmp_path))
