@@ -87,3 +87,41 @@ def ranked(df: DataFrame, keys: Sequence[str], order: Sequence[str], rank: str)
 def hash_bits(column: Column, digits: int) -> Column:
     """The first hex digits of a string's MD5 as a number: the same in Spark and other SQL."""
     return F.conv(F.substring(F.md5(column), 1, digits), 16, 10).cast("long")
+
+
+def join_groups(
+    rows: DataFrame, groups: DataFrame, key: str, size: str, hot: int = 1000
+) -> DataFrame:
+    """Join rows with a table of one row per key that counts the key's rows in ``size``.
+
+    The rows of keys with more than ``hot`` rows stay where they are and meet a broadcast of
+    those keys, which are fewer than rows / hot and are counted first; all others are shuffled.
+    Pass settled tables: both are read more than once.
+    """
+    big = groups.where(F.col(size) > hot)
+    known = settled(big)
+    if known.count() > BROADCAST_ROWS:
+        return rows.join(groups, key)
+    many = rows.join(F.broadcast(known), key)
+    rest = rows.join(F.broadcast(known.select(key)), key, "left_anti")
+    return many.unionByName(rest.join(groups.where(F.col(size) <= hot), key))
+
+
+def whole(docs: DataFrame) -> DataFrame:
+    """The rows with all their columns in one struct ``doc``, so that no name clashes."""
+    return docs.select(F.struct(*[docs[f"`{name}`"] for name in docs.columns]).alias("doc"))
+
+
+def keep(docs: DataFrame, kept: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """The documents whose (doc_id, print) is in ``kept``; of repeated rows one."""
+    one = F.struct(
+        F.col(f"doc.`{doc_id}`").alias("doc_id"), text_print(F.col(f"doc.`{text}`")).alias("print")
+    )
+    single = whole(docs).groupBy(one.alias("_one")).agg(F.first("doc").alias("doc"))
+    wanted = kept.select(F.struct("doc_id", "print").alias("_kept")).distinct()
+    return single.join(wanted, F.col("_one").eqNullSafe(F.col("_kept")), "left_semi").select("doc.*")
+
+
+def text_print(text: Column) -> Column:
+    """A short hash of a text, to tell apart rows that share a doc_id."""
+    return F.xxhash64(text, F.lit(1))

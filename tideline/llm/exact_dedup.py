@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BLANKS, settled
+from .common import BLANKS, join_groups, settled, whole
 
 #: Bits of the filter: 2^27 bits are at most 2^21 words, 32 MB of data, on each executor.
 FILTER_BITS = 1 << 27
@@ -79,12 +79,14 @@ def exact_groups(
         F.lit(True).alias("kept"),
         "text_sha256",
     )
-    suspects = marked.where("_suspect")
-    groups = suspects.groupBy(F.col("text_sha256").alias("_sha")).agg(
-        F.count("*").alias("group_size"),
-        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_row")).alias("_first"),
+    suspects = settled(marked.where("_suspect").drop("_suspect"))
+    groups = settled(
+        suspects.groupBy("text_sha256").agg(
+            F.count("*").alias("group_size"),
+            F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_row")).alias("_first"),
+        )
     )
-    several = suspects.join(groups, F.col("text_sha256") == F.col("_sha")).select(
+    several = join_groups(suspects, groups, "text_sha256", "group_size").select(
         "doc_id",
         F.col("_first.doc_id").alias("keep_id"),
         "group_size",
@@ -102,12 +104,9 @@ def keep_first(
     Whole rows shuffle only for suspects, and of those one per task and text: the smallest row
     of a text is found by partial aggregation, so many copies do not meet in one task.
     """
-    whole = docs.select(
-        F.struct(*[docs[f"`{name}`"] for name in docs.columns]).alias("doc"),
-        normal_sha256(F.col(text)).alias("_sha"),
-    )
+    rows = whole(docs).withColumn("_sha", normal_sha256(F.col(f"doc.`{text}`")))
     hashes = settled(docs.select(normal_sha256(F.col(text)).alias("_sha")))
-    marked = with_suspicion(whole, "_sha", repeated_bits(hashes, "_sha", filter_bits), filter_bits)
+    marked = with_suspicion(rows, "_sha", repeated_bits(hashes, "_sha", filter_bits), filter_bits)
     first = F.struct(F.col(f"doc.`{doc_id}`").isNull(), F.col(f"doc.`{doc_id}`"))
     reduced = marked.where("_suspect").groupBy("_sha").agg(F.min_by("doc", first).alias("doc"))
     return marked.where(~F.col("_suspect")).select("doc.*").unionByName(reduced.select("doc.*"))

@@ -17,10 +17,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, hash_bits, if_small, ranked, settled
+from .common import WORD, hash_bits, if_small, ranked, settled, text_print, whole
 
 #: Weights of the sources in code point order, repeating.
 WEIGHTS = (3, 1, 2)
@@ -99,15 +99,11 @@ def _sizes(docs: DataFrame, doc_id: str, text: str, source: str) -> DataFrame:
             F.col(source).alias("source"),
             F.coalesce(words, F.lit(0)).cast("long").alias("size"),
             F.md5(F.coalesce(F.col(doc_id).cast("string"), F.lit(""))).alias("key"),
-            _print(F.col(text)).alias("print"),
+            text_print(F.col(text)).alias("print"),
         )
     )
 
 
-def _print(text: Column) -> Column:
-    return F.xxhash64(text, F.lit(1))
-
-
 def mix(
     docs: DataFrame,
     doc_id: str = "doc_id",
@@ -150,15 +146,12 @@ def mixed(
         .agg(F.sum("copies").alias("_copies"))
         .where("_copies > 0")
     )
-    whole = docs.select(
-        F.struct(*[docs[f"`{name}`"] for name in docs.columns]).alias("doc"),
-        F.struct(
-            F.col(doc_id).alias("doc_id"),
-            F.col(source).alias("source"),
-            _print(F.col(text)).alias("print"),
-        ).alias("_one"),
+    one = F.struct(
+        F.col(f"doc.`{doc_id}`").alias("doc_id"),
+        F.col(f"doc.`{source}`").alias("source"),
+        text_print(F.col(f"doc.`{text}`")).alias("print"),
     )
-    single = whole.groupBy("_one").agg(F.first("doc").alias("doc"))
+    single = whole(docs).groupBy(one.alias("_one")).agg(F.first("doc").alias("doc"))
     joined = single.join(taken, F.col("_one").eqNullSafe(F.col("_same")))
     # two steps, so that no array of a much repeated document gets long
     runs = joined.withColumn("_run", F.explode(F.expr(f"sequence(0L, (_copies - 1) div {RUN})")))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, mixing
+from . import exact_dedup, histogram_packing, language, mixing, near_dedup
 from .common import table
 
 
@@ -12,12 +12,27 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.classes(table(spark, sf_dir, "documents")).drop("print")
+
+
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
+def op9_histogram_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return histogram_packing.pack(table(spark, sf_dir, "documents"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
     "op3_exact_dedup": op3_exact_dedup,
+    "op5_near_dedup": op5_near_dedup,
+    "op7_language": op7_language,
+    "op9_histogram_packing": op9_histogram_packing,
     "op10_mixing": op10_mixing,
 }
 
