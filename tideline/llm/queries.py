@@ -4,22 +4,53 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, histogram_packing, language, mixing, near_dedup
+from . import (
+    bfd_packing,
+    exact_dedup,
+    grid_join,
+    histogram_packing,
+    language,
+    licences,
+    mixing,
+    near_dedup,
+    secrets,
+    toxicity,
+)
 from .common import table
 
 
+def op1_bfd_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bfd_packing.pack_matrix(table(spark, sf_dir, "documents"))
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op4_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(table(spark, sf_dir, "documents"))
+
+
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.classes(table(spark, sf_dir, "documents")).drop("print")
 
 
+def op6_grid_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return grid_join.linked(table(spark, sf_dir, "embeddings"))
+
+
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
 
 
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digest(table(spark, sf_dir, "documents"))
+
+
 def op9_histogram_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return histogram_packing.pack(table(spark, sf_dir, "documents"))
 
@@ -29,9 +60,14 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_bfd_packing": op1_bfd_packing,
+    "op2_toxicity": op2_toxicity,
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_licences": op4_licences,
     "op5_near_dedup": op5_near_dedup,
+    "op6_grid_join": op6_grid_join,
     "op7_language": op7_language,
+    "op8_secrets": op8_secrets,
     "op9_histogram_packing": op9_histogram_packing,
     "op10_mixing": op10_mixing,
 }
@@ -75,4 +111,22 @@ taken AS (
     (n.rank * s.each + s.place) // 16777216 - ((n.rank - 1) * s.each + s.place) // 16777216 AS copies
   FROM numbered n JOIN steps s ON n.source IS NOT DISTINCT FROM s.source)
 SELECT doc_id, size, source_size, target, copies * size AS taken, source, copies FROM taken""",
+    "op4_licences": licences.oracle_sql(),
+    "op6_grid_join": """
+WITH RECURSIVE usable AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b
+  ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+reached(node, other) AS (
+  SELECT vec_id, vec_id FROM embeddings
+  UNION SELECT node, b FROM reached JOIN links ON other = a),
+roots AS (SELECT node, min(other) AS component_id FROM reached GROUP BY node),
+counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN roots ON vec_id = node LEFT JOIN counts ON vec_id = a""",
 }
