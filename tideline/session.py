@@ -7,7 +7,7 @@ import tempfile
 import uuid
 
 from pyspark import cloudpickle
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -51,6 +51,26 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
     return f"{root.rstrip('/')}/tideline/{purpose}-{uuid.uuid4().hex}"
 
 
+def settled(df: DataFrame) -> DataFrame:
+    """The same rows with their lineage cut, in the checkpoint folder that all executors share.
+
+    Its partitions and their row order stay as they are for every later job, whatever
+    executors are lost.
+    """
+    context = df.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(work_folder(df.sparkSession, "checkpoints"))
+    return df.checkpoint()
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder that this library made, in whatever store it lies."""
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    store = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    store.delete(place, True)
+
+
 def ship_by_value(module: str) -> None:
     """Send a module's functions and classes to the Python workers with the task, so that
     executors need no copy of this package."""
