@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import work_folder
+from ..session import settled, work_folder
 
 #: Blanks that separate words: space, tab, line feed, vertical tab, form feed, carriage return.
 BLANKS = r"[\x20\x09-\x0D]+"
@@ -23,18 +23,6 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
-def settled(df: DataFrame) -> DataFrame:
-    """The same rows with their lineage cut, in the checkpoint folder that all executors share.
-
-    Its partitions and their row order stay as they are for every later job, whatever
-    executors are lost.
-    """
-    context = df.sparkSession.sparkContext
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(work_folder(df.sparkSession, "checkpoints"))
-    return df.checkpoint()
-
-
 def landed(df: DataFrame, purpose: str) -> DataFrame:
     """The same rows as a Parquet table in the shared folder, for wide rows that are read in
     part: later scans read only the columns that they need."""
@@ -51,6 +39,12 @@ def if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(known) if known.count() <= rows else known
 
 
+def compact(df: DataFrame, rows: int, per_part: int = 100_000) -> DataFrame:
+    """Fewer partitions for a table of at most ``rows`` narrow rows, so that jobs over small
+    tables do not write a file per default partition."""
+    return df.coalesce(max(1, -(-rows // per_part)))
+
+
 def ranked(df: DataFrame, keys: Sequence[str], order: Sequence[str], rank: str) -> DataFrame:
     """Number the rows of each key from 0 in the given order, however many rows a key has.
 

@@ -1,7 +1,8 @@
 """Connected components of a graph given by its links, by alternating star contractions.
 
 Each round only joins links with the smallest neighbour of a node and counts what is left; links
-stay distributed, and nodes with very many links go through a join that spares them the shuffle.
+stay distributed. A node with very many links is split over tasks by adaptive skew joins, and its
+smallest neighbour is found by partial aggregation.
 """
 
 from __future__ import annotations
@@ -9,19 +10,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import join_groups, settled
+from .common import compact, settled
 
 
 def _links(first: str, second: str) -> list:
     return [F.col(first).alias("u"), F.col(second).alias("v")]
 
 
-def _least(links: DataFrame) -> DataFrame:
-    return settled(
-        links.groupBy("u").agg(F.min("v").alias("least"), F.count("*").alias("degree"))
-    )
-
-
 def components(links: DataFrame, first: str, second: str) -> DataFrame:
     """(node, root) for every node of a link, root being the smallest node it is connected to.
 
@@ -29,26 +24,26 @@ def components(links: DataFrame, first: str, second: str) -> DataFrame:
     nothing.
     """
     greater, lesser = F.greatest(first, second), F.least(first, second)
-    links = settled(
-        links.select(greater.alias("u"), lesser.alias("v")).where("u > v").distinct()
-    )
-    state = None
+    pairs = links.select(greater.alias("u"), lesser.alias("v")).where("u > v")
+    links = settled(pairs.distinct())
+    n, state = links.count(), None
+
+    def least(rows: DataFrame) -> DataFrame:
+        return settled(compact(rows.groupBy("u").agg(F.min("v").alias("least")), n))
+
     while True:
         # large star: each greater neighbour of a node is linked to the node's least neighbour
-        both = settled(links.unionByName(links.select(*_links("v", "u"))))
-        joined = join_groups(both, _least(both), "u", "degree")
-        large = settled(
-            joined.where("v > u").select(F.col("v").alias("u"), F.least("u", "least").alias("v"))
-            .distinct()
-        )
+        both = links.unionByName(links.select(*_links("v", "u")))
+        greater_ones = both.join(least(both), "u").where("v > u")
+        moved = greater_ones.select(F.col("v").alias("u"), F.least("u", "least").alias("v"))
+        large = settled(compact(moved.distinct(), n))
         # small star: a node and its lesser neighbours are linked to the least of them
-        least = _least(large)
-        joined = join_groups(large, least, "u", "degree")
-        moved = joined.where("v > least").select(*_links("v", "least"))
-        links = settled(moved.unionByName(least.select(*_links("u", "least"))).distinct())
-        seen = links.agg(
-            F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)")).alias("sum")
-        ).first()
+        lowest = least(large)
+        moved = large.join(lowest, "u").where("v > least").select(*_links("v", "least"))
+        ends = lowest.select(*_links("u", "least"))
+        links = settled(compact(moved.unionByName(ends).distinct(), n))
+        counted = F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)")).alias("sum")
+        seen = links.agg(*counted).first()
         if seen == state:
             break
         state = seen

@@ -28,6 +28,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import ship_by_value
 from .common import join_groups, landed, ranked, settled
@@ -99,7 +100,13 @@ def principal_directions(nodes: DataFrame, directions: int) -> dict[int, np.ndar
 def _projected(nodes: DataFrame, epsilon: float, directions: int) -> DataFrame:
     """Add place (coordinates in the leading directions) and cells (of the grid)."""
     bases = principal_directions(nodes, directions)
-    schema = nodes.schema.add("place", "array<double>").add("cells", "array<int>")
+    schema = T.StructType(
+        [
+            *nodes.schema.fields,
+            T.StructField("place", T.ArrayType(T.DoubleType())),
+            T.StructField("cells", T.ArrayType(T.IntegerType())),
+        ]
+    )
 
     def project(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

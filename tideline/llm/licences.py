@@ -208,7 +208,7 @@ normal AS (
     trim(regexp_replace(translate(part, '{UPPER}', '{UPPER.lower()}'), '[^a-z0-9]+', ' ', 'g')) AS s
   FROM cut),
 named AS (
-  SELECT r, doc_id, joined, at, coalesce(name,
+  SELECT r, doc_id, joined, pos, coalesce(name,
     CASE WHEN regexp_matches(s, '{SPEAKS}') THEN '{UNKNOWN}' END) AS name
   FROM normal LEFT JOIN known ON s = sentence),
 counted AS (

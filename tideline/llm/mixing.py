@@ -62,7 +62,8 @@ def targets(
     ) / F.sum("weight").over(after)
     walked = named.select("*", full_at).withColumn("level", level)
     open_level = F.when(F.col("level") <= F.col("full_at"), F.col("level"))
-    return walked.withColumn("level", F.min(open_level).over(everything)).select(
+    # it falls from the first source that stays below its greatest target on
+    return walked.withColumn("level", F.max(open_level).over(everything)).select(
         "source",
         "source_size",
         F.least(

@@ -98,7 +98,7 @@ walked AS (
   FROM full_at),
 goals AS (
   SELECT source, source_size, least(source_size * 2::DOUBLE, coalesce(weight * (
-    SELECT min(level) FROM walked WHERE level <= full_at), source_size * 2::DOUBLE)) AS target
+    SELECT max(level) FROM walked WHERE level <= full_at), source_size * 2::DOUBLE)) AS target
   FROM walked),
 steps AS (
   SELECT *, coalesce(round(target / nullif(source_size, 0) * 16777216), 0)::BIGINT AS each,

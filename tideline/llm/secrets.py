@@ -3,7 +3,7 @@
 The patterns give the base spans. Beside them, a long token is scored by two Markov models of its
 characters, one of random strings and one of ordinary identifiers, by the mean log-likelihood
 ratio of its transitions. The models are counted from labelled samples: the values of base spans
-are random strings, the words of the same texts outside any base span are ordinary. The sample is
+are random strings; words outside any base span that occur in two documents are ordinary. The sample is
 bounded, ``SAMPLE`` documents or few more, chosen by a hash; the models are two tables of fixed
 size. All else covers every whole text.
 
@@ -58,9 +58,8 @@ WORD = r"[A-Za-z][A-Za-z0-9_-]{4,}"
 SAMPLE = 20_000
 #: Mean log-likelihood ratio per transition from which a token counts as random.
 THRESHOLD = 0.5
-#: Added to each count: random strings are nearly uniform, words are not.
-PRIOR_RANDOM = 4.0
-PRIOR_WORD = 0.5
+#: Added to each count, so that a few strings in the wrong class do not decide.
+PRIOR = 4.0
 
 EMPTY = "array<struct<start:bigint,kind:int,end:bigint>>"
 
@@ -123,7 +122,7 @@ def train(
                 ),
                 F.struct(
                     F.lit(False).alias("random"),
-                    F.regexp_extract_all(rest, F.lit(WORD), F.lit(0)).alias("tokens"),
+                    F.array_distinct(F.regexp_extract_all(rest, F.lit(WORD), F.lit(0))).alias("tokens"),
                 ),
             )
         ).alias("side")
@@ -134,7 +133,9 @@ def train(
     )
     # at most two rows per pair of characters
     rows = (
-        labelled.distinct()
+        labelled.groupBy("random", "token")
+        .count()
+        .where("random or count > 1")
         .select("random", F.explode(pairs).alias("pair"))
         .where("pair is not null")
         .groupBy("random", "pair")
@@ -146,15 +147,20 @@ def train(
 
 def ratios(counts: dict[tuple[bool, str], int]) -> list[float]:
     """Log-likelihood ratios from the counts of (random, pair of characters)."""
-    totals: dict[tuple[bool, str], float] = defaultdict(float)
+    first: dict[tuple[bool, str], float] = defaultdict(float)
+    second: dict[tuple[bool, str], float] = defaultdict(float)
     for (random, pair), n in counts.items():
         if pair[0] in ALPHABET and pair[1] in ALPHABET:
-            totals[random, pair[0]] += n
+            first[random, pair[0]] += n
+            second[random, pair[1]] += n
+    totals = {side: sum(second[side, a] for a in ALPHABET) for side in (True, False)}
+    size = len(ALPHABET)
 
     def log_chance(random: bool, a: str, b: str) -> float:
-        prior = PRIOR_RANDOM if random else PRIOR_WORD
-        n = counts.get((random, a + b), 0)
-        return math.log((n + prior) / (totals[random, a] + prior * len(ALPHABET)))
+        # transitions seldom seen lean on how often their second character comes at all
+        alone = (second[random, b] + PRIOR) / (totals[random] + PRIOR * size)
+        n = counts.get((random, a + b), 0) + PRIOR * size * alone
+        return math.log(n / (first[random, a] + PRIOR * size))
 
     return [log_chance(True, a, b) - log_chance(False, a, b) for a in ALPHABET for b in ALPHABET]
 

@@ -1,7 +1,8 @@
 """Toxicity by weak supervision.
 
-Many voters look at a text: one for each word of a lexicon, one for each word that the labelled
-sample shows to go with toxic texts, and patterns. A generative model takes each document's true
+Many voters look at a text: one for each word of a lexicon, one for each beginning of words that
+the labelled sample shows to go with toxic texts (so insults are found with any ending), and
+patterns. A generative model takes each document's true
 class as hidden (known where a training label exists) and estimates by expectation-maximisation
 how often each voter fires in either class; voters that still correlate within a class share their
 weight. A linear classifier is then trained on the model's posterior labels; it also sees how many
@@ -52,10 +53,11 @@ LEXICON = (
 #: Labelled training documents, and others (the expected numbers).
 LABELLED = 20_000
 UNLABELLED = 10_000
-#: Words that the labelled sample may add: at most so many, each in so many toxic texts at least.
-MINED = 100
-MINED_TEXTS = 8
-#: Share of toxic texts among those with a mined word.
+#: Beginnings of words that the labelled sample may add: at most so many, of these lengths, each in
+#: so many toxic texts at least, which are such a share of all texts that have it.
+MINED = 200
+BEGINNINGS = (4, 5, 6)
+MINED_TEXTS = 6
 MINED_SHARE = 0.8
 PARTS, HELD_OUT = 5, 0
 RESULT = "double"
@@ -73,20 +75,24 @@ def patterns() -> list[re.Pattern]:
 
 @dataclass
 class Voters:
-    """The voters; pickled as a list of words."""
+    """The voters: whole words, beginnings of words (after those), and patterns."""
 
     words: list[str]
+    whole: int
 
     def __getstate__(self) -> dict:
-        return {"words": self.words}
+        return {"words": self.words, "whole": self.whole}
 
     @cached_property
     def _automaton(self):
         import ahocorasick
 
-        found = ahocorasick.Automaton()
+        places: dict[str, list[int]] = {}
         for i, word in enumerate(self.words):
-            found.add_word(word, (i, len(word)))
+            places.setdefault(word, []).append(i)
+        found = ahocorasick.Automaton()
+        for word, numbers in places.items():
+            found.add_word(word, (numbers, len(word)))
         found.make_automaton()
         return found
 
@@ -105,12 +111,13 @@ class Voters:
             return counts
         folded = text.lower()
         last = len(folded)
-        for end, (i, length) in self._automaton.iter(folded):
-            begin = end - length
-            if (begin < 0 or not folded[begin].isalnum()) and (
-                end + 1 >= last or not folded[end + 1].isalnum()
-            ):
-                counts[i] += 1
+        for end, (numbers, length) in self._automaton.iter(folded):
+            before = end - length
+            if before >= 0 and folded[before].isalnum():
+                continue
+            ends = end + 1 >= last or not folded[end + 1].isalnum()
+            for i in numbers:
+                counts[i] += ends or i >= self.whole
         for i, pattern in enumerate(self._patterns, len(self.words)):
             counts[i] = bool(pattern.search(text))
         counts[-1] = text.count(" ") + 1
@@ -203,16 +210,23 @@ def _sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _mined(sample: DataFrame) -> list[str]:
-    """Words of the labelled sample that go with toxic texts, strongest first."""
+    """Beginnings of words of the labelled sample that go with toxic texts, strongest first; none
+    that begins with another."""
     words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}{3,}"), F.lit(0)))
+    cut = F.transform(words, lambda w: F.array(*[F.substring(w, 1, n) for n in BEGINNINGS]))
     counted = (
         sample.where("toxic is not null")
-        .select("toxic", F.explode(words).alias("word"))
-        .groupBy("word")
+        .select("toxic", F.explode(F.array_distinct(F.flatten(cut))).alias("start"))
+        .groupBy("start")
         .agg(F.sum("toxic").alias("toxic"), F.count("*").alias("n"))
         .where(f"toxic >= {MINED_TEXTS} and toxic >= {MINED_SHARE} * n")
+        .withColumn("use", F.expr("toxic - 5 * (n - toxic)"))
     )
-    return [row["word"] for row in counted.orderBy(F.desc("toxic"), "word").limit(MINED).collect()]
+    found: list[str] = []
+    for row in counted.orderBy(F.desc("use"), F.length("start"), "start").limit(20 * MINED).collect():
+        if len(found) < MINED and not any(row["start"].startswith(other) for other in found):
+            found.append(row["start"])
+    return found
 
 
 @dataclass
@@ -231,8 +245,9 @@ class Model:
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
     """Learn from documents (doc_id, text) and labels (doc_id, toxic) outside the held-out part."""
     sample = _sample(docs, labels)
-    words = list(dict.fromkeys([*LEXICON, *_mined(sample)]))
-    voters = Voters(words)
+    lexicon = list(dict.fromkeys(LEXICON))
+    words = [*lexicon, *_mined(sample)]
+    voters = Voters(words, len(lexicon))
 
     @F.pandas_udf("array<float>")
     def votes(texts: pd.Series) -> pd.Series:
