@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tideline.operators import control, pairing
 from tideline.operators import count_windows as cw
-from tideline.operators.running import Fold, chunk_levels, running
+from tideline.operators.running import Fold, chunk_levels, range_chunks, running, with_chunks
 from tideline.operators.skew import hot_keys, lookup_join
 
 PAIRS = [(1, 3, 0), (1, 5, 1), (1, 7, 2), (2, 4, 3), (2, 2, 4), (2, 5, 5)]
@@ -79,10 +79,41 @@ def test_running_folds_of_hot_keys_match_brute_force(spark, small_chunks):
         assert rows_of(found) == sorted(expected, key=repr)
 
 
-def test_rows_with_a_null_key_stay_together(spark, small_chunks):
-    source = pairs(spark, [(None, 1, i) for i in range(6)])
+def test_a_null_key_is_split_like_any_other(spark, small_chunks):
+    source = pairs(spark, [(None, 1, i) for i in range(60)] + [(5, 1, 100)])
     total = running(source, ["key"], ["seq"], {"t": Fold("sum", F.col("value"))}, hot_rows=2)
-    assert [r.t for r in total.orderBy("seq").collect()] == [1, 2, 3, 4, 5, 6]
+    assert [r.t for r in total.orderBy("seq").collect()] == [*range(1, 61), 1]
+    chunks = with_chunks(source, ["key"], chunk_levels(F.col("seq")), hot_rows=2)
+    sizes = chunks.groupBy("key", "_hot", "_chunk0").count()
+    assert sizes.agg(F.max("count")).first()[0] == 2
+    both = [Fold("max", F.col("seq")), Fold("sum", F.col("value"), inclusive=False)]
+    for fold in both:
+        found = running(source, ["key"], ["seq"], {"t": fold}, hot_rows=2)
+        plain = running(source, ["key"], ["seq"], {"t": fold})
+        assert rows_of(found) == rows_of(plain)
+
+
+def test_sparse_and_repeated_orders(spark):
+    """Order values far apart, and one that repeats in half of the rows."""
+    sparse = spark.range(500).select(
+        F.lit(1).alias("value"), (F.col("id") * (1 << 33)).alias("seq"), F.col("id").alias("n")
+    )
+    total = {"t": Fold("sum", F.col("value"))}
+    found = running(sparse, [], ["seq"], total)
+    assert [r.t for r in found.orderBy("seq").collect()] == list(range(1, 501))
+    levels = chunk_levels(F.col("seq"))
+    assert len(levels) == 2
+    met = sparse.select(*[c.alias(f"l{i}") for i, c in enumerate(levels)]).distinct()
+    assert met.groupBy("l1").count().agg(F.max("count")).first()[0] <= 128
+    repeated = sparse.withColumn("seq", F.when(F.col("n") < 250, 0).otherwise(F.col("n")))
+    repeated = repeated.withColumn("k", F.when(F.col("n") % 3 > 0, F.lit("hot")))
+    for keys in ([], ["k"]):
+        cut = range_chunks(repeated, keys, ["seq", "n"], 8)
+        assert cut.groupBy(*keys, "_chunk0").count().agg(F.max("count")).first()[0] <= 150
+        assert cut.where("seq = 0").select("_chunk0").distinct().count() > 1
+        found = running(cut, keys, ["seq", "n"], total).select("n", *keys, "t")
+        plain = running(repeated, keys, ["seq", "n"], total).select("n", *keys, "t")
+        assert rows_of(found) == rows_of(plain)
 
 
 def test_chunks_are_bounded_and_ordered(spark):
@@ -100,7 +131,7 @@ def test_hot_keys_and_lookup_join(spark):
     right = spark.createDataFrame([(1, "hot"), (70, "cold"), (999, "none")], "k long, name string")
     assert hot_keys(left, ["k"], 10).count() == 1
     for how in ("inner", "left", "left_semi", "left_anti"):
-        found = lookup_join(left, right, ["k"], how, hot_rows=10)
+        found = lookup_join(left, right, ["k"], how)
         plain = left.join(right, "k", how)
         assert rows_of(found, *plain.columns) == rows_of(plain)
 
@@ -110,12 +141,11 @@ def test_blocklists(spark):
         [("data", 2), ("DROP", 3), ("artisans", 4), ("IGNORE", 5)], "word string, seq long"
     )
     names = spark.createDataFrame([("DROP", 0), ("IGNORE", 1)], "word string, seq long")
-    for hot_rows, small_rows in ((1 << 20, 10), (1 << 20, 1), (0, 1)):
-        passed = control.blocklist_anti(words, names, ["word"], hot_rows, small_rows)
-        assert rows_of(passed, "word") == [("artisans",), ("data",)]
-        early = names.withColumn("seq", F.when(F.col("word") == "DROP", 4).otherwise(0))
-        ordered = control.blocklist_ordered(words, early, "word", "seq", hot_rows, small_rows)
-        assert rows_of(ordered, "word") == [("DROP",), ("artisans",), ("data",)]
+    passed = control.blocklist_anti(words, names, ["word"])
+    assert rows_of(passed, "word") == [("artisans",), ("data",)]
+    early = names.withColumn("seq", F.when(F.col("word") == "DROP", 4).otherwise(0))
+    ordered = control.blocklist_ordered(words, early, "word", "seq")
+    assert rows_of(ordered, "word") == [("DROP",), ("artisans",), ("data",)]
 
 
 def test_dynamic_rule(spark, small_chunks):

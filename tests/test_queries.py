@@ -9,6 +9,7 @@ duckdb = pytest.importorskip("duckdb")
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent / "tools"))
 
 import __spark_entry__ as entry  # noqa: E402
+from tideline import plans  # noqa: E402
 from check import TABLES, plain  # noqa: E402
 
 FOLDER = Path("/root/testdata/sf0.001")
@@ -23,10 +24,10 @@ def db():
     return connection
 
 
-@pytest.mark.parametrize("name", entry.queries())
+@pytest.mark.parametrize("name", plans.QUERIES)
 def test_query(spark, db, name):
-    mine = plain(entry.queries()[name](spark, str(FOLDER)).toPandas())
-    theirs = plain(db.sql(entry.oracle_sql()[name]).df())
+    mine = plain(plans.QUERIES[name](spark, str(FOLDER)).toPandas())
+    theirs = plain(db.sql(plans.SQL[name]).df())
     assert list(mine.columns) == list(theirs.columns)
     assert len(mine) == len(theirs) > 0
     assert mine.equals(theirs)

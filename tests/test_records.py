@@ -161,3 +161,10 @@ def test_queue_options_and_unknown_sources(spark):
         read_lines(spark, "carrier pigeon", "x")
     with pytest.raises(ValueError):
         read_lines(spark, "socket", "localhost:1")
+
+
+def test_separators_stand_for_themselves(spark):
+    for separator in "|.;$":
+        source = lines(spark, f"ab{separator}5\na.b{separator} 6" if separator != "." else "ab.5\nc. 6")
+        good, bad = records.parse_pairs(source, T.IntegerType(), separator=separator)
+        assert rows_of(good, "number") == [(5,), (6,)] and bad.count() == 0

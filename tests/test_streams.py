@@ -3,6 +3,7 @@
 import random
 import time
 
+import pandas as pd
 import pytest
 from conftest import rows_of
 from pyspark.sql import functions as F
@@ -11,10 +12,10 @@ from test_windows import at_seconds as since_epoch
 
 from tideline.functions.time import SECOND
 from tideline.operators import count_windows as cw
-from tideline.operators import late, pairing, segments, sessions, time_windows, words
+from tideline.operators import control, late, pairing, segments, sessions, time_windows, words
 from tideline.sources.lines import read_lines
-from tideline.sources.sinks import batched_writer, write_stream
-from tideline.streaming import batches, forms
+from tideline.sources.sinks import write_stream
+from tideline.streaming import batches, forms, processors
 
 
 def at_seconds(spark, rows, schema="key string, t long"):
@@ -183,19 +184,31 @@ def test_stop_segments(spark, tmp_path):
     assert rows_of(found, *columns) == rows_of(expected, *columns)
 
 
-def test_event_sorter(spark, tmp_path):
+def sorter_parts(feed, source, write):
+    for part in (source.filter("seq <= 5"), source.filter("seq > 5"), closing_row(feed.spark, 500)):
+        feed.add(part)
+        feed.run_batches(feed.stream(), write)
+
+
+def test_event_sorter_has_two_disjoint_outputs(spark, tmp_path):
     source = car_rows(spark)
     feed = Feed(spark, tmp_path, source.schema)
-    for part in (source.filter("seq <= 5"), source.filter("seq > 5"), closing_row(spark, 500)):
-        feed.add(part)
-        found = feed.run(forms.event_sorter(feed.stream(), "car", "ts", "seq", "id", "30 seconds"))
-    mine = found.filter("car = 'c1'")
-    assert [r.id for r in mine.orderBy("ts").collect()] == ["e1", "e2", "e3", "e4", "e7", "e5", "e6", "e8", "e9"]
+    folder = str(tmp_path / "sorter")
+    sorter_parts(feed, source, batches.sorter_writer(folder, "car", "ts", ["seq"], 30 * SECOND))
+    mine = spark.read.parquet(f"{folder}/out").filter("car = 'c1'")
+    assert [r.id for r in mine.orderBy("ts").collect()] == ["e1", "e2", "e3", "e4", "e5", "e6", "e8", "e9"]
+    late_rows = spark.read.parquet(f"{folder}/late")
+    assert rows_of(late_rows, "id") == [("e7",)]
+    on_time, too_late = late.sorter_split(source, "ts", ["seq"], 30 * SECOND)
+    assert rows_of(mine, "seq") == rows_of(on_time, "seq")
+    assert rows_of(late_rows, "seq") == rows_of(too_late, "seq")
     # What is written is already in order, file by file.
     files = {}
     for row in mine.withColumn("file", F.input_file_name()).collect():
         files.setdefault(row.file, []).append(row.ts)
     assert files and all(times == sorted(times) for times in files.values())
+    # Only what the last two micro-batches need is still there.
+    assert sorted(x.name for x in (tmp_path / "sorter/held").iterdir()) == ["batch=1", "batch=2"]
 
 
 def test_sessions(spark, tmp_path):
@@ -230,25 +243,20 @@ def test_dynamic_sessions_and_window_counts(spark, tmp_path):
 
 
 def test_window_elements(spark, tmp_path):
-    rows = [(i, i % 2, t) for i, t in enumerate((0, 1, 2, 4, 5, 7, 1, 2))] + [(100, 9, 900)]
+    rows = [(i, i % 2, t) for i, t in enumerate((0, 1, 2, 4, 5, 17, 1, 2))] + [(100, 9, 900)]
     source = at_seconds(spark, rows, "seq long, key long, t long")
     feed = Feed(spark, tmp_path, source.schema)
-    feed.add(source)
+    folder = str(tmp_path / "elements")
+    write = batches.window_elements_writer(folder, "key", "ts", ["seq"], 3 * SECOND, 10 * SECOND)
+    for low, high in ((0, 2), (3, 5), (6, 100)):
+        feed.add(source.filter(F.col("seq").between(low, high)))
+        feed.run_batches(feed.stream(), write)
+    on_time, too_late = late.late_split(source, "ts", ["seq"], 3 * SECOND, 10 * SECOND)
     # All windows but that of the last row are closed by it.
-    for list_rows, name in ((1000, "whole"), (2, "parts")):
-        found = feed.run(
-            forms.window_elements(feed.stream(), "key", "ts", "seq", "10 seconds", "3 seconds", list_rows),
-            name,
-        )
-        flat = found.orderBy("key", "window_start", "part").collect()
-        texts = {}
-        for row in flat:
-            assert row.n <= list_rows
-            texts.setdefault((row.key, row.window_start), []).append(row.elements)
-        on_time, _ = late.late_split(source, "ts", ["seq"], 3 * SECOND, 3600 * SECOND)
-        expected = late.window_elements(on_time.filter("key < 9"), "key", "ts", ["seq"]).collect()
-        joined = {place: ", ".join(parts) for place, parts in texts.items()}
-        assert joined == {(r.key, r.window_start): r.elements for r in expected}
+    expected = late.window_elements(on_time.filter("key < 9"), "key", "ts", ["seq"])
+    found = spark.read.parquet(f"{folder}/out")
+    assert rows_of(found, *expected.columns) == rows_of(expected)
+    assert rows_of(spark.read.parquet(f"{folder}/late"), "seq") == rows_of(too_late, "seq") != []
 
 
 def test_hourly_top_driver(spark, tmp_path):
@@ -274,15 +282,24 @@ def test_ride_fare_join(spark, tmp_path):
     assert rows_of(left.run(joined), "key") == [("a",), ("c",)]
 
 
-def test_word_count_in_complete_mode(spark, tmp_path):
-    folder = str(tmp_path / "lines")
+def test_word_count_in_update_mode(spark, tmp_path):
     lines = spark.createDataFrame([("this is an example",), ("this is the first example",)], "value string")
-    lines.write.text(folder)
-    stream = read_lines(spark, "text", folder, stream=True)
-    counts = words.word_count(words.tokenize(stream))
-    writer = write_stream(counts, "memory", checkpoint=str(tmp_path / "c"), target="words", mode="complete")
-    writer.start().awaitTermination()
-    assert dict(rows_of(spark.table("words")))["this"] == 2
+    feed = Feed(spark, tmp_path, lines.schema)
+    feed.add(lines)
+    counts = words.word_count(words.tokenize(feed.stream()))
+    write = batches.changes_writer(str(tmp_path / "words"))
+
+    def run():
+        writer = counts.writeStream.outputMode("update").option("checkpointLocation", str(tmp_path / "c"))
+        writer.foreachBatch(write).trigger(availableNow=True).start().awaitTermination()
+        return spark.read.parquet(str(tmp_path / "words/out"))
+
+    assert dict(rows_of(batches.newest(run(), ["word"])))["this"] == 2
+    feed.add(spark.createDataFrame([("this time",)], "value string"))
+    changes = run()
+    # only the words that changed are written again
+    assert rows_of(changes.filter("batch = 1"), "word", "n") == [("this", 3), ("time", 1)]
+    assert dict(rows_of(batches.newest(changes, ["word"])))["example"] == 2
 
 
 def test_late_split_across_batches(spark, tmp_path):
@@ -297,46 +314,170 @@ def test_late_split_across_batches(spark, tmp_path):
     found = spark.read.parquet(str(tmp_path / "late/out")).withColumn("late", F.col("late").cast("boolean"))
     expected = late.late_rows(source, "ts", ["seq"], 3 * SECOND, 10 * SECOND)
     assert rows_of(found, "seq", "late") == rows_of(expected, "seq", "late")
-    # A batch that is run again changes nothing.
-    write(source.filter(F.col("seq").between(30, 59)), 1)
+    # The last batch may be run again and changes nothing.
+    write(source.filter(F.col("seq").between(60, 89)), 2)
     again = spark.read.parquet(str(tmp_path / "late/out")).withColumn("late", F.col("late").cast("boolean"))
     assert rows_of(again, "seq", "late") == rows_of(expected, "seq", "late")
 
 
-def test_late_ids_of_the_sorter_across_batches(spark, tmp_path):
-    source = car_rows(spark)
-    feed = Feed(spark, tmp_path, source.schema)
-    write = batches.sorter_split_writer(str(tmp_path / "late"), "ts", ["seq"], 30 * SECOND)
-    for low, high in ((1, 4), (5, 6), (7, 9)):
-        feed.add(source.filter(F.col("seq").between(low, high)))
-        feed.run_batches(feed.stream(), write)
-    found = spark.read.parquet(str(tmp_path / "late/out"))
-    assert rows_of(found.filter(F.col("late").cast("boolean")), "id") == [("e7",)]
-    assert found.count() == 9
-
-
 def test_dynamic_rule_across_batches(spark, tmp_path):
     rows = [(0, None, "hello world"), (1, 5, None), (2, None, "hello"), (3, None, "worlds"), (4, 10, None), (5, None, "worlds")]
     source = spark.createDataFrame(rows, "seq long, n long, line string")
+    options = F.col("n").isNotNull(), F.col("n"), F.length("line"), ["seq"]
+    expected = control.dynamic_rule_filter(source, *options)
+    for name, cuts in {"a": ((0, 5),), "b": ((0, 0), (1, 3), (4, 5)), "c": ((0, 2), (3, 3), (4, 4), (5, 5))}.items():
+        feed = Feed(spark, tmp_path / name, source.schema)
+        write = batches.dynamic_rule_writer(str(tmp_path / name / "rule"), *options)
+        for low, high in cuts:
+            feed.add(source.filter(F.col("seq").between(low, high)))
+            feed.run_batches(feed.stream(), write)
+        found = spark.read.parquet(str(tmp_path / name / "rule/out"))
+        assert rows_of(found, "seq", "rule") == rows_of(expected, "seq", "rule")
+
+
+@pytest.mark.parametrize("cuts", [(45,), (3, 3, 34, 5), (20, 20, 5), (40, 5), (30, 30)])
+def test_batched_sink(spark, tmp_path, cuts):
+    source = spark.range(sum(cuts)).withColumnRenamed("id", "seq")
     feed = Feed(spark, tmp_path, source.schema)
-    write = batches.dynamic_rule_writer(
-        str(tmp_path / "rule"), F.col("n").isNotNull(), F.col("n"), lambda n: F.length("line") <= n, "seq"
-    )
-    for low, high in ((0, 0), (1, 3), (4, 5)):
-        feed.add(source.filter(F.col("seq").between(low, high)))
+    folder = str(tmp_path / "sink")
+    write = batches.batched_writer(folder, ["seq"], 20)
+    low = 0
+    for n in cuts:
+        feed.add(source.filter(F.col("seq").between(low, low + n - 1)))
         feed.run_batches(feed.stream(), write)
-    assert rows_of(spark.read.parquet(str(tmp_path / "rule/out")), "seq") == [(0,), (2,), (5,)]
+        low += n
+    # A micro-batch that is run again changes nothing.
+    write(source.filter(F.col("seq") >= low - cuts[-1]), len(cuts) - 1)
+    found = batches.read_batches(source, folder)
+    expected = cw.sink_batches(source, ["seq"], 20)
+    assert rows_of(found) == rows_of(expected)
+    full = spark.read.parquet(f"{folder}/out")
+    assert full.groupBy("batch_no").count().filter("count <> 20").count() == 0
+
+
+def test_nulls_and_doubles_in_keyed_streams(spark, tmp_path):
+    rng = random.Random(3)
+    rows = [
+        (rng.choice([None, 1, 2]), rng.choice([None, 1.5, 2.25, -3.125, 1e9]), i) for i in range(80)
+    ]
+    source = spark.createDataFrame(rows, "key long, value double, seq long")
+    builds = {
+        "fold": (
+            lambda s: forms.running_fold(s, "key", ["seq"], "value", with_text=False).drop("text"),
+            cw.running_sum(source, "key", ["seq"], "value").select("key", "seq", "total"),
+        ),
+        "text": (
+            lambda s: forms.running_fold(s, "key", ["seq"], "value").drop("total"),
+            cw.running_text(source, "key", ["seq"], "value").select("key", "seq", "text"),
+        ),
+        "cumulative": (
+            lambda s: forms.count_window(s, "key", ["seq"], "value", 3),
+            cw.count_window_cumulative(source, "key", ["seq"], "value", 3),
+        ),
+        "sliding": (
+            lambda s: forms.count_window(s, "key", ["seq"], "value", 2, 3),
+            cw.count_window_sliding(source, "key", ["seq"], "value", 3, 2),
+        ),
+    }
+    for store in ("value", "list", "map"):
+        builds[store] = (
+            lambda s, store=store: forms.count_average(s, "key", ["seq"], "value", 3, store),
+            cw.count_average(source, "key", ["seq"], "value"),
+        )
+    for name, (build, expected) in builds.items():
+        feed = Feed(spark, tmp_path / name, source.schema)
+        found = in_parts(feed, source, build, 3)
+        assert rows_of(found) == rows_of(expected), name
 
 
-def test_batched_sink(spark, tmp_path):
-    source = spark.range(45).withColumnRenamed("id", "seq")
+def test_slots_with_null_payloads(spark, tmp_path):
+    rows = [(1, i, i % 3 == 0, None if i % 2 else f"r{i}") for i in range(30)]
+    source = spark.createDataFrame(rows, "key long, seq long, is_left boolean, id string")
     feed = Feed(spark, tmp_path, source.schema)
-    write = batched_writer(str(tmp_path / "sink"), ["seq"], 20)
-    feed.add(source)
-    feed.run_batches(feed.stream(), write)
-    write(source, 0)
-    sizes = spark.read.parquet(str(tmp_path / "sink")).groupBy("batch_no").count()
-    assert rows_of(sizes) == [(0, 20), (1, 20), (2, 5)]
+    found = in_parts(feed, source, lambda s: forms.pair_slots(s, "key", "seq", "is_left", "id"), 3)
+    assert rows_of(found) == rows_of(pairing.pair_slots(source, "key", "seq", "is_left", "id"))
+
+
+def test_segments_with_nulls(spark, tmp_path):
+    rows = [(s, id, None if s % 2 else float(v), None if s % 3 == 1 else float(t), sec) for s, id, v, t, sec in CAR]
+    source = at_seconds(spark, rows, "seq long, id string, speed double, throttle double, t long")
+    source = source.drop("t").withColumn("car", F.lit("c1")).withColumn("stops", F.col("seq").isin(4, 8))
+    end = closing_row(spark, 500).withColumn("stops", F.lit(False))
+    feed = Feed(spark, tmp_path, source.schema)
+    for part in (source.filter("seq <= 4"), source.filter("seq > 4"), end):
+        feed.add(part)
+        stream = forms.stop_segments(feed.stream(), "car", "ts", "speed", "throttle", "30 seconds", F.col("stops"))
+        found = feed.run(stream)
+    columns = ["car", "start_time", "stop_time", "length", "max_speed", F.round("erraticness", 6), "manner"]
+    expected = segments.stop_segments(source, "car", "ts", "speed", "throttle", F.col("stops"))
+    assert rows_of(found, *columns) == rows_of(expected, *columns)
+
+
+def test_a_long_segment_keeps_a_summary(spark):
+    """What a key holds follows the rows of one delay, not the length of its open segment."""
+
+    class Value:
+        def __init__(self):
+            self.now = None
+
+        def exists(self):
+            return self.now is not None
+
+        def get(self):
+            return self.now
+
+        def update(self, value):
+            self.now = value
+
+        def clear(self):
+            self.now = None
+
+    class Rows(Value):
+        def get(self):
+            return iter(self.now or [])
+
+        def appendList(self, rows):
+            self.now = [*(self.now or []), *rows]
+
+        put = Value.update
+
+    class Handle:
+        def __init__(self):
+            self.timers = set()
+
+        def getValueState(self, *_):
+            return Value()
+
+        def getListState(self, *_):
+            return Rows()
+
+        def registerTimer(self, at):
+            self.timers.add(at)
+
+        deleteTimer = property(lambda self: self.timers.discard)
+
+    class Mark:
+        def __init__(self, ms):
+            self.ms = ms
+
+        def getCurrentWatermarkInMs(self):
+            return self.ms
+
+    processor = processors.StopSegments()
+    processor.names = ["car", "start_at", "stop_at", "length", "max_speed", "erraticness"]
+    handle = Handle()
+    processor.init(handle)
+    read = []
+    for step in range(50):
+        at = [(1000 * step + i) * 1000 for i in range(0, 1000, 100)]
+        rows = pd.DataFrame({"at": at, "is_stop": False, "speed": 1.0, "throttle": [float(x % 7) for x in at]})
+        list(processor.handleInputRows(("c",), iter([rows]), None))
+        due = [timer for timer in handle.timers if timer <= 1000 * step]
+        if due:
+            read.append(len(processor.held.now))
+            handle.timers -= set(due)
+            assert not list(processor.handleExpiredTimer(("c",), Mark(1000 * step), None))
+    assert len(read) > 40 and max(read) <= 20 and processor.segment.now[0] > 450
 
 
 def test_idle_count(spark, tmp_path):

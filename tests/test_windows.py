@@ -178,11 +178,32 @@ def test_late_rows_match_brute_force(spark, small_chunks):
         assert sorted(tuple(r) for r in found.select("seq", "late").collect()) == expected
 
 
-def test_long_element_lists_come_in_parts(spark):
-    source = at_seconds(spark, [(i, 0) for i in range(25)], "seq long, t long")
+def test_element_lists_are_whole_and_rows_have_positions(spark, small_chunks):
+    source = at_seconds(spark, [(i * 7, 0) for i in range(25)], "seq long, t long")
     on_time, _ = late.late_split(source.withColumn("key", F.lit(1)), "ts", ["seq"], 3 * SECOND, 0)
-    parts = late.window_elements(on_time, "key", "ts", ["seq"], list_rows=10).orderBy("part").collect()
-    assert [(p.part, p.n) for p in parts] == [(0, 10), (1, 10), (2, 5)]
+    whole = late.window_elements(on_time, "key", "ts", ["seq"]).collect()
+    assert [(row.n, row.elements.count("|")) for row in whole] == [(25, 25)]
+    rows = late.window_element_rows(on_time, "key", "ts", ["seq"], hot_rows=10)
+    assert rows_of(rows, "seq", "pos") == sorted(((i * 7, i + 1) for i in range(25)), key=repr)
+
+
+@pytest.mark.parametrize("hot_rows", [1 << 20, 2])
+def test_deviation_of_large_and_missing_values(spark, small_chunks, hot_rows):
+    base = 1e9
+    rows = [("far", t, base + t % 4) for t in range(40)] + [("none", t, None) for t in range(8)]
+    rows += [("some", t, None if t % 2 else base + t) for t in range(20)]
+    source = spark.createDataFrame(rows, "key string, t long, v double")
+    source = source.withColumn("ts", F.timestamp_seconds("t")).withColumn("one", F.lit(1))
+    expected = source.groupBy("key").agg(F.round(F.stddev_pop("v"), 6).alias("d"))
+    gap = 5 * SECOND
+    found = sessions.driving_sessions(source, "key", "ts", "one", "v", gap, hot_rows=hot_rows)
+    assert rows_of(found, "key", F.round("erraticness", 6)) == rows_of(expected)
+    assert dict(rows_of(found, "key", "manner"))["none"] is None
+    last = source.groupBy("key").agg(F.max("t").alias("t"), F.last("v").alias("v"))
+    stops = last.select("key", (F.col("t") + 1).alias("t"), F.lit(base).alias("v")).withColumn("one", F.lit(0))
+    driven = source.unionByName(stops.withColumn("ts", F.timestamp_seconds("t")))
+    found = segments.stop_segments(driven, "key", "ts", "one", "v", hot_rows=hot_rows)
+    assert rows_of(found, "key", F.round("erraticness", 6)) == rows_of(expected)
 
 
 def test_nothing_is_lost_or_doubled(spark, small_chunks):

@@ -34,6 +34,13 @@ def test_split_rules(spark, line, expected):
     assert [(r.word, r.one, r.tag) for r in tagged.collect()] == [(w, 1, "x") for w in expected]
 
 
+def test_null_texts_have_no_words(spark):
+    source = spark.createDataFrame([(1, None), (2, "a  B "), (3, ""), (4, " ")], "line_id long, value string")
+    tokens = words.tokenize(source, keep=["line_id"]).select("line_id", "word")
+    tagged = words.parametrized_tokenize(source, "line_id", "value", {"tag": "x"})
+    assert rows_of(tagged, "line_id", "word") == rows_of(tokens)
+
+
 def test_options(spark):
     kept = words.tokenize(lines(spark, ["This  is"]), lower=False, drop_empty=True)
     assert rows_of(kept, "word") == [("This",), ("is",)]

@@ -8,48 +8,42 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tideline.operators.running import Fold, running
-from tideline.operators.skew import HOT_ROWS, SMALL_ROWS, control_join
+from tideline.operators.skew import lookup_join
 
 
-def blocklist_anti(
-    words: DataFrame,
-    control: DataFrame,
-    on: Sequence[str],
-    hot_rows: int = HOT_ROWS,
-    small_rows: int = SMALL_ROWS,
-) -> DataFrame:
+def blocklist_anti(words: DataFrame, control: DataFrame, on: Sequence[str]) -> DataFrame:
     """Rows whose key is nowhere in the control table."""
-    blocked = control.select(*on).distinct()
-    return control_join(words, blocked, on, "left_anti", hot_rows, small_rows)
+    return lookup_join(words, control.select(*on).distinct(), on, "left_anti")
 
 
-def blocklist_ordered(
-    words: DataFrame,
-    control: DataFrame,
-    on: str,
-    seq: str,
-    hot_rows: int = HOT_ROWS,
-    small_rows: int = SMALL_ROWS,
-) -> DataFrame:
+def blocklist_ordered(words: DataFrame, control: DataFrame, on: str, seq: str) -> DataFrame:
     """Rows whose key was not in the control stream before them, in arrival order ``seq``."""
     first = control.groupBy(on).agg(F.min(seq).alias("_blocked_at"))
-    rows = control_join(words, first, [on], "left", hot_rows, small_rows)
+    rows = lookup_join(words, first, [on], "left")
     passes = F.col("_blocked_at").isNull() | (F.col(seq) < F.col("_blocked_at"))
     return rows.filter(passes).drop("_blocked_at")
 
 
 def dynamic_rule_filter(
-    rows: DataFrame, is_control: Column, rule: Column, size: Column, order: Sequence[str]
+    rows: DataFrame,
+    is_control: Column,
+    rule: Column,
+    size: Column,
+    order: Sequence[str],
+    start: Column | None = None,
 ) -> DataFrame:
     """Rows whose ``size`` is within the newest rule that arrived before them.
 
     ``rows`` holds control and data rows in one arrival order; ``rule`` is the control row's
-    limit. Rows before the first rule pass. The rule in force comes out as ``rule``.
+    limit. Rows before the first rule pass, unless ``start`` is a rule of earlier data. The
+    rule in force comes out as ``rule``.
     """
     stamp = F.struct(*[F.col(name) for name in order], rule.alias("_rule"))
     newest = Fold("max", F.when(is_control, stamp), inclusive=False)
     ruled = running(rows.withColumn("_control", is_control), [], order, {"_newest": newest})
     ruled = ruled.filter(~F.coalesce(F.col("_control"), F.lit(False)))
-    limit = F.col("_newest._rule")
-    passes = F.col("_newest").isNull() | (size <= limit)
+    limit, none = F.col("_newest._rule"), F.col("_newest").isNull()
+    if start is not None:
+        limit, none = F.when(none, start).otherwise(limit), F.lit(False)
+    passes = none | (size <= limit)
     return ruled.filter(passes).withColumn("rule", limit).drop("_control", "_newest")

@@ -100,8 +100,8 @@ def count_average(
     return blocks.select(key, "block", "average")
 
 
-def sink_batches(df: DataFrame, order: Sequence[str], size: int) -> DataFrame:
+def sink_batches(df: DataFrame, order: Sequence[str], size: int, start: int = 0) -> DataFrame:
     """Number the rows of the whole table in ``order`` into batches of ``size``; the last may
-    be shorter."""
+    be shorter. ``start`` rows came before."""
     rows = numbered(df, [], order, "_rn")
-    return rows.withColumn("batch_no", F.floor((F.col("_rn") - 1) / size).cast("long")).drop("_rn")
+    return rows.withColumn("batch_no", F.expr(f"(_rn + {start - 1}L) div {size}")).drop("_rn")

@@ -87,31 +87,25 @@ def element_text(key: str, ts: str) -> Column:
     ).alias("text")
 
 
-def window_elements(
-    on_time: DataFrame,
-    key: str,
-    ts: str,
-    order: Sequence[str],
-    list_rows: int = 10_000,
-    hot_rows: int = HOT_ROWS,
+def window_element_rows(
+    on_time: DataFrame, key: str, ts: str, order: Sequence[str], hot_rows: int = HOT_ROWS
 ) -> DataFrame:
-    """The elements of each key and window as text, in arrival order, with their clock times.
-
-    A window of more than ``list_rows`` elements comes out as several rows, numbered by
-    ``part``, so no cell of the result grows without bound and no element is lost.
-    """
+    """One row per element of each key and window: its ``pos`` from 1 in arrival order, and its
+    ``text``. This is the form for windows of any size."""
     keys = [key, "window_start", "window_end"]
     elements = on_time.select(*keys, *order, element_text(key, ts))
-    rows = numbered(elements, keys, order, "_rn", hot_rows=hot_rows)
-    part = F.floor((F.col("_rn") - 1) / list_rows).cast("long")
-    listed = F.sort_array(F.collect_list(F.struct("_rn", "text")))
-    return (
-        rows.groupBy(*keys, part.alias("part"))
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.array_join(F.transform(listed, lambda e: e["text"]), ", ").alias("elements"),
-        )
-        .select(*keys, "part", "n", "elements")
+    return numbered(elements, keys, order, "pos", hot_rows=hot_rows)
+
+
+def window_elements(on_time: DataFrame, key: str, ts: str, order: Sequence[str]) -> DataFrame:
+    """The elements of each key and window as one text, in arrival order, with their clock
+    times. A window's whole list is in one cell: see :func:`window_element_rows` for rows."""
+    keys = [key, "window_start", "window_end"]
+    elements = on_time.select(*keys, F.struct(*order, element_text(key, ts)).alias("_element"))
+    listed = F.sort_array(F.collect_list("_element"))
+    return elements.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.array_join(F.transform(listed, lambda e: e["text"]), ", ").alias("elements"),
     )
 
 

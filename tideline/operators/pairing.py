@@ -11,11 +11,9 @@ from tideline.operators.running import Fold, running
 from tideline.operators.skew import HOT, HOT_ROWS, lookup_join, mark_hot
 
 
-def join_rides_fares(
-    fares: DataFrame, rides: DataFrame, on: Sequence[str], hot_rows: int = HOT_ROWS
-) -> DataFrame:
+def join_rides_fares(fares: DataFrame, rides: DataFrame, on: Sequence[str]) -> DataFrame:
     """Fares with the ride of the same id; ``rides`` holds one start event per id."""
-    return lookup_join(fares, rides, on, "inner", hot_rows)
+    return lookup_join(fares, rides, on)
 
 
 def pair_slots(

@@ -8,8 +8,11 @@ same way, one level up, and give each chunk the fold of everything before it:
 
     result(row) = fold(earlier chunks of the key)  +  fold(earlier rows of the chunk)
 
-The order must not repeat within a large key (or only boundedly often). Chunks are a
-function of the row, so a lost task recomputes the same ones.
+Chunks are folded over two levels, so that a bounded number meets in one task also where the
+order column is so sparse that each row is a chunk of its own. The first order column must not
+repeat without bound within a large key; where it may, pass the table through
+:func:`range_chunks`, which cuts at ranges of all order columns. Chunks are a function of the row
+(or of checkpointed rows), so a lost task recomputes the same ones.
 """
 
 from __future__ import annotations
@@ -21,9 +24,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tideline.operators.skew import HOT, HOT_ROWS, mark_hot
+from tideline.session import settled
 
 CHUNK = "_chunk"
+#: The key columns in one, in which a null equals a null.
+KEYS = "_keys"
 CHUNK_BITS = 20
+LEVELS = 2
 TIME_CHUNK_BITS = 24
 
 
@@ -57,19 +64,37 @@ class Fold:
         return (F.greatest if self.op == "max" else F.least)(before, here)
 
 
-def chunk_levels(order: Column, bits: int | None = None, levels: int = 1) -> list[Column]:
+def chunk_levels(order: Column, bits: int | None = None, levels: int = LEVELS) -> list[Column]:
     """Chunk numbers of an integer order column, fine to coarse.
 
-    With 20 bits a chunk holds at most 1,048,576 order values, and 10^12 numbered rows give a
-    million chunks, which one task folds in seconds.
+    With 20 bits a chunk holds at most 1,048,576 order values, and as many chunks meet in one of
+    the second level; of those a 64-bit column has 16 million at most.
     """
     bits = CHUNK_BITS if bits is None else bits
     return [F.shiftright(order, bits * level) for level in range(1, levels + 1)]
 
 
 def time_chunks(at: Column) -> list[Column]:
-    """Chunks of a column of microseconds: 16.8 seconds each, two million per year."""
-    return chunk_levels(at, TIME_CHUNK_BITS)
+    """Chunks of a column of microseconds: 16.8 seconds each, then nine years."""
+    return chunk_levels(at, TIME_CHUNK_BITS, 2)
+
+
+def range_chunks(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], parts: int | None = None
+) -> DataFrame:
+    """Add the chunk columns that :func:`running` works on by dealing the rows by ranges of
+    (keys, order): a chunk is what one key has in one partition, however its order repeats.
+
+    The dealt rows are checkpointed, as ranges are found by sampling. Without ``parts`` Spark
+    sizes the partitions by their bytes.
+    """
+    columns = [F.col(name).asc_nulls_first() for name in (*keys, *order)]
+    mine = df.withColumn("_tie", F.monotonically_increasing_id())
+    count = [] if parts is None else [parts]
+    dealt = mine.repartitionByRange(*count, *columns, "_tie").drop("_tie")
+    if keys:
+        dealt = dealt.withColumns({KEYS: F.struct(*keys), HOT: F.xxhash64(*keys)})
+    return settled(dealt.withColumn(f"{CHUNK}0", F.spark_partition_id().cast("long")))
 
 
 def with_chunks(
@@ -81,6 +106,7 @@ def with_chunks(
     levels = list(chunks)
     if keys:
         df = df if HOT in df.columns else mark_hot(df, keys, hot_rows)
+        df = df.withColumn(KEYS, F.struct(*keys))
         levels = [F.when(F.col(HOT).isNotNull(), level) for level in levels]
     return df.select("*", *[level.alias(f"{CHUNK}{i}") for i, level in enumerate(levels)])
 
@@ -108,7 +134,7 @@ def running(
     names = [name for name in marked.columns if name.startswith(CHUNK)]
     # With _hot and the chunk, rows are partitioned the same way for the fold and for the join
     # with what came before, and filters on either pass below earlier folds.
-    group = [*keys, HOT] if keys else []
+    group = [KEYS, HOT] if keys else []
     values = marked.select(
         "*", *[fold.value.alias(f"_value_{name}") for name, fold in folds.items()]
     )

@@ -9,7 +9,7 @@ from tideline.functions.stats import erratic_class, merged_stddev
 from tideline.functions.time import from_micros, micros, time_type
 from tideline.operators.running import Fold, running, time_chunks
 from tideline.operators.sessions import collapse_hot
-from tideline.operators.skew import HOT_ROWS, mark_hot
+from tideline.operators.skew import HOT, HOT_ROWS, mark_hot
 
 
 def stop_segments(
@@ -34,43 +34,50 @@ def stop_segments(
     moving = F.when(stop, F.lit(0)).otherwise(F.lit(1)).cast("long")
     values = {
         "_at": -at,
-        "_stop_at": F.when(stop, at),
+        # with the stop's own level, which is near those of its segment
+        "_stop": F.when(stop, F.struct(at.alias("at"), F.col(throttle).cast("double").alias("near"))),
         "_moving_at": F.when(~stop, at),
         "_n": moving,
         "_speed": F.when(~stop, F.col(speed)),
-        "_level": F.when(~stop, F.col(throttle).cast("double")),
+        "_level": F.when(~stop, F.coalesce(F.col(throttle).cast("double"), F.lit(0.0))),
         "_k": F.when(~stop & F.col(throttle).isNotNull(), 1).otherwise(0).cast("long"),
         "_m2": F.lit(0.0),
     }
     merge = {
-        "_stop_at": F.max("_stop_at"),
+        "_stop": F.max("_stop"),
         "_moving_at": F.max("_moving_at"),
         "_n": F.sum("_n"),
         "_speed": F.max("_speed"),
         "_level": F.sum("_level"),
         "_k": F.sum("_k"),
-        "_m2": F.coalesce(F.var_pop("_level") * F.sum("_k"), F.lit(0.0)),
+        "_m2": F.coalesce(F.var_pop(F.when(F.col("_k") > 0, F.col("_level"))) * F.sum("_k"), F.lit(0.0)),
     }
     marked = mark_hot(events.filter(F.col(ts).isNotNull()), [car], hot_rows)
     rows = collapse_hot(marked, [car], values, merge)
-    rows = rows.withColumn("_after_stop", F.col("_stop_at").isNull())
-    closing = Fold("min", F.col("_stop_at"))
+    rows = rows.withColumn("_after_stop", F.col("_stop").isNull())
+    closing = Fold("min", F.col("_stop"))
     order = ["_at", "_after_stop"]
     rows = running(rows, [car], order, {"_closing": closing}, chunks=time_chunks(F.col("_at")))
     segments = (
         rows.filter(F.col("_closing").isNotNull() & (F.col("_n") > 0))
-        .groupBy(car, "_closing")
+        .groupBy(car, F.col("_closing.at").alias("_closing_at"))
         .agg(
             F.min("_moving_at").alias("_start"),
             F.sum("_n").alias("length"),
             F.max("_speed").alias("max_speed"),
-            merged_stddev(F.col("_k"), F.col("_level"), F.col("_m2")).alias("erraticness"),
+            merged_stddev(
+                F.col("_k"),
+                F.col("_level"),
+                F.col("_m2"),
+                F.col("_closing.near"),
+                F.col(HOT).isNotNull(),
+            ).alias("erraticness"),
         )
     )
     return segments.select(
         car,
         from_micros(F.col("_start"), kind).alias("start_time"),
-        from_micros(F.col("_closing"), kind).alias("stop_time"),
+        from_micros(F.col("_closing_at"), kind).alias("stop_time"),
         "length",
         "max_speed",
         "erraticness",

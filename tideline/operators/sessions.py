@@ -58,7 +58,7 @@ def sessions(
         "_reach": at + gap,
         "_n": one,
         "_peak": height,
-        "_level": number,
+        "_level": F.coalesce(number, F.lit(0.0)),
         "_k": F.when(number.isNotNull(), one).otherwise(one - 1),
         "_m2": F.lit(0.0),
         "_total": amount,
@@ -69,7 +69,7 @@ def sessions(
         "_peak": F.max("_peak"),
         "_level": F.sum("_level"),
         "_k": F.sum("_k"),
-        "_m2": F.coalesce(F.var_pop("_level") * F.sum("_k"), F.lit(0.0)),
+        "_m2": F.coalesce(F.var_pop(F.when(F.col("_k") > 0, F.col("_level"))) * F.sum("_k"), F.lit(0.0)),
         "_total": F.sum("_total"),
     }
     marked = mark_hot(df.filter(F.col(ts).isNotNull()), [key], hot_rows)
@@ -78,13 +78,19 @@ def sessions(
     rows = with_chunks(rows, [key], time_chunks(F.col("_at")))
     rows = running(rows, [key], ["_at"], {"_reached": reach})
     opens = F.when(F.col("_reached").isNull() | (F.col("_at") > F.col("_reached")), F.col("_at"))
-    rows = running(rows, [key], ["_at"], {"_start": Fold("max", opens)})
+    # a session is known by its first row, whose level is near the others
+    mean = F.try_divide("_level", "_k")
+    first = F.when(opens.isNotNull(), F.struct(F.col("_at"), mean.alias("_near")))
+    rows = running(rows, [key], ["_at"], {"_first": Fold("max", first)})
+    rows = rows.select("*", F.col("_first._at").alias("_start"), "_first._near")
     out = rows.groupBy(key, "_start").agg(
         F.max("_reach").alias("_end"),
         F.sum("_n").alias("length"),
         F.max("_peak").alias("max_peak"),
         F.sum("_total").alias("total"),
-        merged_stddev(F.col("_k"), F.col("_level"), F.col("_m2")).alias("erraticness"),
+        merged_stddev(
+            F.col("_k"), F.col("_level"), F.col("_m2"), F.col("_near"), F.col(HOT).isNotNull()
+        ).alias("erraticness"),
     )
     columns = [
         F.col(key),

@@ -1,18 +1,14 @@
-"""Hot keys: finding them, and joins that do not send one key to one task."""
+"""Hot keys: finding them, and joining rows that have them."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 HOT = "_hot"
 HOT_ROWS = 1 << 20
-SMALL_ROWS = 1_000_000
-SMALL_BYTES = 64 << 20
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -32,68 +28,22 @@ def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> Da
 
 
 def mark_hot(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Add ``_hot``: the key's hash in rows of hot keys, else null.
-
-    Rows with a null in their key are never hot.
-    """
+    """Add ``_hot``: the key's hash in rows of hot keys, else null. A null key is a key."""
     hot = hot_keys(df, keys, hot_rows).withColumn(HOT, F.col("_hash"))
-    whole = reduce(and_, [F.col(key).isNotNull() for key in keys])
     return (
-        df.withColumn("_hash", F.when(whole, F.xxhash64(*keys)))
+        df.withColumn("_hash", F.xxhash64(*keys))
         .join(F.broadcast(hot), "_hash", "left")
         .drop("_hash")
     )
 
 
-def is_small(df: DataFrame, max_rows: int = SMALL_ROWS, max_bytes: int = SMALL_BYTES) -> bool:
-    """Whether a table may be broadcast, found by counting its rows and the size of their text.
-
-    The count stops after ``max_rows`` rows.
-    """
-    size = F.sum(F.octet_length(F.to_json(F.struct("*")))).alias("bytes")
-    seen = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("rows"), size).first()
-    return seen["rows"] <= max_rows and (seen["bytes"] or 0) <= max_bytes
-
-
 def lookup_join(
-    left: DataFrame,
-    right: DataFrame,
-    on: Sequence[str],
-    how: str = "inner",
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
-    """Join many rows (left) with a side that holds at most one row per key (right).
-
-    Rows of hot left keys never move: the right rows of those keys are at most one per hot key,
-    hence bounded like the hot keys themselves, and are broadcast. All other rows go through an
-    ordinary join, whose strategy Spark picks. ``how`` is inner, left, left_semi or left_anti.
-    """
-    on = list(on)
-    hot = hot_keys(left, on, hot_rows)
-    marked = mark_hot(left, on, hot_rows)
-    hot_right = (
-        right.withColumn("_hash", F.xxhash64(*on))
-        .join(F.broadcast(hot), "_hash", "left_semi")
-        .drop("_hash")
-    )
-    cold = marked.filter(F.col(HOT).isNull()).drop(HOT).join(right, on, how)
-    busy = marked.filter(F.col(HOT).isNotNull()).drop(HOT).join(F.broadcast(hot_right), on, how)
-    return cold.unionByName(busy)
-
-
-def control_join(
-    left: DataFrame,
-    right: DataFrame,
-    on: Sequence[str],
-    how: str,
-    hot_rows: int = HOT_ROWS,
-    small_rows: int = SMALL_ROWS,
+    left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner"
 ) -> DataFrame:
-    """Like :func:`lookup_join`, for a right side that is small as a rule.
+    """Join many rows (left) with a side of few rows per key (right).
 
-    Its size is checked now. If it is small it is broadcast, and the left side is read once
-    and does not move; otherwise this is :func:`lookup_join`.
+    Both sides are read once. Spark broadcasts the right side if its measured size is below the
+    broadcast threshold; otherwise both are shuffled, and a key that is hot on the left is split
+    over tasks at run time (adaptive skew join).
     """
-    if is_small(right, small_rows):
-        return left.join(F.broadcast(right), list(on), how)
-    return lookup_join(left, right, on, how, hot_rows)
+    return left.join(right, list(on), how)

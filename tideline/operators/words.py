@@ -6,6 +6,8 @@ from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -81,10 +83,15 @@ def flat_map_with_setup(
     return df.mapInPandas(run, schema)
 
 
-def _words(text: str) -> list[str]:
-    """The words of a line in Python, by the rules of :func:`words_of`."""
-    kept = text.lower().rstrip(" ")
-    return kept.split(" ") if kept or not text else []
+def _words(lines: pd.Series) -> tuple[np.ndarray, pd.Series]:
+    """For each word of the lines the number of its line, and the word, by the rules of
+    :func:`words_of`; a null has none."""
+    texts = pa.array(lines, pa.string(), from_pandas=True)
+    kept = pc.utf8_rtrim(pc.utf8_lower(texts), " ")
+    # blanks alone give no word, an empty line gives an empty one
+    blank = pc.and_(pc.equal(kept, ""), pc.not_equal(texts, ""))
+    words = pc.split_pattern(pc.if_else(blank, pa.scalar(None, pa.string()), kept), " ")
+    return pc.list_parent_indices(words).to_numpy(), pc.list_flatten(words).to_pandas()
 
 
 def parametrized_tokenize(
@@ -96,11 +103,9 @@ def parametrized_tokenize(
         tag = params["tag"]
 
         def split(batch: pd.DataFrame) -> pd.DataFrame:
-            words = [_words(text) for text in batch[line]]
-            ids = np.repeat(batch[line_id].to_numpy(), [len(w) for w in words])
-            flat = pd.Series([word for some in words for word in some], dtype=object)
-            tags = pd.Series([tag] * len(flat), dtype=object)
-            return pd.DataFrame({line_id: ids, "word": flat, "one": 1, "tag": tags})
+            places, words = _words(batch[line])
+            ids = batch[line_id].iloc[places].reset_index(drop=True)
+            return pd.DataFrame({line_id: ids, "word": words, "one": 1, "tag": tag})
 
         return split
 

@@ -96,7 +96,7 @@ def late_split_marker(spark, sf_dir):
 
 
 @query(
-    f"""SELECT user_id, window_start, window_end, CAST(0 AS BIGINT) AS part, count(*) AS n,
+    f"""SELECT user_id, window_start, window_end, count(*) AS n,
             string_agg('(' || user_id || ',' || epoch_us(ts) // 1000 || ')|' || strftime(ts, '%H:%M:%S'),
                 ', ' ORDER BY seq, event_id) AS elements
         FROM {_late_sql("ts")} WHERE NOT late GROUP BY user_id, window_start, window_end"""
@@ -107,6 +107,17 @@ def tumbling_event_time(spark, sf_dir):
     return late.window_elements(on_time, "user_id", "ts", ARRIVAL)
 
 
+@query(
+    f"""SELECT user_id, event_id, window_start, window_end, row_number() OVER (PARTITION BY user_id,
+            window_start ORDER BY seq, event_id) AS pos FROM {_late_sql("ts")} WHERE NOT late"""
+)
+def window_positions(spark, sf_dir):
+    """The same, one row per element."""
+    on_time, _ = late.late_split(arrivals(spark, sf_dir), "ts", ARRIVAL, HOUR, HOUR)
+    rows = late.window_element_rows(on_time, "user_id", "ts", ARRIVAL)
+    return rows.select("user_id", "event_id", "window_start", "window_end", "pos")
+
+
 _SORTER = f"""(SELECT *, coalesce(ts <= max(ts) OVER (ORDER BY seq, event_id ROWS BETWEEN
     UNBOUNDED PRECEDING AND 1 PRECEDING) - INTERVAL 1 HOUR, false) AS late FROM {ARRIVALS_SQL})"""
 

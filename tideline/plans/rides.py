@@ -116,6 +116,72 @@ def rides_enriched(spark, sf_dir):
     return _readable_rides(ops.rides_enriched(rides(spark, sf_dir)))
 
 
+@query(
+    f"""SELECT start_cell, max(epoch_us(end_time) - epoch_us(start_time)) // 60000000 AS minutes
+        FROM (SELECT *, {_cell_sql("start_lon", "start_lat")} AS start_cell FROM {_RIDES} WHERE {_CITY})
+        WHERE NOT is_start GROUP BY start_cell"""
+)
+def city_longest_trip(spark, sf_dir):
+    """From lines to the longest trip of each cell: parse, city, cells, end events."""
+    good, _ = records.parse_rides(records.format_rides(rides(spark, sf_dir)))
+    trips, _ = ops.trip_minutes(ops.rides_enriched(good))
+    return ops.longest_trip(trips)
+
+
+def _damaged(lines, key, damages: dict[int, tuple[str, str]]):
+    """Every seventh line, by its key, damaged in each way: a pattern and what replaces it."""
+    value, number = F.col("value"), F.col("number")
+    for rest, (pattern, new) in damages.items():
+        value = F.when(number % 7 == rest, F.regexp_replace("value", pattern, new)).otherwise(value)
+    numbered = lines.withColumn("number", F.regexp_extract("value", key, 1).cast("long"))
+    return numbered.select("number", value.alias("value"))
+
+
+_REJECTED = """SELECT '{kind}' AS kind, CASE {key} % 7 WHEN 0 THEN 'tokens: {tokens}'
+    WHEN 1 THEN 'unreadable field' ELSE 'unknown event kind' END AS reason,
+    count(*) AS n, CAST(sum({key}) AS BIGINT) AS total FROM {table} WHERE {key} % 7 <= {last} GROUP BY ALL"""
+
+
+@query(
+    " UNION ALL ".join(
+        _REJECTED.format(kind=kind, key=key, table=table, tokens=tokens, last=last)
+        for kind, key, table, tokens, last in (
+            ("ride", "l_orderkey", "lineitem", 10, 2),
+            ("fare", "o_orderkey", "orders", 7, 1),
+            ("car", "event_id", "events", 22, 1),
+        )
+    )
+)
+def parse_rejects(spark, sf_dir):
+    """Lines that lack a token, hold no time or an unknown kind, with the reason."""
+    shorter = (r"[,;]\s*[^,;]*$", "")
+    ride_lines = _damaged(
+        records.format_rides(rides(spark, sf_dir)),
+        r"^(\d+),",
+        {0: shorter, 1: (r"^((?:[^,]*,){2})[^,]*", "$1never"), 2: ("START|END", "STOP")},
+    )
+    fare_lines = _damaged(
+        records.format_fares(fares(spark, sf_dir)),
+        r"^(\d+),",
+        {0: shorter, 1: (r"^((?:[^,]*,){3})[^,]*", "$1never")},
+    )
+    car_lines = _damaged(
+        cars.car_lines(spark, sf_dir), r"e(\d+)", {0: shorter, 1: (r"[^,;\s]*$", "never")}
+    )
+    rejects = {
+        "ride": records.parse_rides(ride_lines)[1],
+        "fare": records.parse_fares(fare_lines)[1],
+        "car": records.parse_car_events(car_lines)[1],
+    }
+    found = [
+        rows.groupBy(F.lit(kind).alias("kind"), "reason").agg(
+            F.count(F.lit(1)).alias("n"), F.sum("number").alias("total")
+        )
+        for kind, rows in rejects.items()
+    ]
+    return found[0].unionByName(found[1]).unionByName(found[2])
+
+
 @query(
     f"""SELECT c_custkey, {_cell_sql(_lon_sql("c_custkey"), _lat_sql("c_custkey"))} AS cell
         FROM customer"""
@@ -249,15 +315,22 @@ def longest_trip_by_cell_running(spark, sf_dir):
     return ops.longest_trip_running(_trips(spark, sf_dir), "cell", order)
 
 
+def trip_sides(lineitem, orders, times: bool = False):
+    """Fares from order lines and started rides from open orders, on request with their times."""
+    fare_ts = [F.col("l_shipdate").cast("timestamp").alias("fare_ts")] if times else []
+    ride_ts = [F.col("o_orderdate").cast("timestamp").alias("ride_ts")] if times else []
+    fares_ = lineitem.select(
+        "l_orderkey", "l_linenumber", cents("l_extendedprice").alias("fare"), *fare_ts
+    )
+    started = orders.filter(F.col("o_orderstatus") == "O")
+    return fares_, started.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey", *ride_ts)
+
+
 @query(
     """SELECT l_orderkey, l_linenumber, o_custkey, CAST(round(l_extendedprice * 100) AS BIGINT) AS fare
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE o_orderstatus = 'O'"""
 )
 def join_rides_fares(spark, sf_dir):
     """Open orders stand for started rides, their lines for fares."""
-    fare_rows = load(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", cents("l_extendedprice").alias("fare")
-    )
-    started = load(spark, sf_dir, "orders").filter(F.col("o_orderstatus") == "O")
-    started = started.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
+    fare_rows, started = trip_sides(load(spark, sf_dir, "lineitem"), load(spark, sf_dir, "orders"))
     return pairing.join_rides_fares(fare_rows, started, ["l_orderkey"])

@@ -1,97 +1,160 @@
-"""Queries that run the streaming forms over the events until none are left.
+"""Queries that run the streaming forms over whole tables until nothing is left.
 
-Checkpoint and output lie in the cluster's shared folder. Results that a watermark closes
-lack the last ones, as they would on a running stream; their SQL form says so.
+Checkpoint and output lie in the cluster's shared folder. A bounded stream ends with a closing
+row, later than all data, in a last micro-batch: it moves the watermark past every open window,
+session and segment, and its own never closes.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideline.functions.time import HOUR
 from tideline.operators import words
-from tideline.plans.registry import ARRIVAL, EVENTS_SQL, SQL, cents, load, query
-from tideline.session import ROCKSDB, use_utc, work_folder
-from tideline.sources.sinks import batched_writer, write_stream
+from tideline.plans.registry import ARRIVAL, SQL, cents, load, query
+from tideline.plans.rides import trip_sides
+from tideline.session import use_utc, work_folder
+from tideline.sources.sinks import write_stream
 from tideline.streaming import batches, forms
 
+#: What a micro-batch reads at most: a bound on what stateful operators hold at once.
+LIMIT = {"maxBytesPerTrigger": "8g"}
+#: Event time of the closing row.
+END = "2200-01-01 00:00:00"
+
+
+def stream(spark: SparkSession, sf_dir: str, table: str, closing: str | None = None) -> DataFrame:
+    """A table, a file or a folder of files, as a stream in the order in which its files came.
 
-def stream(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    """A table's files as a stream, at most a thousand per micro-batch, in the order they came."""
+    ``closing`` is a folder that gets the closing row."""
     use_utc(spark)
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     schema = load(spark, sf_dir, table).schema
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", f"{table}.parquet")
-    return reader.option("maxFilesPerTrigger", 1000).parquet(sf_dir)
+    reader = spark.readStream.schema(schema)
+    rows = reader.options(**LIMIT).parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
+    return rows if closing is None else rows.unionByName(reader.parquet(closing))
 
 
-def event_stream(spark, sf_dir) -> DataFrame:
-    rows = stream(spark, sf_dir, "events").withColumn("cents", cents("value"))
+def event_stream(spark, sf_dir, closing: str | None = None) -> DataFrame:
+    rows = stream(spark, sf_dir, "events", closing).withColumn("cents", cents("value"))
     return rows.withColumn("ts", F.col("ts").cast("timestamp"))  # watermarks need this type
 
 
-def finish(rows: DataFrame, name: str) -> DataFrame:
-    """Run an append-mode stream to its end and read what it wrote."""
-    spark = rows.sparkSession
+class ClosingRow:
+    """A folder with nothing in it, until ``arrive`` puts an event without key and value there."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, folder: str):
+        self.folder = f"{folder}/closing"
+        schema = load(spark, sf_dir, "events").schema
+        values = [
+            F.lit(END if field.name == "ts" else None).cast(field.dataType).alias(field.name)
+            for field in schema.fields
+        ]
+        self.row = spark.range(1).select(*values)
+        self.row.limit(0).write.parquet(self.folder)
+
+    def arrive(self) -> None:
+        self.row.write.mode("append").parquet(self.folder)
+
+
+def finish(spark, sf_dir, name: str, build: Callable[[DataFrame], DataFrame], close: bool = False):
+    """Run ``build`` on the stream of events to its end and read what it wrote."""
     folder = work_folder(spark, name)
+    last = ClosingRow(spark, sf_dir, folder) if close else None
+    rows = build(event_stream(spark, sf_dir, last.folder if last else None))
+    return _finished(rows, folder, last)
+
+
+def _finished(rows: DataFrame, folder: str, last: ClosingRow | None = None) -> DataFrame:
     out = f"{folder}/out"
-    writer = write_stream(rows, "parquet", checkpoint=f"{folder}/checkpoint", target=out)
-    writer.start().awaitTermination()
-    return spark.read.schema(rows.schema).parquet(out)
+
+    def run():
+        writer = write_stream(rows, "parquet", checkpoint=f"{folder}/checkpoint", target=out)
+        writer.start().awaitTermination()
+
+    run()
+    if last is not None:
+        last.arrive()
+        run()
+    return rows.sparkSession.read.schema(rows.schema).parquet(out)
 
 
-def finish_batches(rows: DataFrame, name: str, make, mode: str = "append") -> str:
-    """Run a stream through a ``foreachBatch`` writer; returns its folder."""
-    folder = work_folder(rows.sparkSession, name)
+def finish_batches(spark, sf_dir, name: str, build, make, mode="append", close=False) -> str:
+    """Run a stream of events through a ``foreachBatch`` writer; returns its folder."""
+    folder = work_folder(spark, name)
+    last = ClosingRow(spark, sf_dir, folder) if close else None
+    rows = build(event_stream(spark, sf_dir, last.folder if last else None))
+    _run_batches(rows, folder, make, mode)
+    if last is not None:
+        last.arrive()
+        _run_batches(rows, folder, make, mode)
+    return folder
+
+
+def _run_batches(rows: DataFrame, folder: str, make, mode: str = "append") -> None:
     writer = rows.writeStream.outputMode(mode).option("checkpointLocation", f"{folder}/checkpoint")
     writer.foreachBatch(make(folder)).trigger(availableNow=True).start().awaitTermination()
-    return folder
 
 
 @query(SQL["word_count"])
 def stream_word_count(spark, sf_dir):
+    """Changed words per micro-batch; the newest count of each word counts."""
     counts = words.word_count(words.tokenize(stream(spark, sf_dir, "documents"), "text"))
-    folder = finish_batches(counts, "words", batches.replace_writer, "complete")
-    return spark.read.schema(counts.schema).parquet(f"{folder}/out")
-
+    folder = work_folder(spark, "words")
+    _run_batches(counts, folder, batches.changes_writer, "update")
+    return batches.newest(spark.read.parquet(f"{folder}/out"), ["word"])
 
-_CLOSED = "(SELECT max(ts) - INTERVAL 1 HOUR FROM events)"
 
-
-@query(f"SELECT * FROM ({SQL['hourly_top_driver']}) WHERE window_end <= {_CLOSED}")
+@query(SQL["hourly_top_driver"])
 def stream_hourly_top_driver(spark, sf_dir):
-    rows = event_stream(spark, sf_dir)
-    return finish(forms.hourly_top_driver(rows, "ts", "user_id", "cents", "1 hour"), "top")
+    def build(rows):
+        return forms.hourly_top_driver(rows, "ts", "user_id", "cents", "1 hour")
+
+    return finish(spark, sf_dir, "top", build, close=True)
 
 
-@query(f"SELECT * FROM ({SQL['sliding_event_time']}) WHERE window_end <= {_CLOSED}")
+@query(SQL["sliding_event_time"])
 def stream_sliding_count(spark, sf_dir):
-    rows = event_stream(spark, sf_dir)
-    counts = forms.window_count(rows, "ts", "1 hour", "2 hours", "1 hour", ["user_id"])
-    return finish(counts, "sliding")
+    def build(rows):
+        return forms.window_count(rows, "ts", "1 hour", "2 hours", "1 hour", ["user_id"])
+
+    return finish(spark, sf_dir, "sliding", build, close=True)
+
+
+def _with_throttle(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("throttle", (F.col("cents") % 1000) / 100)
 
 
-@query(f"SELECT * FROM ({SQL['driving_sessions']}) WHERE session_end <= {_CLOSED}")
+@query(SQL["driving_sessions"])
 def stream_driving_sessions(spark, sf_dir):
-    rows = event_stream(spark, sf_dir).withColumn("throttle", (F.col("cents") % 1000) / 100)
-    found = forms.driving_sessions(rows, "user_id", "ts", "value", "throttle", "6 hours", "1 hour")
-    return finish(found, "sessions").withColumn("erraticness", F.round("erraticness", 4))
+    def build(rows):
+        return forms.driving_sessions(
+            _with_throttle(rows), "user_id", "ts", "value", "throttle", "6 hours", "1 hour"
+        )
 
+    found = finish(spark, sf_dir, "sessions", build, close=True)
+    return found.withColumn("erraticness", F.round("erraticness", 4))
 
-@query(f"SELECT * FROM ({SQL['session_dynamic_gap']}) WHERE session_end <= {_CLOSED}")
+
+@query(SQL["session_dynamic_gap"])
 def stream_session_dynamic_gap(spark, sf_dir):
     kind = F.col("event_type")
     gap = F.when(kind == "view", "4 hours").when(kind == "purchase", "8 hours").otherwise("2 hours")
-    rows = event_stream(spark, sf_dir)
-    return finish(forms.dynamic_sessions(rows, "user_id", "ts", gap, "cents", "1 hour"), "gaps")
+
+    def build(rows):
+        return forms.dynamic_sessions(rows, "user_id", "ts", gap, "cents", "1 hour")
+
+    return finish(spark, sf_dir, "gaps", build, close=True)
 
 
 def _average(spark, sf_dir, store):
-    rows = forms.count_average(
-        event_stream(spark, sf_dir), "user_id", ["event_id"], "cents", 3, store
-    )
-    return finish(rows, f"average-{store}").withColumn("average", F.round("average", 4))
+    def build(rows):
+        return forms.count_average(rows, "user_id", ["event_id"], "cents", 3, store)
+
+    found = finish(spark, sf_dir, f"average-{store}", build)
+    return found.withColumn("average", F.round("average", 4))
 
 
 @query(SQL["count_avg"])
@@ -109,37 +172,58 @@ def stream_count_avg_map(spark, sf_dir):
     return _average(spark, sf_dir, "map")
 
 
+def _counted(spark, sf_dir, every, size=None):
+    def build(rows):
+        return forms.count_window(rows, "user_id", ["event_id"], "cents", every, size)
+
+    return finish(spark, sf_dir, "counted", build)
+
+
 @query(SQL["count_window_cumulative"])
 def stream_count_window_cumulative(spark, sf_dir):
-    rows = forms.count_window(event_stream(spark, sf_dir), "user_id", ["event_id"], "cents", 3)
-    return finish(rows, "cumulative")
+    return _counted(spark, sf_dir, 3)
 
 
 @query(SQL["count_window_sliding"])
 def stream_count_window_sliding(spark, sf_dir):
-    rows = forms.count_window(event_stream(spark, sf_dir), "user_id", ["event_id"], "cents", 2, 3)
-    return finish(rows, "counted")
+    return _counted(spark, sf_dir, 2, 3)
+
+
+@query(SQL["count_window_tumbling"])
+def stream_count_window_tumbling(spark, sf_dir):
+    found = _counted(spark, sf_dir, 3, 3)
+    return found.select("user_id", F.expr("rn div 3").alias("block"), "total")
+
+
+def _folded(spark, sf_dir, with_text):
+    def build(rows):
+        return forms.running_fold(rows, "user_id", ["event_id"], "cents", with_text)
+
+    return finish(spark, sf_dir, "fold", build).withColumnRenamed("seq", "event_id")
 
 
 @query(SQL["running_sum"])
 def stream_running_sum(spark, sf_dir):
-    rows = forms.running_fold(
-        event_stream(spark, sf_dir), "user_id", ["event_id"], "cents", with_text=False
-    )
-    return finish(rows, "fold").select(F.col("seq").alias("event_id"), "user_id", "total")
+    return _folded(spark, sf_dir, False).select("event_id", "user_id", "total")
+
+
+@query(SQL["running_text"])
+def stream_running_text(spark, sf_dir):
+    return _folded(spark, sf_dir, True).select("event_id", "user_id", "text")
 
 
 @query(SQL["join_slots"])
 def stream_join_slots(spark, sf_dir):
-    sides = event_stream(spark, sf_dir).filter(F.col("event_type").isin("view", "purchase"))
-    rows = sides.select(
-        "user_id",
-        F.col("event_id").alias("seq"),
-        (F.col("event_type") == "view").alias("is_left"),
-        "event_id",
-    )
-    pairs = forms.pair_slots(rows, "user_id", "seq", "is_left", "event_id")
-    return finish(pairs, "slots").withColumnRenamed("seq", "event_id")
+    def build(rows):
+        sides = rows.filter(F.col("event_type").isin("view", "purchase")).select(
+            "user_id",
+            F.col("event_id").alias("seq"),
+            (F.col("event_type") == "view").alias("is_left"),
+            "event_id",
+        )
+        return forms.pair_slots(sides, "user_id", "seq", "is_left", "event_id")
+
+    return finish(spark, sf_dir, "slots", build).withColumnRenamed("seq", "event_id")
 
 
 @query(
@@ -149,115 +233,127 @@ def stream_join_slots(spark, sf_dir):
 )
 def stream_blocklist(spark, sf_dir):
     """A user's events pass until the user's first error."""
-    rows = event_stream(spark, sf_dir).withColumn("seq", F.col("event_id"))
-    errors = F.col("event_type") == "error"
-    passed = forms.blocklist(
-        rows.filter(~errors), rows.filter(errors), "user_id", "seq", ["event_id"]
-    )
-    return finish(passed, "blocked")
 
+    def build(rows):
+        rows = rows.withColumn("seq", F.col("event_id"))
+        errors = F.col("event_type") == "error"
+        return forms.blocklist(
+            rows.filter(~errors), rows.filter(errors), "user_id", "seq", ["event_id"]
+        )
 
-@query(
-    f"""SELECT v.event_id AS view_id, p.event_id AS purchase_id, v.user_id FROM events v JOIN events p
-            ON v.user_id = p.user_id AND p.ts BETWEEN v.ts - INTERVAL 2 HOUR AND v.ts + INTERVAL 2 HOUR
-        WHERE v.event_type = 'view' AND p.event_type = 'purchase'"""
-)
+    return finish(spark, sf_dir, "blocked", build)
+
+
+@query(SQL["join_rides_fares"])
 def stream_join_rides_fares(spark, sf_dir):
-    """Views and purchases of a user at most two hours apart."""
-    rows = event_stream(spark, sf_dir)
-    views = rows.filter(F.col("event_type") == "view")
-    views = views.select(
-        "user_id", F.col("ts").alias("view_ts"), F.col("event_id").alias("view_id")
-    )
-    bought = rows.filter(F.col("event_type") == "purchase").select(
-        "user_id", F.col("ts").alias("purchase_ts"), F.col("event_id").alias("purchase_id")
+    """Open orders stand for started rides, their lines for fares, joined on the ride's id.
+
+    The dates of this table come in no order, so the bound spans all of them.
+    """
+    fares, started = trip_sides(
+        stream(spark, sf_dir, "lineitem"), stream(spark, sf_dir, "orders"), times=True
     )
-    pairs = forms.join_rides_fares(views, bought, "user_id", "view_ts", "purchase_ts", "2 hours")
-    return finish(pairs.select("view_id", "purchase_id", "user_id"), "join")
+    pairs = forms.join_rides_fares(started, fares, "l_orderkey", "ride_ts", "fare_ts", "9999 days")
+    columns = pairs.select("l_orderkey", "l_linenumber", "o_custkey", "fare")
+    return _finished(columns, work_folder(spark, "join"))
 
 
-@query(f"SELECT * FROM ({SQL['stop_segments']}) WHERE stop_time <= {_CLOSED}")
+@query(SQL["stop_segments"])
 def stream_stop_segments(spark, sf_dir):
-    rows = event_stream(spark, sf_dir).withColumn("throttle", (F.col("cents") % 1000) / 100)
     stop = F.col("event_type") == "error"
-    found = forms.stop_segments(rows, "user_id", "ts", "value", "throttle", "1 hour", stop)
-    return finish(found, "segments").withColumn("erraticness", F.round("erraticness", 4))
 
+    def build(rows):
+        return forms.stop_segments(
+            _with_throttle(rows), "user_id", "ts", "value", "throttle", "1 hour", stop
+        )
 
-@query(f"SELECT user_id, ts, event_id FROM events WHERE ts <= {_CLOSED}")
-def stream_car_sort(spark, sf_dir):
-    rows = event_stream(spark, sf_dir).withColumn("seq", F.col("event_id"))
-    found = forms.event_sorter(rows, "user_id", "ts", "seq", "event_id", "1 hour")
-    return finish(found, "sorter").select("user_id", "ts", "event_id")
+    found = finish(spark, sf_dir, "segments", build, close=True)
+    return found.withColumn("erraticness", F.round("erraticness", 4))
 
 
-def _arrivals(spark, sf_dir):
+def _arrivals(rows: DataFrame) -> DataFrame:
+    """Events in the disturbed order of their arrival."""
     shift = (F.col("event_id") * 7919) % 23
-    rows = event_stream(spark, sf_dir).withColumn("seq", F.col("event_id") + shift)
-    return rows.select("event_id", "seq", "ts", "event_type")
+    rows = rows.withColumn("seq", F.coalesce(F.col("event_id") + shift, F.lit(2**62)))
+    return rows.select("event_id", "seq", "ts", "event_type", "user_id")
+
+
+def _sorted(spark, sf_dir) -> str:
+    def make(path):
+        return batches.sorter_writer(path, "user_id", "ts", ARRIVAL, HOUR)
+
+    return finish_batches(spark, sf_dir, "sorter", _arrivals, make, close=True)
+
+
+@query(SQL["car_sort"])
+def stream_car_sort(spark, sf_dir):
+    found = spark.read.parquet(f"{_sorted(spark, sf_dir)}/out")
+    return found.select("user_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "event_id")
+
+
+@query(SQL["car_late_ids"])
+def stream_car_late_ids(spark, sf_dir):
+    return spark.read.parquet(f"{_sorted(spark, sf_dir)}/late").select("event_id")
+
+
+@query(SQL["tumbling_event_time"])
+def stream_window_elements(spark, sf_dir):
+    """The elements of each closed window in arrival order; late rows are left out."""
+
+    def make(path):
+        return batches.window_elements_writer(path, "user_id", "ts", ARRIVAL, HOUR, HOUR)
 
+    folder = finish_batches(spark, sf_dir, "elements", _arrivals, make, close=True)
+    return spark.read.parquet(f"{folder}/out").drop("batch")
 
-def _late(spark, folder):
+
+def _late(spark, sf_dir, name, *options):
+    def make(path):
+        return batches.late_split_writer(path, "ts", ARRIVAL, HOUR, HOUR, *options)
+
+    folder = finish_batches(spark, sf_dir, name, _arrivals, make)
     found = spark.read.parquet(f"{folder}/out")
     return found.select("event_id", "window_start", "window_end", F.col("late").cast("boolean"))
 
 
 @query(SQL["late_split"])
 def stream_late_split(spark, sf_dir):
-    def make(path):
-        return batches.late_split_writer(path, "ts", ARRIVAL, HOUR, HOUR)
-
-    return _late(spark, finish_batches(_arrivals(spark, sf_dir), "late", make))
+    return _late(spark, sf_dir, "late")
 
 
 @query(SQL["late_split_marker"])
 def stream_late_split_marker(spark, sf_dir):
-    marker = F.col("event_type") == "signup"
+    return _late(spark, sf_dir, "marker", HOUR // 6, F.col("event_type") == "signup")
 
-    def make(path):
-        return batches.late_split_writer(path, "ts", ARRIVAL, HOUR, HOUR, HOUR // 6, marker)
 
-    return _late(spark, finish_batches(_arrivals(spark, sf_dir), "marker", make))
+@query(SQL["dynamic_rule_filter"])
+def stream_dynamic_rule(spark, sf_dir):
+    """A signup sets the largest amount that may pass, from its arrival on."""
 
+    def build(rows):
+        return rows.select("event_id", "event_type", "cents")
 
-@query(SQL["car_late_ids"])
-def stream_car_late_ids(spark, sf_dir):
     def make(path):
-        return batches.sorter_split_writer(path, "ts", ARRIVAL, HOUR)
+        return batches.dynamic_rule_writer(
+            path, F.col("event_type") == "signup", F.col("cents"), F.col("cents"), ["event_id"]
+        )
 
-    folder = finish_batches(_arrivals(spark, sf_dir), "sorter-late", make)
+    folder = finish_batches(spark, sf_dir, "rule", build, make)
     found = spark.read.parquet(f"{folder}/out")
-    return found.filter(F.col("late").cast("boolean")).select("event_id")
-
-
-@query(
-    f"""SELECT event_id, cents FROM {EVENTS_SQL} WHERE event_type <> 'signup' AND cents <=
-        coalesce((SELECT max_by(cents, event_id) FROM {EVENTS_SQL} WHERE event_type = 'signup'), cents)"""
-)
-def stream_dynamic_rule(spark, sf_dir):
-    """The newest signup of a micro-batch sets the largest amount that may pass."""
-    folder = finish_batches(
-        event_stream(spark, sf_dir).select("event_id", "event_type", "cents"),
-        "rule",
-        lambda path: batches.dynamic_rule_writer(
-            path,
-            F.col("event_type") == "signup",
-            F.col("cents"),
-            lambda limit: F.col("cents") <= limit,
-            "event_id",
-        ),
-    )
-    return spark.read.parquet(f"{folder}/out").select("event_id", "cents")
+    return found.select("event_id", "cents", F.coalesce("rule", F.lit(-1)).alias("rule"))
 
 
 @query(SQL["sink_batches"])
 def stream_sink_batches(spark, sf_dir):
-    folder = finish_batches(
-        event_stream(spark, sf_dir).select("event_id", "cents"),
-        "batches",
-        lambda path: batched_writer(f"{path}/out", ["event_id"], 20),
-    )
-    found = spark.read.parquet(f"{folder}/out")
+    def build(rows):
+        return rows.select("event_id", "cents")
+
+    def make(path):
+        return batches.batched_writer(path, ["event_id"], 20)
+
+    folder = finish_batches(spark, sf_dir, "batches", build, make)
+    given = load(spark, sf_dir, "events").withColumn("cents", cents("value"))
+    found = batches.read_batches(build(given), folder)
     return found.groupBy("batch_no").agg(
         F.count(F.lit(1)).alias("n"),
         F.min("event_id").alias("first_id"),

@@ -37,10 +37,10 @@ def word_count_running(spark, sf_dir):
     return words.word_count_running(tokens, "doc_id")
 
 
-@query(f"SELECT doc_id, word, 1 AS one, 'testValue' AS tag FROM {_TOKENS}")
+@query(f"SELECT doc_id, word, 1 AS one, 'shoreline' AS tag FROM {_TOKENS}")
 def parametrized_tokenize(spark, sf_dir):
     documents = load(spark, sf_dir, "documents")
-    return words.parametrized_tokenize(documents, "doc_id", "text", {"tag": "testValue"})
+    return words.parametrized_tokenize(documents, "doc_id", "text", {"tag": "shoreline"})
 
 
 @query(f"SELECT doc_id, pos, word FROM {_PLACED} WHERE word NOT IN (SELECT word FROM {_BLOCKED})")

@@ -35,7 +35,8 @@ def _tokens(line: Column, separator: str) -> Column:
         kept = F.rtrim(line, F.lit(separator))
     else:
         kept = F.regexp_replace(line, f"(?:{separator})+$", "")
-    return F.split(kept, separator, -1)
+    # one character stands for itself, anything longer is a pattern
+    return F.split(kept, rf"\Q{separator}\E" if len(separator) == 1 else separator, -1)
 
 
 def _number(token: Column, kind: T.DataType) -> Column:

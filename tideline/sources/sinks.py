@@ -1,14 +1,11 @@
-"""Sinks: console, files, memory, message queue, and rows handed over in batches."""
+"""Sinks: console, files, memory and message queue. Rows handed over in batches are in
+``streaming/batches.py``."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter
 
-from tideline.operators.count_windows import sink_batches
-
 
 def write_stream(
     df: DataFrame,
@@ -42,20 +39,3 @@ def write_stream(
         options = {"kafka.bootstrap.servers": target, "topic": topic}
         return writer.format("kafka").options(**options)
     raise ValueError(f"unknown sink: {kind}")
-
-
-def batched_writer(
-    folder: str, order: Sequence[str], size: int
-) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` function that writes each micro-batch as numbered batches of rows.
-
-    Nothing is buffered between micro-batches: the last batch of one may be short, and is
-    written. A micro-batch that is run again replaces its own folder, so rows are written
-    exactly once.
-    """
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        numbered = sink_batches(batch, order, size)
-        numbered.write.mode("overwrite").parquet(f"{folder}/micro_batch={batch_id}")
-
-    return write

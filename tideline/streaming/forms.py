@@ -11,7 +11,6 @@ from pyspark.sql import types as T
 from tideline.functions.stats import erratic_class
 from tideline.functions.time import from_micros, micros, time_type
 from tideline.operators import time_windows as tw
-from tideline.operators.late import element_text
 from tideline.streaming import processors as p
 
 
@@ -19,7 +18,7 @@ def keyed(
     rows: DataFrame,
     key: str,
     processor: p.Ordered,
-    output: str,
+    output: T.StructType | str,
     time_mode: str = "None",
     ttl_ms: int | None = None,
 ) -> DataFrame:
@@ -32,9 +31,10 @@ def keyed(
     """
     if ttl_ms is not None:
         processor.ttl_ms, time_mode = ttl_ms, "ProcessingTime"
-    schema = T.StructType([rows.schema[key], *T.StructType.fromDDL(output).fields])
+    added = T.StructType.fromDDL(output) if isinstance(output, str) else output
+    schema = T.StructType([rows.schema[key], *added.fields])
     processor.names = schema.fieldNames()
-    return rows.groupBy(key).transformWithState(
+    return rows.groupBy(key).transformWithStateInPandas(
         statefulProcessor=processor,
         outputStructType=schema,
         outputMode="append",
@@ -42,6 +42,19 @@ def keyed(
     )
 
 
+def _numbers(rows: DataFrame, value: str) -> tuple[DataFrame, T.DataType]:
+    """A value column without nulls (see ``processors.GIVEN``), and the type of its sums: whole
+    numbers stay whole, all others become doubles."""
+    whole = isinstance(rows.schema[value].dataType, T.IntegralType)
+    kind = T.LongType() if whole else T.DoubleType()
+    number = F.coalesce(F.col(value).cast(kind), F.lit(0).cast(kind))
+    return rows.withColumns({p.GIVEN: F.col(value).isNotNull(), value: number}), kind
+
+
+def _columns(*columns: tuple[str, T.DataType]) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in columns])
+
+
 def count_average(
     rows,
     key: str,
@@ -53,7 +66,8 @@ def count_average(
 ):
     """Average of every ``size`` values of a key, with one of three kinds of state."""
     processor = p.BlockAverage(order, value, size, store)
-    return keyed(rows.select(key, *order, value), key, processor, processor.OUTPUT, ttl_ms=ttl_ms)
+    given, _ = _numbers(rows.select(key, *order, value), value)
+    return keyed(given, key, processor, processor.OUTPUT, ttl_ms=ttl_ms)
 
 
 def count_window(
@@ -66,8 +80,10 @@ def count_window(
     ttl_ms: int | None = None,
 ):
     """Counted windows: cumulative without ``size``, tumbling if equal, else sliding."""
-    processor = p.CountWindow(order, value, every, size)
-    return keyed(rows.select(key, *order, value), key, processor, processor.OUTPUT, ttl_ms=ttl_ms)
+    given, kind = _numbers(rows.select(key, *order, value), value)
+    processor = p.CountWindow(order, value, every, size, kind)
+    output = _columns(("rn", T.LongType()), ("total", kind))
+    return keyed(given, key, processor, output, ttl_ms=ttl_ms)
 
 
 def running_fold(
@@ -79,8 +95,11 @@ def running_fold(
     ttl_ms: int | None = None,
 ):
     """Running sum, and running text, per row."""
-    processor = p.RunningFold(order, value, with_text)
-    return keyed(rows.select(key, *order, value), key, processor, processor.OUTPUT, ttl_ms=ttl_ms)
+    words = F.col(value).cast("string") if with_text else F.lit(None).cast("string")
+    given, kind = _numbers(rows.select(key, *order, value, words.alias("words")), value)
+    processor = p.RunningFold(order, value, with_text, kind)
+    output = _columns(("seq", T.LongType()), ("total", kind), ("text", T.StringType()))
+    return keyed(given, key, processor, output, ttl_ms=ttl_ms)
 
 
 def idle_count(rows, key: str, idle_ms: int):
@@ -99,17 +118,24 @@ def blocklist(
 ):
     """Words whose key no control row named before, in arrival order."""
     others = [c for c in keep if c != seq]
-    tagged = words.select(on, seq, F.lit(False).alias("_control"), *others)
+    tagged = words.select(on, seq, F.lit(False).alias("control_"), *others)
     names = control.select(
         on,
         seq,
-        F.lit(True).alias("_control"),
+        F.lit(True).alias("control_"),
         *[F.lit(None).cast(words.schema[c].dataType).alias(c) for c in others],
     )
-    fields = ", ".join(f"{c} {words.schema[c].dataType.simpleString()}" for c in keep)
+    # kept columns travel as text, in which whole numbers and nulls go side by side
+    fields = ", ".join(f"{c} string" for c in keep)
+    kinds = {c: words.schema[c].dataType for c in keep}
     # Of equals in arrival, the control row counts as first.
-    rows = tagged.unionByName(names).withColumn("_last", F.when(F.col("_control"), 0).otherwise(1))
-    return keyed(rows, on, p.BlockList([seq, "_last"], "_control", keep), fields, ttl_ms=ttl_ms)
+    rows = tagged.unionByName(names).withColumn("last_", F.when(F.col("control_"), 0).otherwise(1))
+    texts = rows.select(
+        on, seq, "control_", "last_", *[F.col(c).cast("string").alias(f"of_{c}_") for c in keep]
+    )
+    processor = p.BlockList([seq, "last_"], "control_", [f"of_{c}_" for c in keep])
+    passed = keyed(texts, on, processor, fields, ttl_ms=ttl_ms)
+    return passed.select(on, *[F.col(c).cast(kind).alias(c) for c, kind in kinds.items()])
 
 
 def pair_slots(
@@ -119,7 +145,11 @@ def pair_slots(
     processor = p.Slots([seq], is_left, payload, rows.schema[payload].dataType)
     kind = processor.kind.simpleString()
     output = f"{seq} long, left_{payload} {kind}, right_{payload} {kind}"
-    columns = rows.select(key, seq, is_left, payload)
+    given = F.col(payload).isNotNull().alias(p.GIVEN)
+    value = F.col(payload)
+    if isinstance(rows.schema[payload].dataType, T.IntegralType):
+        value = F.coalesce(value, F.lit(0)).cast(processor.kind).alias(payload)
+    columns = rows.select(key, seq, is_left, value, given)
     return keyed(columns, key, processor, output, ttl_ms=ttl_ms)
 
 
@@ -197,48 +227,12 @@ def window_count(rows, ts: str, delay: str, width: str, slide: str | None = None
     return tw.window_count(rows.withWatermark(ts, delay), ts, width, slide, keys)
 
 
-def window_elements(
-    rows, key: str, ts: str, seq: str, delay: str, width: str, list_rows: int = 10_000
-):
-    """The elements of each closed window and key as text, in arrival order.
-
-    Elements come in parts by arrival number (``seq``, which does not repeat), so that a part
-    holds at most ``list_rows`` of them.
-    """
-    part = F.floor(F.col(seq) / list_rows).cast("long").alias("part")
-    found = (
-        rows.withWatermark(ts, delay)
-        .groupBy(F.window(ts, width).alias("_w"), key, part)
-        .agg(F.sort_array(F.collect_list(F.struct(seq, element_text(key, ts)))).alias("_list"))
-    )
-    texts = F.transform("_list", lambda element: element["text"])
-    return found.select(
-        key,
-        F.col("_w.start").alias("window_start"),
-        F.col("_w.end").alias("window_end"),
-        "part",
-        F.size("_list").cast("long").alias("n"),
-        F.array_join(texts, ", ").alias("elements"),
-    )
-
-
-def event_sorter(events, key: str, ts: str, seq: str, payload: str, delay: str):
-    """Events of a key in event-time order; those behind the watermark are left out."""
-    kind = time_type(events, ts)
-    payload_kind = events.schema[payload].dataType
-    rows = events.withWatermark(ts, delay).select(
-        key, ts, micros(F.col(ts)).alias("at"), F.col(seq).alias("seq"), payload
-    )
-    output = f"at long, seq long, {payload} {payload_kind.simpleString()}"
-    found = keyed(rows, key, p.EventSorter(payload, payload_kind), output, "EventTime")
-    return found.select(key, from_micros(F.col("at"), kind).alias(ts), "seq", payload)
-
-
 def stop_segments(events, car: str, ts: str, speed: str, throttle: str, delay: str, is_stop=None):
     """Segments closed by a stop, once the watermark has passed the stop."""
     kind = time_type(events, ts)
     stop = F.coalesce(is_stop if is_stop is not None else F.col(speed) == 0, F.lit(False))
-    rows = events.withWatermark(ts, delay).select(
+    rows = events.withWatermark(ts, delay).filter(F.col(ts).isNotNull())
+    rows = rows.select(
         car,
         ts,
         micros(F.col(ts)).alias("at"),

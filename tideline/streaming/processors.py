@@ -1,18 +1,18 @@
-"""Keyed state: processors for ``transformWithState``.
+"""Keyed state: processors for ``transformWithStateInPandas``.
 
-Spark hands a processor the rows of one key in a micro-batch in no set order, so each sorts
-them by the arrival columns first. That sort is bounded by the micro-batch, whose size the
-source limits (``max_rows``, ``max_files``). State is read once and written once per key and
-micro-batch, not per row.
+Spark hands a processor the rows of one key in a micro-batch as Arrow batches in no set order, so
+each sorts them by the arrival columns first and then works on whole columns. What one key brings
+in a micro-batch is held at once; the source's byte limit bounds it. State is read once and
+written once per key and micro-batch. Nulls count as rows but add nothing, as in the batch forms.
 """
 
 from __future__ import annotations
 
-from bisect import bisect_left
 from collections.abc import Iterator, Sequence
 from math import sqrt
 
-from pyspark.sql import Row
+import numpy as np
+import pandas as pd
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -20,17 +20,16 @@ from tideline.session import ship_by_value
 
 ship_by_value(__name__)
 
-LONG, DOUBLE = T.LongType(), T.DoubleType()
+LONG, DOUBLE, FLAG = T.LongType(), T.DoubleType(), T.BooleanType()
+#: Beside a value column, whether the value was there; the value itself is then 0. (Spark hands names
+#: that begin with an underscore to processors under other names.)
+GIVEN = "given_"
 
 
 def _schema(**fields: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
 
 
-def in_order(rows: Iterator[Row], order: Sequence[str]) -> list[Row]:
-    return sorted(rows, key=lambda row: tuple(row[name] for name in order))
-
-
 class Ordered(StatefulProcessor):
     """A processor that knows the arrival columns, and the ``names`` of its output columns."""
 
@@ -43,9 +42,6 @@ class Ordered(StatefulProcessor):
     def value_state(self, name: str, **fields: T.DataType):
         return self.handle.getValueState(name, _schema(**fields), self.ttl_ms)
 
-    def row(self, *values) -> Row:
-        return Row(*self.names)(*values)
-
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.open()
@@ -56,9 +52,29 @@ class Ordered(StatefulProcessor):
     def close(self) -> None:
         pass
 
+    def in_order(self, rows: Iterator[pd.DataFrame]) -> pd.DataFrame:
+        batches = [batch for batch in rows if len(batch)]
+        together = pd.concat(batches, ignore_index=True) if batches else pd.DataFrame()
+        if len(together) and self.order:
+            together = together.sort_values(self.order, kind="stable", ignore_index=True)
+        return together
+
+    def out(self, key: tuple, *columns) -> pd.DataFrame:
+        """Rows with the key before the columns."""
+        n = len(columns[0])
+        name = None if pd.isna(key[0]) else key[0]
+        data = {self.names[0]: pd.Series([name] * n, dtype=object)}
+        data |= {c: pd.Series(list(v), dtype=object) for c, v in zip(self.names[1:], columns)}
+        return pd.DataFrame(data)
+
+
+def _kept(values: np.ndarray, given: np.ndarray) -> list:
+    """Python values, None where nothing was given."""
+    return [value if ok else None for value, ok in zip(values.tolist(), given.tolist())]
+
 
 class BlockAverage(Ordered):
-    """The average of every ``size`` values of a key. The open block is kept as a count and a
+    """The average of every ``size`` values of a key. The open block is kept as counts and a
     sum (``store="value"``), as a list, or as a map by position."""
 
     OUTPUT = "block long, average double"
@@ -69,105 +85,151 @@ class BlockAverage(Ordered):
 
     def open(self) -> None:
         self.done = self.value_state("blocks", blocks=LONG)
+        pair = {"value": DOUBLE, "given": FLAG}
         if self.store == "value":
-            self.state = self.value_state("open", n=LONG, total=DOUBLE)
+            self.state = self.value_state("open", n=LONG, given=LONG, total=DOUBLE)
         elif self.store == "list":
-            self.state = self.handle.getListState("open", _schema(value=DOUBLE), self.ttl_ms)
+            self.state = self.handle.getListState("open", _schema(**pair), self.ttl_ms)
         elif self.store == "map":
             self.state = self.handle.getMapState(
-                "open", _schema(pos=LONG), _schema(value=DOUBLE), self.ttl_ms
+                "open", _schema(pos=LONG), _schema(**pair), self.ttl_ms
             )
         else:
             raise ValueError(f"unknown state kind: {self.store}")
 
-    def _load(self) -> tuple[int, float]:
+    def _load(self) -> tuple[int, int, float]:
+        """Rows, values and sum of the open block."""
         if not self.state.exists():
-            return 0, 0.0
+            return 0, 0, 0.0
         if self.store == "value":
-            saved = self.state.get()
-            return saved[0], saved[1]
-        rows = self.state.get() if self.store == "list" else self.state.values()
-        values = [row[0] for row in rows]
-        return len(values), sum(values)
+            return tuple(self.state.get())
+        rows = list(self.state.get() if self.store == "list" else self.state.values())
+        return len(rows), sum(row[1] for row in rows), sum(row[0] for row in rows)
 
-    def _save(self, added: list[float], n: int, total: float, fired: bool) -> None:
+    def _save(self, kept: int, values: np.ndarray, given: np.ndarray, sums: tuple) -> None:
+        """``values`` are those of the open block behind the first ``kept``."""
         if self.store == "value":
-            self.state.update((n, total))
+            self.state.update(sums)
             return
-        if fired:
+        if not kept:
             self.state.clear()
+        added = list(zip(values.tolist(), given.tolist()))
         if self.store == "list":
             if added:
-                self.state.appendList([(value,) for value in added])
+                self.state.appendList(added)
         else:
-            for i, value in enumerate(added):
-                self.state.updateValue((n - len(added) + i,), (value,))
+            for i, pair in enumerate(added):
+                self.state.updateValue((kept + i,), pair)
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        n, total = self._load()
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        found = self.in_order(rows)
+        n, known, total = self._load()
         block = self.done.get()[0] if self.done.exists() else 0
-        added, fired = [], False
-        for row in in_order(rows, self.order):
-            value = float(row[self.value])
-            added.append(value)
-            n, total = n + 1, total + value
-            if n == self.size:
-                block, fired = block + 1, True
-                yield self.row(*key, block, total / n)
-                n, total, added = 0, 0.0, []
-        self._save(added, n, total, fired)
-        if fired:
-            self.done.update((block,))
+        values = found[self.value].to_numpy(float)
+        given = found[GIVEN].to_numpy(bool)
+        number = (n + np.arange(len(values))) // self.size
+        full = (n + len(values)) // self.size
+        sums = np.bincount(number, values, full + 1)
+        counts = np.bincount(number, given, full + 1)
+        sums[0] += total
+        counts[0] += known
+        if full:
+            with np.errstate(invalid="ignore"):
+                averages = _kept(sums[:full] / counts[:full], counts[:full] > 0)
+            yield self.out(key, range(block + 1, block + 1 + full), averages)
+            self.done.update((block + full,))
+        last = number == full
+        rows_open = (n + len(values)) % self.size
+        state = (int(rows_open), int(counts[full]), float(sums[full]))
+        self._save(0 if full else n, values[last], given[last], state)
 
 
 class CountWindow(Ordered):
     """Sums over counted rows of a key, at each ``every``-th row: of all rows so far
-    (``size`` None), or of the last ``size`` rows."""
+    (``size`` None), or of the last ``size`` rows. ``kind`` is the sum's type."""
 
-    OUTPUT = "rn long, total long"
-
-    def __init__(self, order: Sequence[str], value: str, every: int, size: int | None = None):
+    def __init__(
+        self, order: Sequence[str], value: str, every: int, size: int | None, kind: T.DataType
+    ):
         super().__init__(order)
-        self.value, self.every, self.size = value, every, size
+        self.value, self.every, self.size, self.kind = value, every, size, kind
 
     def open(self) -> None:
-        self.state = self.value_state("window", n=LONG, total=LONG, tail=T.ArrayType(LONG))
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        n, total, tail = 0, 0, []
+        self.state = self.value_state(
+            "window",
+            n=LONG,
+            total=self.kind,
+            given=LONG,
+            tail=T.ArrayType(self.kind),
+            there=T.ArrayType(FLAG),
+        )
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        found = self.in_order(rows)
+        n, total, known, tail, there = 0, 0, 0, [], []
         if self.state.exists():
-            n, total, tail = self.state.get()
-            tail = list(tail)
-        for row in in_order(rows, self.order):
-            n, total = n + 1, total + row[self.value]
-            if self.size is not None:
-                tail = (tail + [row[self.value]])[-self.size :]
-            if n % self.every == 0:
-                yield self.row(*key, n, total if self.size is None else sum(tail))
-        self.state.update((n, total, tail))
+            n, total, known, tail, there = self.state.get()
+        values = found[self.value].to_numpy()
+        # sums from before the tail, so that a window is a difference of two places
+        values = np.concatenate([np.array(list(tail), values.dtype), values])
+        given = np.concatenate([np.array(list(there), bool), found[GIVEN].to_numpy(bool)])
+        # what was there before comes first, so that sums are added up in the order of the rows
+        start = np.array([total if self.size is None else 0], values.dtype)
+        sums = np.cumsum(np.concatenate([start, values]))
+        counts = np.concatenate([[0], np.cumsum(given)])
+        held = len(tail)
+        place = np.arange(1, len(found) + 1)
+        fires = place[(n + place) % self.every == 0]
+        at = held + fires
+        if self.size is None:
+            result, some = sums[at], known + counts[at]
+        else:
+            begin = np.maximum(at - self.size, 0)
+            if values.dtype.kind == "f":
+                # no difference of large sums: each window is added up by itself
+                result = np.array([values[a:b].sum() for a, b in zip(begin, at)])
+            else:
+                result = sums[at] - sums[begin]
+            some = counts[at] - counts[begin]
+        if len(fires):
+            yield self.out(key, (n + fires).tolist(), _kept(result, some > 0))
+        keep = 0 if self.size is None else self.size
+        self.state.update(
+            (
+                n + len(found),
+                sums[-1].item() if self.size is None else 0 * sums[-1].item(),
+                known + int(given[held:].sum()),
+                values[len(values) - min(keep, len(values)) :].tolist(),
+                given[len(given) - min(keep, len(given)) :].tolist(),
+            )
+        )
 
 
 class RunningFold(Ordered):
-    """Per row, the sum of its key so far and the text of all its values."""
+    """Per row, the sum of its key so far and the text of all its values (``words``)."""
 
-    OUTPUT = "seq long, total long, text string"
-
-    def __init__(self, order: Sequence[str], value: str, with_text: bool = True):
+    def __init__(self, order: Sequence[str], value: str, with_text: bool, kind: T.DataType):
         super().__init__(order)
-        self.value, self.with_text = value, with_text
+        self.value, self.with_text, self.kind = value, with_text, kind
 
     def open(self) -> None:
-        self.state = self.value_state("so_far", total=LONG, text=T.StringType())
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        total, text = self.state.get() if self.state.exists() else (0, None)
-        for row in in_order(rows, self.order):
-            value = row[self.value]
-            total += value
-            if self.with_text:
-                text = f"Contains: {value}" if text is None else f"{text} and {value}"
-            yield self.row(*key, row[self.order[0]], total, text)
-        self.state.update((total, text))
+        self.state = self.value_state("so_far", total=self.kind, given=FLAG, text=T.StringType())
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        found = self.in_order(rows)
+        total, known, text = self.state.get() if self.state.exists() else (0, False, None)
+        given = found[GIVEN].to_numpy(bool)
+        values = found[self.value].to_numpy()
+        sums = np.cumsum(np.concatenate([np.array([total], values.dtype), values]))[1:]
+        some = known | (np.cumsum(given) > 0)
+        texts = [None] * len(found)
+        if self.with_text:
+            for i, (word, ok) in enumerate(zip(found["words"], given.tolist())):
+                if ok:
+                    text = f"Contains: {word}" if text is None else f"{text} and {word}"
+                texts[i] = text
+        yield self.out(key, found[self.order[0]].tolist(), _kept(sums, some), texts)
+        self.state.update((sums[-1].item(), bool(some[-1]), text))
 
 
 class IdleCount(Ordered):
@@ -182,20 +244,20 @@ class IdleCount(Ordered):
     def open(self) -> None:
         self.state = self.value_state("count", n=LONG, due=LONG)
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         n, due = self.state.get() if self.state.exists() else (0, None)
         if due is not None:
             self.handle.deleteTimer(due)
-        n += sum(1 for _ in rows)
+        n += sum(len(batch) for batch in rows)
         due = timerValues.getCurrentProcessingTimeInMs() + self.idle_ms
         self.handle.registerTimer(due)
         self.state.update((n, due))
         return iter(())
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         n, _ = self.state.get()
         self.state.clear()
-        yield self.row(*key, n)
+        yield self.out(key, [n])
 
 
 class BlockList(Ordered):
@@ -206,20 +268,27 @@ class BlockList(Ordered):
         self.is_control, self.columns = is_control, list(columns)
 
     def open(self) -> None:
-        self.state = self.value_state("blocked", blocked=T.BooleanType())
+        self.state = self.value_state("blocked", blocked=FLAG)
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         if self.state.exists():
             return
-        for row in in_order(rows, self.order):
-            if row[self.is_control]:
-                self.state.update((True,))
-                return
-            yield self.row(*key, *[row[name] for name in self.columns])
+        found = self.in_order(rows)
+        controls = np.flatnonzero(found[self.is_control].to_numpy(bool))
+        if len(controls):
+            self.state.update((True,))
+            found = found.iloc[: controls[0]]
+        if len(found):
+            yield self.out(key, *[_plain(found[name]) for name in self.columns])
+
+
+def _plain(column: pd.Series) -> list:
+    """The values with None for what is missing."""
+    return [None if missing else value for value, missing in zip(column.tolist(), column.isna())]
 
 
 class Slots(Ordered):
-    """Pairs rows of two sides of a key, with one saved row per side."""
+    """Pairs rows of two sides of a key, with one saved row per side; a payload may be null."""
 
     def __init__(self, order: Sequence[str], is_left: str, payload: str, kind: T.DataType):
         super().__init__(order)
@@ -231,35 +300,59 @@ class Slots(Ordered):
             for side, name in ((True, "left"), (False, "right"))
         }
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        saved = {s: state.get()[0] if state.exists() else None for s, state in self.sides.items()}
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        found = self.in_order(rows)
+        # what is saved is a tuple with the payload, or nothing
+        saved = {s: tuple(state.get()) if state.exists() else None for s, state in self.sides.items()}
         before = dict(saved)
-        for row in in_order(rows, self.order):
-            side, payload = row[self.is_left], row[self.payload]
+        pairs = []
+        given = found[GIVEN].tolist()
+        payloads = [value if ok else None for value, ok in zip(found[self.payload].tolist(), given)]
+        arrivals = zip(
+            found[self.order[0]].tolist(), found[self.is_left].tolist(), payloads
+        )
+        for seq, side, payload in arrivals:
             partner = saved[not side]
             if partner is None:
-                saved[side] = payload
+                saved[side] = (payload,)
                 continue
             saved[not side] = None
-            pair = (payload, partner) if side else (partner, payload)
-            yield self.row(*key, row[self.order[0]], *pair)
+            pairs.append((seq, payload, partner[0]) if side else (seq, partner[0], payload))
         for side, state in self.sides.items():
             if saved[side] is None and before[side] is not None:
                 state.clear()
             elif saved[side] != before[side]:
-                state.update((saved[side],))
+                state.update(saved[side])
+        if pairs:
+            yield self.out(key, *zip(*pairs))
 
 
-class Held(Ordered):
-    """Holds the rows of a key in a list, with one timer per key, at the earliest moment (in
-    microseconds) that something is to be done."""
+class StopSegments(Ordered):
+    """Segments of a key closed by stop rows, emitted when the watermark passes the stop.
+
+    Columns: ``at`` (microseconds), ``is_stop``, ``speed``, ``throttle``. Rows wait until the
+    watermark has passed them, then they are folded into the open segment's count, start, top
+    speed, and the count, mean and sum of squared differences of its throttle. So a key keeps
+    the rows of one watermark delay and one summary, however long its segment lasts.
+    """
+
+    OUTPUT = "start_at long, stop_at long, length long, max_speed double, erraticness double"
+    NOTHING = (0, None, None, 0, 0.0, 0.0)
 
-    def open_held(self, schema: T.StructType) -> None:
-        self.held = self.handle.getListState("held", schema)
+    def __init__(self):
+        super().__init__(["at", "is_stop"])
+
+    def open(self) -> None:
+        self.held = self.handle.getListState(
+            "held", _schema(at=LONG, is_stop=FLAG, speed=DOUBLE, throttle=DOUBLE)
+        )
         self.due = self.value_state("due", due=LONG)
+        self.segment = self.value_state(
+            "segment", n=LONG, start=LONG, speed=DOUBLE, k=LONG, mean=DOUBLE, squares=DOUBLE
+        )
 
-    def wake_at(self, at: int) -> None:
-        """Move the timer forward if ``at`` comes before it."""
+    def _wake_at(self, at: int) -> None:
+        """One timer per key, at the earliest row that waits."""
         due = -(-at // 1000)
         if self.due.exists():
             before = self.due.get()[0]
@@ -269,86 +362,47 @@ class Held(Ordered):
         self.handle.registerTimer(due)
         self.due.update((due,))
 
-    def keep(self, rest: list[tuple], wake: int | None) -> None:
-        """After the timer has fired: what is still held, and when to look at it again."""
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        found = self.in_order(rows)
+        columns = [_plain(found[name]) for name in ("at", "is_stop", "speed", "throttle")]
+        added = list(zip(*columns))
+        if added:
+            self.held.appendList(added)
+            self._wake_at(added[0][0])
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        limit = timerValues.getCurrentWatermarkInMs() * 1000
+        rows = sorted((tuple(row) for row in self.held.get()), key=lambda row: row[:2])
+        ready = [row for row in rows if row[0] <= limit]
+        rest = rows[len(ready) :]
+        part = tuple(self.segment.get()) if self.segment.exists() else self.NOTHING
+        closed = []
+        # a stop closes the rows of its own moment too, which sort before it
+        for at, is_stop, speed, throttle in ready:
+            n, start, top, k, mean, squares = part
+            if is_stop:
+                if n:
+                    spread = sqrt(squares / k) if k else None
+                    closed.append((start, at, n, top, spread))
+                part = self.NOTHING
+                continue
+            if throttle is not None:
+                k += 1
+                step = throttle - mean
+                mean += step / k
+                squares += step * (throttle - mean)
+            top = speed if top is None else top if speed is None else max(top, speed)
+            part = (n + 1, at if start is None else start, top, k, mean, squares)
+        if part[0]:
+            self.segment.update(part)
+        else:
+            self.segment.clear()
+        self.due.clear()
         if rest:
             self.held.put(rest)
+            self._wake_at(rest[0][0])
         else:
             self.held.clear()
-        self.due.clear()
-        if wake is not None:
-            self.wake_at(wake)
-
-
-class EventSorter(Held):
-    """Holds the rows of a key until the watermark passes them, then emits them in event-time
-    order. The columns are ``at`` (microseconds), ``seq`` and the payload."""
-
-    def __init__(self, payload: str, kind: T.DataType):
-        super().__init__(["at", "seq"])
-        self.payload, self.kind = payload, kind
-
-    def open(self) -> None:
-        self.open_held(_schema(at=LONG, seq=LONG, payload=self.kind))
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        added = [(row["at"], row["seq"], row[self.payload]) for row in rows]
-        self.held.appendList(added)
-        self.wake_at(min(at for at, _, _ in added))
-        return iter(())
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        limit = timerValues.getCurrentWatermarkInMs() * 1000
-        ready, rest = [], []
-        for row in self.held.get():
-            (ready if row[0] <= limit else rest).append(tuple(row))
-        self.keep(rest, min((row[0] for row in rest), default=None))
-        for at, seq, payload in sorted(ready):
-            yield self.row(*key, at, seq, payload)
-
-
-class StopSegments(Held):
-    """Segments of a key closed by stop rows, emitted when the watermark passes the stop.
-
-    Columns: ``at`` (microseconds), ``is_stop``, ``speed``, ``throttle``.
-    """
-
-    OUTPUT = "start_at long, stop_at long, length long, max_speed double, erraticness double"
-
-    def __init__(self):
-        super().__init__(["at"])
-
-    def open(self) -> None:
-        self.open_held(_schema(at=LONG, is_stop=T.BooleanType(), speed=DOUBLE, throttle=DOUBLE))
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        added = [(row["at"], row["is_stop"], row["speed"], row["throttle"]) for row in rows]
-        self.held.appendList(added)
-        stop = min((row[0] for row in added if row[1]), default=None)
-        if stop is not None:
-            self.wake_at(stop)
-        return iter(())
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        limit = timerValues.getCurrentWatermarkInMs() * 1000
-        stops = sorted({row[0] for row in self.held.get() if row[1] and row[0] <= limit})
-        # Per stop: count, start, top speed, mean, sum of squared differences.
-        found = [[0, None, None, 0.0, 0.0] for _ in stops]
-        rest, next_stop = [], None
-        for at, is_stop, speed, throttle in (tuple(row) for row in self.held.get()):
-            if not stops or at > stops[-1]:
-                rest.append((at, is_stop, speed, throttle))
-                if is_stop:
-                    next_stop = at if next_stop is None else min(next_stop, at)
-            elif not is_stop:
-                part = found[bisect_left(stops, at)]
-                part[0] += 1
-                part[1] = at if part[1] is None else min(part[1], at)
-                part[2] = speed if part[2] is None else max(part[2], speed)
-                step = throttle - part[3]
-                part[3] += step / part[0]
-                part[4] += step * (throttle - part[3])
-        self.keep(rest, next_stop)
-        for stop, (n, start, speed, _, squares) in zip(stops, found):
-            if n:
-                yield self.row(*key, start, stop, n, speed, sqrt(squares / n))
+        if closed:
+            yield self.out(key, *zip(*closed))
