@@ -21,7 +21,7 @@ from tideline.sources.sinks import write_stream
 from tideline.streaming import batches, forms
 
 #: What a micro-batch reads at most: a bound on what stateful operators hold at once.
-LIMIT = {"maxBytesPerTrigger": "8g"}
+LIMIT = {"maxBytesPerTrigger": 8 << 30}
 #: Event time of the closing row.
 END = "2200-01-01 00:00:00"
 
@@ -33,7 +33,8 @@ def stream(spark: SparkSession, sf_dir: str, table: str, closing: str | None = N
     use_utc(spark)
     schema = load(spark, sf_dir, table).schema
     reader = spark.readStream.schema(schema)
-    rows = reader.options(**LIMIT).parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
+    # a plain path must be a folder; a pattern may also name one file
+    rows = reader.options(**LIMIT).parquet(f"{sf_dir.rstrip('/')}/{table}.parque[t]")
     return rows if closing is None else rows.unionByName(reader.parquet(closing))
 
 
