@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 
 from ..session import ship_by_value
 from .bagminhash import signatures
-from .common import if_small, join_groups, keep, landed, ranked, settled, text_print
+from .common import counted, if_small, join_groups, keep, landed, ranked, settled, text_print
 from .components import components
 from .shingles import WORDS, bags, chunks, mixed
 
@@ -218,18 +218,18 @@ def similar_links(
     items (node, items). Both are read several times: pass settled tables."""
     buckets = nodes.select("node", "size", F.explode("bands").alias("bucket"))
     lead = F.struct(F.xxhash64("node", "bucket"), F.col("node").alias("node"), F.col("size").alias("size"))
-    shared = settled(
+    shared = counted(
         buckets.groupBy("bucket")
         .agg(F.count("*").alias("n"), F.min(lead).alias("leader"))
         .where("n > 1")
     )
-    crowd = settled(join_groups(buckets, shared, "bucket", "n"))
+    crowd = counted(join_groups(buckets, shared, "bucket", "n"))
     items = items.join(if_small(crowd.select("node").distinct()), "node", "left_semi")
     near = F.least("size", "other") >= F.greatest("size", "other") * similarity
 
     def pairs(rows: DataFrame) -> DataFrame:
         ends = [F.least("node", "mate").alias("a"), F.greatest("node", "mate").alias("b")]
-        return settled(rows.where("node <> mate").where(near).select(*ends).distinct())
+        return counted(rows.where("node <> mate").where(near).select(*ends).distinct())
 
     first = pairs(
         crowd.select(
@@ -237,13 +237,13 @@ def similar_links(
         )
     )
     stars = settled(verified(first, items, similarity))
-    roots = settled(components(stars, "a", "b"))
-    rooted = settled(
+    roots = components(stars, "a", "b")
+    rooted = counted(
         crowd.drop("leader").join(roots, "node", "left")
         .withColumn("root", F.coalesce("root", "node"))
     )
     # the larger part of a bucket: its most frequent root among few kept per task
-    spread = settled(
+    spread = counted(
         rooted.groupBy("bucket", "root").count()
         .groupBy("bucket")
         .agg(
@@ -254,7 +254,7 @@ def similar_links(
         .where("roots > 1")
         .select("bucket", "members", F.col("main.root").alias("main"))
     )
-    mixed_ = settled(join_groups(rooted, spread, "bucket", "members"))
+    mixed_ = counted(join_groups(rooted, spread, "bucket", "members"))
     small = mixed_.where(F.col("members") <= LARGE)
     mates = small.select(
         "bucket",
