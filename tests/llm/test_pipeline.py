@@ -24,7 +24,7 @@ def documents(spark, folder):
     for i in range(300):
         lang = draw.choice(["en", "de", "fr"])
         found.append((5000 + i, prose(draw, lang, draw.randrange(5, 60)), lang, draw.choice("abc")))
-    found += [(6000 + i, found[20][1].replace(" ", "  "), "en", "c") for i in range(30)]
+    found += [(9000 + i, found[20][1].replace(" ", "  "), "en", "c") for i in range(30)]
     found = [(*row, None if row[1] is None else len(row[1])) for row in found]
     schema = ", ".join(DOCS.split(", ")[:4]) + ", n_chars long"
     spark.createDataFrame(found, schema).repartition(4).write.parquet(f"{folder}/documents.parquet")
