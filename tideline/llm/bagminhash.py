@@ -1,4 +1,5 @@
 """Signatures of weighted sets."""
+
 from __future__ import annotations
 
 import numpy as np
@@ -23,7 +24,6 @@ def signatures(bags: Bags, documents: int, size: int) -> np.ndarray:
     found = np.full((documents, size), np.inf)
     flat = found.reshape(-1)
     weight = bags.weights.astype(np.int64)
-    level = np.zeros(len(weight), np.int64)
     # one entry per element and interval: interval 0 has length 1, interval k has 2^(k-1)
     reach = np.ceil(np.log2(np.maximum(weight, 1))).astype(np.int64) + 1
     pick = np.repeat(np.arange(len(weight)), reach)
@@ -45,5 +45,6 @@ def signatures(bags: Bags, documents: int, size: int) -> np.ndarray:
         np.minimum.at(flat, cell[covered], time[covered])
         latest = found.max(axis=1)
         go = time < latest[row]
-        row, weight, seed, time, low, span = row[go], weight[go], seed[go], time[go], low[go], span[go]
+        row, weight, seed = row[go], weight[go], seed[go]
+        time, low, span = time[go], low[go], span[go]
     return found

@@ -19,7 +19,13 @@ AT_ONCE = 1 << 20
 #: Bits of a shingle's hash beside its document's number.
 HASH_BITS = 48
 _BASE = 0x5851F42D4C957F2D
-_FACTORS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
+_FACTORS = (
+    0x9E3779B97F4A7C15,
+    0xC2B2AE3D27D4EB4F,
+    0x165667B19E3779F9,
+    0xD6E8FEB86659FD93,
+    0xA0761D6478BD642F,
+)
 
 
 def mixed(values: np.ndarray) -> np.ndarray:
@@ -32,6 +38,7 @@ def mixed(values: np.ndarray) -> np.ndarray:
 @lru_cache(maxsize=2)
 def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse modulo 2^64."""
+
     def run(base: int) -> np.ndarray:
         steps = np.full(size, base, np.uint64)
         steps[0] = 1
@@ -77,7 +84,8 @@ def bags(raws: list[bytes], words: int = WORDS) -> Bags:
     solid = (data != 32) & ((data < 9) | (data > 13))
     edges = np.flatnonzero(np.diff(solid.astype(np.int8), prepend=0))
     starts, ends = edges[::2], edges[1::2]
-    sums = np.concatenate([[np.uint64(0)], np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[: len(data)], dtype=np.uint64)])
+    terms = (data.astype(np.uint64) + np.uint64(1)) * power[: len(data)]
+    sums = np.concatenate([[np.uint64(0)], np.cumsum(terms, dtype=np.uint64)])
     word = (sums[ends] - sums[starts]) * inverse[starts]
     word = mixed(word ^ (ends - starts).astype(np.uint64) * np.uint64(_FACTORS[0]))
     row = np.searchsorted(bounds, starts, "right") - 1
@@ -92,7 +100,8 @@ def bags(raws: list[bytes], words: int = WORDS) -> Bags:
     first = np.ones(n, bool)
     first[1:] = row[1:] != row[:-1]
     whole = (rows[words - 1 : words - 1 + n] == row) | first
-    keys = (row[whole].astype(np.uint64) << np.uint64(HASH_BITS)) | (mixed(shingle[whole]) >> np.uint64(64 - HASH_BITS))
+    hashes = mixed(shingle[whole]) >> np.uint64(64 - HASH_BITS)
+    keys = (row[whole].astype(np.uint64) << np.uint64(HASH_BITS)) | hashes
     keys.sort()
     new = np.ones(len(keys), bool)
     new[1:] = keys[1:] != keys[:-1]
