@@ -283,7 +283,7 @@ def classes(
     kept, and print (a hash of the text)."""
     prints = fingerprints(docs, doc_id, text, words, bands, band_rows)
     own = prints.select("doc_id", "print", "row", "digest")
-    nodes = settled(
+    nodes = counted(
         prints.where("digest is not null")
         .groupBy("digest")
         .agg(
@@ -296,19 +296,19 @@ def classes(
     items = prints.select(F.col("row").alias("node"), "items")
     links = similar_links(nodes, items, similarity)
     roots = components(links, "a", "b")
-    named = settled(
+    named = counted(
         nodes.select("digest", "node", "copies")
         .join(roots, "node", "left")
         .select("digest", "copies", F.coalesce("root", "node").alias("root"))
     )
     some = join_groups(own.where("digest is not null"), named, "digest", "copies")
-    members = settled(
+    members = counted(
         some.select("doc_id", "print", "row", "root").unionByName(
             own.where("digest is null").select("doc_id", "print", "row", F.col("row").alias("root"))
         )
     )
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")
-    groups = settled(
+    groups = counted(
         members.groupBy("root").agg(F.count("*").alias("class_size"), F.min(order).alias("_first"))
     )
     return join_groups(members, groups, "root", "class_size").select(
