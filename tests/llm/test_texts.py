@@ -198,6 +198,18 @@ def test_licences(texts, docs, nothing):
     assert licences.scan(nothing).count() == 0
 
 
+def test_wrapped_and_unwrapped_licences_in_one_text(texts):
+    """Whether a sentence is wrapped is seen where it stands, not once per text."""
+    line = "Licensed under the MIT License"
+    mpl = " * This work is licensed under the GNU General\n * Public License, version 2.\n"
+    pairs = [(1, f"{line}\n{GPL3}"), (2, f"{GPL3}\n{mpl}\n{line}\nand prose"), (3, f"{line}{mpl}")]
+    found = {row.doc_id: row for row in licences.scan(texts(pairs)).collect()}
+    assert found[1].licences == "GPL-3.0-or-later,MIT"
+    assert found[1].identifiers == "mit-grant free-software gpl3-redistribute"
+    assert found[2].licences == "GPL-3.0-or-later,GPL-2.0,MIT"
+    assert found[3].licences == "" and found[3].n_unknown > 0
+
+
 PATTERNS = [
     ("assign", r"""((?:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
     ("access", r"AKIA[A-Z0-9]+", 0, 20),

@@ -1,9 +1,9 @@
 """Licences by sentence rules (DataFrame functions only).
 
-A text is cut into sentences after closing marks and at line ends or, where that finds more known
-sentences, after closing marks alone, as for a notice that is wrapped over several lines. A
-sentence is normalised to lower-case letters and digits with single blanks and mapped to the
-identifier of a known licence sentence. A sentence that speaks of licences but is not known gets ``unknown``. The identifiers of
+Sentences end at closing marks and at line ends; a known sentence may be wrapped over lines wherever
+it stands, and the longest that begins at a place counts. A text is normalised to lower-case letters
+and digits, and a known licence sentence is mapped to its identifier. A line or sentence outside all
+of these that speaks of licences gets ``unknown``. The identifiers of
 a text in order form a sequence, and ordered rules are matched against it: each rule names the
 identifiers that must follow each other and the licence they grant. What a rule has matched is
 taken out before the next rule is tried, so longer grants come before the sentences they contain.
@@ -28,6 +28,8 @@ SPEAKS = r"\b(licen[cs]ed?|copyright|warranty|spdx)\b"
 UNKNOWN = "unknown"
 #: Line ends, with what a comment puts before and after them.
 LINES = r"[\x20\x09*#/]*[\x0A\x0D]+[\x20\x09*#/]*"
+#: Ends of sentences, also with what a comment puts at the end of the line behind them.
+CLOSES = r"[.;:!?](?:[\x20\x09*#/]*\n|[\x20\x09-\x0D])"
 
 # fixed values: normalised sentences of well-known licences and their identifiers
 SENTENCES = {
@@ -117,26 +119,38 @@ RULES = (
 )
 
 
-def _normal(sentence: Column) -> Column:
-    lower = F.translate(sentence, UPPER, UPPER.lower())
-    return F.trim(F.regexp_replace(lower, "[^a-z0-9]+", " "))
+def _worded(sentence: str) -> str:
+    """A pattern of a known sentence: its words may lie on several lines."""
+    return sentence.replace(" ", r"[ \n]")
+
+
+def _pattern() -> str:
+    """The longest known sentence, or else a piece that speaks of licences, between two ends."""
+    known = "|".join(_worded(x) for x in sorted(SENTENCES, key=len, reverse=True))
+    return rf"(?<![ a-z0-9])(?:{known}|[a-z0-9 ]*{SPEAKS}[a-z0-9 ]*)(?![ a-z0-9])"
+
+
+def _words(text: Column) -> Column:
+    """The words of a text, with a blank, a line end or, where a sentence closes, a dot between two."""
+    found = F.translate(text, UPPER + "\x00", UPPER.lower() + " ")
+    # two signs of their own, so that what follows can tell them from those of the text
+    found = F.regexp_replace(found, CLOSES, "\x00")
+    found = F.regexp_replace(found, "[^a-z0-9\n\x00]+", " ")
+    found = F.regexp_replace(found, "[ \n]*\x00[ \n\x00]*", ".")
+    return F.trim(F.regexp_replace(found, " *\n[ \n]*", "\n"))
 
 
 def identifiers(text: Column) -> Column:
     """The identifiers of a text's licence sentences, in order."""
     known = F.create_map(*[F.lit(x) for item in SENTENCES.items() for x in item])
-    sentences = F.split(F.regexp_replace(text, CLOSING, "$1\n"), "\n")
-    # only sentences with such words can be known or reported: all others are passed over early
-    some = F.filter(
-        F.transform(sentences, _normal), lambda x: F.regexp_like(x, F.lit(HINT))
-    )
+    found = F.regexp_extract_all(_words(text), F.lit(_pattern()), F.lit(0))
     named = F.transform(
-        some,
-        lambda x: F.coalesce(
-            F.element_at(known, x), F.when(F.regexp_like(x, F.lit(SPEAKS)), F.lit(UNKNOWN))
-        ),
+        found, lambda x: F.coalesce(F.element_at(known, F.translate(x, "\n", " ")), F.lit(UNKNOWN))
     )
-    return F.filter(named, lambda x: x.isNotNull())
+    # only texts with such words can hold what is known or reported: all others are passed over early
+    hint = "(?i)" + HINT.replace(" ", "[^A-Za-z0-9]+")
+    none = F.array().cast("array<string>")
+    return F.when(F.regexp_like(text, F.lit(hint)), named).otherwise(none)
 
 
 #: Every known sentence has one of these stems, as a test checks.
@@ -164,18 +178,7 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     """One row per document: doc_id, licences (comma-joined, in the order of the rules),
     n_sentences (of licences, known or not), n_unknown, identifiers (in order)."""
     whole = F.coalesce(F.col(text), F.lit(""))
-    joined = F.regexp_replace(whole, LINES, " ")
-
-    def known(ids: str) -> Column:
-        return F.size(F.filter(ids, lambda x: x != UNKNOWN))
-
-    both = docs.select(
-        F.col(doc_id).alias("doc_id"),
-        identifiers(whole).alias("by_line"),
-        identifiers(joined).alias("by_mark"),
-    )
-    better = known("by_mark") > known("by_line")
-    rows = both.select("doc_id", F.when(better, F.col("by_mark")).otherwise(F.col("by_line")).alias("ids"))
+    rows = docs.select(F.col(doc_id).alias("doc_id"), identifiers(whole).alias("ids"))
     # two blanks between identifiers, so that neighbours do not share one
     sequence = F.concat(F.lit(" "), F.array_join("ids", " "), F.lit(" "))
     names = F.when(F.size("ids") > 0, licences(sequence)).otherwise(F.array().cast("array<string>"))
