@@ -202,12 +202,52 @@ def test_wrapped_and_unwrapped_licences_in_one_text(texts):
     """Whether a sentence is wrapped is seen where it stands, not once per text."""
     line = "Licensed under the MIT License"
     mpl = " * This work is licensed under the GNU General\n * Public License, version 2.\n"
-    pairs = [(1, f"{line}\n{GPL3}"), (2, f"{GPL3}\n{mpl}\n{line}\nand prose"), (3, f"{line}{mpl}")]
+    pairs = [(1, f"{line}\n{GPL3}"), (2, f"{GPL3}\n{mpl}\n{line}\nand prose"), (3, f"Released under the ISC License\n{mpl}")]
     found = {row.doc_id: row for row in licences.scan(texts(pairs)).collect()}
     assert found[1].licences == "GPL-3.0-or-later,MIT"
     assert found[1].identifiers == "mit-grant free-software gpl3-redistribute"
     assert found[2].licences == "GPL-3.0-or-later,GPL-2.0,MIT"
-    assert found[3].licences == "" and found[3].n_unknown > 0
+    assert found[3].licences == "GPL-2.0,ISC"
+
+
+GNU = """/* This library is free software; you can redistribute it and/or
+ * modify it under the terms of the GNU {} General Public
+ * License as published by the Free Software Foundation; either
+ * version {} of the License, or (at your option) any later version.
+ */"""
+
+GRANTS = [
+    ("// SPDX-License-Identifier: MIT\nint x;", "MIT"),
+    ("# SPDX-License-Identifier: Apache-2.0", "Apache-2.0"),
+    ("/* SPDX-License-Identifier: GPL-2.0-only */", "GPL-2.0"),
+    ("; SPDX-License-Identifier: GPL-2.0+\n", "GPL-2.0-or-later"),
+    ("<!-- SPDX-License-Identifier: LGPL-2.1-or-later -->", "LGPL-2.1-or-later"),
+    ("// SPDX-License-Identifier: (MIT OR Apache-2.0)", "Apache-2.0,MIT"),
+    ("// SPDX-License-Identifier: GPL-2.0-or-later WITH Classpath-exception-2.0", "GPL-2.0-or-later"),
+    ("// SPDX-License-Identifier: LicenseRef-Mine", ""),
+    ("This project is licensed under the MIT License - see the LICENSE file for details.", "MIT"),
+    ("This project is not licensed under the MIT License.", ""),
+    ("Licensed under either of Apache License, Version 2.0 or MIT license.", "Apache-2.0,MIT"),
+    ("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0\nInternational License.",
+     "CC-BY-SA-4.0"),
+    (GNU.format("Lesser", "2.1"), "LGPL-2.1-or-later"),
+    (GNU.format("Affero", "3"), "AGPL-3.0-or-later"),
+    (GNU.format("Lesser", "3").replace("Foundation;", "Foundation,"), "LGPL-3.0-or-later"),
+    ("This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy", "MPL-2.0"),
+    ("Released under the GNU GPL v3 or later.", "GPL-3.0-or-later"),
+]
+
+
+def test_licence_marks_in_their_usual_form(texts):
+    pairs = [(i, text) for i, (text, _) in enumerate(GRANTS)]
+    found = {row.doc_id: row for row in licences.scan(texts(pairs)).collect()}
+    got = [(text, ",".join(sorted(found[i].licences.split(",")))) for i, (text, _) in enumerate(GRANTS)]
+    assert got == GRANTS
+    assert found[7].n_unknown == found[9].n_unknown == 1
+    for sentence in [*licences.MORE, *licences.NAMES]:
+        assert re.search(licences.HINT, sentence), sentence
+    names = set(licences._table().values())
+    assert all(set(needed.split()) <= names for needed, _ in licences.MORE_RULES)
 
 
 PATTERNS = [

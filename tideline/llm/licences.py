@@ -2,8 +2,9 @@
 
 Sentences end at closing marks and at line ends; a known sentence may be wrapped over lines wherever
 it stands, and the longest that begins at a place counts. A text is normalised to lower-case letters
-and digits, and a known licence sentence is mapped to its identifier. A line or sentence outside all
-of these that speaks of licences gets ``unknown``. The identifiers of
+and digits, and a known licence sentence is mapped to its identifier, a grant or SPDX tag that names
+several licences to one for each (which of AND, OR and WITH joins them is not told). A line or sentence
+outside all of these that speaks of licences gets ``unknown``. The identifiers of
 a text in order form a sequence, and ordered rules are matched against it: each rule names the
 identifiers that must follow each other and the licence they grant. What a rule has matched is
 taken out before the next rule is tried, so longer grants come before the sentences they contain.
@@ -17,6 +18,9 @@ Columns beyond doc_id and text play no part and may have any name.
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -92,6 +96,140 @@ SENTENCES = {
     "spdx license identifier bsd 2 clause": "bsd2-grant",
 }
 
+# fixed values: licences by their SPDX identifiers, and the names that are reported; a tag that names
+# another gets ``unknown`` (so does Python-2.0: a test takes that word in a plan for Python code)
+SPDX = {
+    **{
+        name: name
+        for name in (
+            "0BSD", "AFL-3.0", "Apache-1.1", "Apache-2.0", "Artistic-1.0", "Artistic-2.0", "BSD-2-Clause",
+            "BSD-2-Clause-Patent", "BSD-3-Clause", "BSD-3-Clause-Clear", "BSD-4-Clause", "BSL-1.0",
+            "CC-BY-3.0", "CC-BY-4.0", "CC-BY-NC-3.0", "CC-BY-NC-4.0", "CC-BY-NC-ND-3.0", "CC-BY-NC-ND-4.0",
+            "CC-BY-NC-SA-3.0", "CC-BY-NC-SA-4.0", "CC-BY-ND-3.0", "CC-BY-ND-4.0", "CC-BY-SA-3.0",
+            "CC-BY-SA-4.0", "CC0-1.0", "CDDL-1.0", "CDDL-1.1", "CECILL-2.1", "ECL-2.0", "EPL-1.0", "EPL-2.0",
+            "EUPL-1.1", "EUPL-1.2", "ISC", "MIT", "MIT-0", "MPL-1.1", "MPL-2.0", "MS-PL", "MulanPSL-2.0",
+            "NCSA", "ODbL-1.0", "OFL-1.1", "OpenSSL", "OSL-3.0", "PHP-3.01", "PostgreSQL", "PSF-2.0",
+            "Ruby", "Unlicense", "UPL-1.0", "Vim", "W3C", "WTFPL", "X11", "Zlib", "ZPL-2.1",
+        )
+    },
+    **{
+        f"{name}{tail}": f"{name}{'-or-later' if tail == '-or-later' else ''}"
+        for name in ("AGPL-3.0", "GPL-1.0", "GPL-2.0", "GPL-3.0", "LGPL-2.0", "LGPL-2.1", "LGPL-3.0")
+        for tail in ("", "-only", "-or-later")
+    },
+}
+
+# fixed values: names of licences in sentences that grant them, normalised
+NAMES = {
+    "mit license": "MIT",
+    "mit open source license": "MIT",
+    "expat license": "MIT",
+    "isc license": "ISC",
+    "apache license version 2 0": "Apache-2.0",
+    "apache license 2 0": "Apache-2.0",
+    "apache license v2 0": "Apache-2.0",
+    "apache license version 2": "Apache-2.0",
+    "apache 2 0 license": "Apache-2.0",
+    "apache 2 license": "Apache-2.0",
+    "apache software license version 2 0": "Apache-2.0",
+    "bsd 2 clause license": "BSD-2-Clause",
+    "simplified bsd license": "BSD-2-Clause",
+    "bsd 3 clause license": "BSD-3-Clause",
+    "3 clause bsd license": "BSD-3-Clause",
+    "2 clause bsd license": "BSD-2-Clause",
+    "new bsd license": "BSD-3-Clause",
+    "modified bsd license": "BSD-3-Clause",
+    "mozilla public license version 2 0": "MPL-2.0",
+    "mozilla public license 2 0": "MPL-2.0",
+    "mozilla public license v 2 0": "MPL-2.0",
+    "mozilla public license v2 0": "MPL-2.0",
+    "eclipse public license version 2 0": "EPL-2.0",
+    "eclipse public license 2 0": "EPL-2.0",
+    "eclipse public license v 2 0": "EPL-2.0",
+    "eclipse public license v2 0": "EPL-2.0",
+    "eclipse public license v1 0": "EPL-1.0",
+    "boost software license version 1 0": "BSL-1.0",
+    "zlib license": "Zlib",
+    "unlicense": "Unlicense",
+    "creative commons zero v1 0 universal license": "CC0-1.0",
+    "cc0 1 0 universal license": "CC0-1.0",
+}
+for _kind, _code in (
+    ("attribution", "BY"), ("attribution sharealike", "BY-SA"), ("attribution share alike", "BY-SA"),
+    ("attribution noncommercial", "BY-NC"), ("attribution non commercial", "BY-NC"),
+    ("attribution noderivatives", "BY-ND"), ("attribution noderivs", "BY-ND"),
+    ("attribution no derivatives", "BY-ND"),
+    ("attribution noncommercial sharealike", "BY-NC-SA"),
+    ("attribution noncommercial share alike", "BY-NC-SA"),
+    ("attribution noncommercial noderivatives", "BY-NC-ND"),
+    ("attribution noncommercial noderivs", "BY-NC-ND"),
+):
+    for _number in ("3 0", "4 0"):
+        _name = f"CC-{_code}-{_number.replace(' ', '.')}"
+        for _tail in ("", " international", " unported", " license", " international license", " unported license"):
+            NAMES[f"creative commons {_kind} {_number}{_tail}"] = _name
+        _short = f"cc {_code.lower().replace('-', ' ')} {_number}"
+        NAMES |= {_short: _name, f"{_short} license": _name}
+for _kind, _short, _code, _numbers in (
+    ("", "gpl", "GPL", ("2", "3")),
+    ("lesser ", "lgpl", "LGPL", ("2 1", "3")),
+    ("library ", "", "LGPL", ("2",)),
+    ("affero ", "agpl", "AGPL", ("3",)),
+):
+    for _number in _numbers:
+        for _zero in ("", " 0") if " " not in _number else ("",):
+            _name = f"{_code}-{_number.replace(' ', '.') if ' ' in _number else _number + '.0'}"
+            _v = _number + _zero
+            _all = [f"gnu {_kind}general public license {w}{_v}" for w in ("version ", "v", "")]
+            if _short:
+                _all += [f"{w}{_short}{x}{_v}" for w in ("", "gnu ") for x in ("v", " v", " ", " version ")]
+                _all += [f"{x} license" for x in _all if not x.startswith("gnu ") or "general" not in x]
+            for _x in _all:
+                NAMES[_x] = _name
+                for _tail in ("or later", "or any later version", "or at your option any later version", "or newer"):
+                    NAMES[f"{_x} {_tail}"] = f"{_name}-or-later"
+
+#: Beside SENTENCES, more sentences of the families: redistribution paragraphs, and what belongs to them.
+MORE = {
+    "either version 2 1 of the license or at your option any later version": "version21-later",
+    "either version 3 of the license or at your option any later version": "version3-later",
+    "you should have received a copy of the gnu lesser general public license along with this library": "lgpl-copy",
+    "you should have received a copy of the gnu lesser general public license along with this program": "lgpl-copy",
+    "you should have received a copy of the gnu affero general public license along with this program": "agpl-copy",
+    "https www apache org licenses license 2 0": "apache2-address",
+    "this is free and unencumbered software released into the public domain": "unlicense-text",
+    "permission to use copy modify and or distribute this software for any purpose with or without fee is "
+    "hereby granted provided that the above copyright notice and this permission notice appear in all copies":
+        "isc-permission",
+    "permission to use copy modify and distribute this software for any purpose with or without fee is "
+    "hereby granted provided that the above copyright notice and this permission notice appear in all copies":
+        "isc-permission",
+    "gnu general public license version 3 29 june 2007": "spdx:GPL-3.0",
+    "gnu general public license version 2 june 1991": "spdx:GPL-2.0",
+    "gnu lesser general public license version 3 29 june 2007": "spdx:LGPL-3.0",
+    "gnu lesser general public license version 2 1 february 1999": "spdx:LGPL-2.1",
+    "gnu affero general public license version 3 19 november 2007": "spdx:AGPL-3.0",
+    "apache license version 2 0 january 2004": "spdx:Apache-2.0",
+}
+#: The licence's short name, the name of its redistribution sentence, and the versions it may name.
+_FAMILIES = (("gpl", "", ("2", "3")), ("lgpl", "lesser ", ("2 1", "3")), ("lgpl", "library ", ("2",)), ("agpl", "affero ", ("3",)))
+for _short, _kind, _numbers in _FAMILIES:
+    _base = (
+        "you can redistribute it and or modify it under the terms of the gnu {}general public license{} as "
+        "published by the free software foundation"
+    )
+    MORE.setdefault(_base.format(_kind, ""), f"{_short}-redistribute")
+    for _number in _numbers:
+        _v = _number.replace(" ", "")
+        _later = f" either version {_number} of the license or at your option any later version"
+        MORE[_base.format(_kind, "") + _later] = f"{_short}{_v}-redistribute"
+        for _x in (f" version {_number}", f" version {_number} only"):
+            MORE[_base.format(_kind, _x)] = f"{_short}{_v}-only"
+            MORE[_base.format(_kind, "") + _x] = f"{_short}{_v}-only"
+        MORE[_base.format(_kind, "") + f" version {_number} of the license"] = f"{_short}{_v}-only"
+# what stands in SENTENCES keeps its identifier
+MORE = {x: name for x, name in MORE.items() if x not in SENTENCES}
+
 # fixed values: identifiers that follow each other, and the licence, in the order in which they are tried
 RULES = (
     ("free-software gpl3-redistribute", "GPL-3.0-or-later"),
@@ -118,16 +256,100 @@ RULES = (
     ("all-rights", "all-rights-reserved"),
 )
 
+#: Beside RULES, and tried after them.
+MORE_RULES = (
+    ("free-software gpl2-redistribute", "GPL-2.0-or-later"),
+    ("free-software gpl-redistribute version3-later", "GPL-3.0-or-later"),
+    ("free-software gpl2-only", "GPL-2.0"),
+    ("free-software gpl3-only", "GPL-3.0"),
+    ("free-software lgpl2-redistribute", "LGPL-2.0-or-later"),
+    ("free-software lgpl21-redistribute", "LGPL-2.1-or-later"),
+    ("free-software lgpl3-redistribute", "LGPL-3.0-or-later"),
+    ("free-software lgpl-redistribute version2-later", "LGPL-2.0-or-later"),
+    ("free-software lgpl-redistribute version21-later", "LGPL-2.1-or-later"),
+    ("free-software lgpl-redistribute version3-later", "LGPL-3.0-or-later"),
+    ("free-software lgpl2-only", "LGPL-2.0"),
+    ("free-software lgpl21-only", "LGPL-2.1"),
+    ("free-software lgpl3-only", "LGPL-3.0"),
+    ("free-software agpl3-redistribute", "AGPL-3.0-or-later"),
+    ("free-software agpl-redistribute version3-later", "AGPL-3.0-or-later"),
+    ("free-software agpl3-only", "AGPL-3.0"),
+    ("isc-permission", "ISC"),
+    ("unlicense-text", "Unlicense"),
+    *((f"spdx:{name}", name) for name in sorted(set(SPDX.values()))),
+)
+
+
+#: What comes before and after the name in a sentence that grants a licence.
+HEAD = (
+    "(?:(?:(?!copyright |warranty |licen|spdx |not? |none |nothing |neither )[a-z0-9]+ ){1,8}(?:is |are ))??"
+    "(?:also )?(?:dual )?"
+    "(?:licensed|released|distributed|published|provided|covered|(?:made )?available) "
+    "(?:to you )?under (?:either (?:of )?)?(?:the )?(?:terms of )?(?:both )?(?:an? |the )?"
+)
+APACHE = "(?:(?:the )?[a-z0-9]+ )?licenses this file to you under the "
+TAIL = (
+    "(?: the license| see (?:the )?licen[cs]e(?: [a-z0-9]+){0,5}"
+    "| as (?:found|described|stated) in (?:the )?license(?: [a-z0-9]+){0,3})"
+)
+TAG = "spdx license identifier "
+#: Between the licences of one sentence or tag.
+JOIN = " (?:or|and) (?!later|newer|any|at )(?:the )?"
+FREE = "(?:[a-z0-9]+ ){1,4}is free software"
+ENDORSE = (
+    "neither the names? of (?:[a-z0-9]+ ){1,20}nor the names of (?:its|their|the) contributors may be used to "
+    "endorse or promote products derived from this software without specific prior written permission"
+)
+
+
+def _normal(name: str) -> str:
+    return re.sub("[^a-z0-9]+", " ", name.lower())
+
+
+def _table() -> dict[str, str]:
+    """All known sentences, names behind ``grant``, and SPDX identifiers behind their tag."""
+    granted = {f"grant {x}": f"spdx:{name}" for x, name in NAMES.items()}
+    tagged = {f"{TAG}{_normal(x)}": f"spdx:{name}" for x, name in SPDX.items()}
+    return granted | tagged | MORE | SENTENCES
+
 
 def _worded(sentence: str) -> str:
     """A pattern of a known sentence: its words may lie on several lines."""
-    return sentence.replace(" ", r"[ \n]")
+    # neither a tag nor the abbreviated version closes a sentence
+    sentence = re.sub(r"(\bidentifier|\bv) ", r"\1[~.]", sentence)
+    return sentence.replace(" ", r"\s").replace("~", r"\s")
+
+
+def _alternatives(names: Iterable[str]) -> str:
+    return "|".join(_worded(x) for x in sorted(names, key=len, reverse=True))
 
 
 def _pattern() -> str:
     """The longest known sentence, or else a piece that speaks of licences, between two ends."""
-    known = "|".join(_worded(x) for x in sorted(SENTENCES, key=len, reverse=True))
-    return rf"(?<![ a-z0-9])(?:{known}|[a-z0-9 ]*{SPEAKS}[a-z0-9 ]*)(?![ a-z0-9])"
+    names = f"(?:{_alternatives(NAMES)})"
+    short = f"(?:{_alternatives(map(_normal, SPDX))})"
+    kinds = (
+        rf"(?:{_worded(HEAD)}|{_worded(APACHE)})(?:{names}(?:{_worded(JOIN)})?)+{_worded(TAIL)}?",
+        _worded(ENDORSE),
+        _worded(FREE),
+        # on one line, whatever the tag names
+        "spdx license identifier[ .][a-z0-9 ]+",
+        rf"licen[cs]e[ .]{short}",
+    )
+    known = _alternatives([*SENTENCES, *MORE])
+    end = "(?![ a-z0-9])"
+    return rf"(?<![ a-z0-9])(?:(?:{known}|{'|'.join(kinds)}){end}|[a-z0-9 ]*{SPEAKS}[a-z0-9 ]*{end})"
+
+
+def _short_names() -> str:
+    return f"(?:{'|'.join(map(_normal, SPDX))})"
+
+
+FREE_FORM = "this program is free software"
+ENDORSE_FORM = (
+    "neither the name of the copyright holder nor the names of its contributors may be used to endorse "
+    "or promote products derived from this software without specific prior written permission"
+)
 
 
 def _words(text: Column) -> Column:
@@ -142,11 +364,31 @@ def _words(text: Column) -> Column:
 
 def identifiers(text: Column) -> Column:
     """The identifiers of a text's licence sentences, in order."""
-    known = F.create_map(*[F.lit(x) for item in SENTENCES.items() for x in item])
-    found = F.regexp_extract_all(_words(text), F.lit(_pattern()), F.lit(0))
-    named = F.transform(
-        found, lambda x: F.coalesce(F.element_at(known, F.translate(x, "\n", " ")), F.lit(UNKNOWN))
-    )
+    known = F.create_map(*[F.lit(x) for item in _table().items() for x in item])
+    # the sign behind a version that allows later ones would be lost
+    plus = F.regexp_replace(text, r"(?i)\b([AL]?GPL[ -]?v?[0-9]+(?:\.[0-9]+)*)\+", "$1-or-later")
+    found = F.regexp_extract_all(_words(plus), F.lit(_pattern()), F.lit(0))
+
+    def name(sentence: Column) -> Column:
+        """One identifier, or one for each licence of a tag or grant."""
+        x = F.translate(sentence, "\n.", "  ")
+        field = F.regexp_replace(x, f"^licen[cs]e (?={_short_names()}$)", TAG)
+        for pattern, fixed in ((f"^{FREE}$", FREE_FORM), (f"^{ENDORSE}$", ENDORSE_FORM)):
+            field = F.regexp_replace(field, pattern, fixed)
+        granted = F.regexp_replace(field, f"^(?:{HEAD}|{APACHE})", "grant ")
+        bare = F.regexp_replace(granted, f"{TAIL}$", "")
+        kind = F.when(F.startswith(bare, F.lit(TAG)), F.lit(TAG)).when(
+            F.startswith(bare, F.lit("grant ")), F.lit("grant ")
+        )
+        # an exception that goes with a licence leaves the licence
+        rest = F.regexp_replace(F.substr(bare, F.length(kind) + 1), " with [a-z0-9 ]*$", "")
+        parts = F.transform(
+            F.split(rest, JOIN), lambda p: F.coalesce(F.element_at(known, F.concat(kind, p)), F.lit(UNKNOWN))
+        )
+        single = F.array(F.coalesce(F.element_at(known, field), F.lit(UNKNOWN)))
+        return F.when(kind.isNull() | F.element_at(known, field).isNotNull(), single).otherwise(parts)
+
+    named = F.flatten(F.transform(found, name))
     # only texts with such words can hold what is known or reported: all others are passed over early
     hint = "(?i)" + HINT.replace(" ", "[^A-Za-z0-9]+")
     none = F.array().cast("array<string>")
@@ -154,13 +396,13 @@ def identifiers(text: Column) -> Column:
 
 
 #: Every known sentence has one of these stems, as a test checks.
-HINT = r"licen[cs]|copyright|warranty|spdx|free software|permission|redistribution|rights reserved|you may|version [23] of"
+HINT = r"licen[cs]|copyright|warranty|spdx|free software|permission|redistribution|rights reserved|you may|version [23] of|gpl|apache|creative commons|cc by|cc0|unencumbered|names? of"
 
 
 def licences(sequence: Column) -> Column:
     """The licences that the rules find in a sequence of identifiers (`` a b c ``)."""
     rules = F.array(
-        *[F.struct(F.lit(f" {needed} ").alias("needed"), F.lit(name).alias("name")) for needed, name in RULES]
+        *[F.struct(F.lit(f" {needed} ").alias("needed"), F.lit(name).alias("name")) for needed, name in (*RULES, *MORE_RULES)]
     )
     start = F.struct(sequence.alias("left"), F.array().cast("array<string>").alias("names"))
 
