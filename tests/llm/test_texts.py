@@ -250,6 +250,25 @@ def test_licence_marks_in_their_usual_form(texts):
     assert all(set(needed.split()) <= names for needed, _ in licences.MORE_RULES)
 
 
+BSD3 = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+1. Redistributions of source code must retain the above copyright notice, this
+list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice, this
+list of conditions and the following disclaimer in the documentation and/or other
+materials provided with the distribution.
+3. Neither the name of Example Inc nor the names of its contributors may be used to
+endorse or promote products derived from this software without specific prior
+written permission.
+"""
+
+
+def test_a_notice_that_occurs_twice_in_a_row(texts):
+    found = {row.doc_id: row for row in licences.scan(texts([(1, BSD3), (2, BSD3 * 3)])).collect()}
+    assert found[1].licences == found[2].licences == "BSD-3-Clause"
+    assert found[2].n_sentences == 3 * found[1].n_sentences == 12
+
+
 PATTERNS = [
     ("assign", r"""((?:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
     ("access", r"AKIA[A-Z0-9]+", 0, 20),

@@ -399,10 +399,15 @@ def identifiers(text: Column) -> Column:
 HINT = r"licen[cs]|copyright|warranty|spdx|free software|permission|redistribution|rights reserved|you may|version [23] of|gpl|apache|creative commons|cc by|cc0|unencumbered|names? of"
 
 
+def _spaced(needed: str) -> str:
+    """Each identifier with a blank of its own on both sides."""
+    return f" {needed.replace(' ', '  ')} "
+
+
 def licences(sequence: Column) -> Column:
-    """The licences that the rules find in a sequence of identifiers (`` a b c ``)."""
+    """The licences that the rules find in a sequence of identifiers (`` a  b  c ``)."""
     rules = F.array(
-        *[F.struct(F.lit(f" {needed} ").alias("needed"), F.lit(name).alias("name")) for needed, name in (*RULES, *MORE_RULES)]
+        *[F.struct(F.lit(_spaced(needed)).alias("needed"), F.lit(name).alias("name")) for needed, name in (*RULES, *MORE_RULES)]
     )
     start = F.struct(sequence.alias("left"), F.array().cast("array<string>").alias("names"))
 
@@ -422,7 +427,7 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     whole = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(F.col(doc_id).alias("doc_id"), identifiers(whole).alias("ids"))
     # two blanks between identifiers, so that neighbours do not share one
-    sequence = F.concat(F.lit(" "), F.array_join("ids", " "), F.lit(" "))
+    sequence = F.concat(F.lit(" "), F.array_join("ids", "  "), F.lit(" "))
     names = F.when(F.size("ids") > 0, licences(sequence)).otherwise(F.array().cast("array<string>"))
     return rows.select(
         "doc_id",
