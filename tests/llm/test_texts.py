@@ -1,11 +1,13 @@
 """Language, toxicity, licences and secrets."""
 
+import base64
 import collections
 import hashlib
 import math
 import random
 import re
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -21,6 +23,9 @@ SYLLABLES = {
 }
 
 
+TABLES = Path("/root/testdata/sf0.01")
+
+
 def prose(draw, lang, words):
     return " ".join(
         "".join(draw.choices(SYLLABLES[lang], k=draw.randrange(1, 4))) for _ in range(words)
@@ -82,6 +87,44 @@ def test_language_rejects_what_is_far(tongues):
     assert names[2:] == ["und"] * 3 and scores[2:].tolist() == [0, 0, 0]
 
 
+FOREIGN = [
+    "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu "
+    "järki ja omatunto, ja heidän on toimittava toisiaan kohtaan veljeyden hengessä.",
+    "Bütün insanlar hür, haysiyet ve haklar bakımından eşit doğarlar. Akıl ve vicdana sahiptirler ve "
+    "birbirlerine karşı kardeşlik zihniyeti ile hareket etmelidirler.",
+    "Minden emberi lény szabadon születik és egyenlő méltósága és joga van. Az emberek, ésszel és "
+    "lelkiismerettel bírván, egymással szemben testvéri szellemben kell hogy viseltessenek.",
+]
+
+
+def far_texts(draw):
+    binary = [base64.b64encode(draw.randbytes(n)).decode() for n in (300, 1500, 6000)]
+    return [*FOREIGN, *(text * 4 for text in FOREIGN), *binary]
+
+
+def test_language_rejects_foreign_latin_script_and_base64(tongues):
+    """Texts of any length in a known language stay."""
+    draw = random.Random(5)
+    model = language.fit(tongues)
+    assert model.predict(far_texts(draw))[2].all()
+    lengths = (1, 2, 3, 5, 10, 40, 200, 2000)
+    clean = [prose(draw, lang, n) for lang in SYLLABLES for n in lengths for _ in range(20)]
+    assert model.predict(clean)[2].mean() < 0.01
+
+
+@pytest.mark.skipif(not TABLES.exists(), reason="no test tables here")
+def test_language_floors_on_the_test_tables(spark):
+    """Odd training texts, which these tables have, do not let others through."""
+    docs = spark.read.parquet(str(TABLES / "documents.parquet"))
+    held = language.is_held_out(F.col("doc_id"), 3, 1)
+    model = language.fit(docs.where(~held))
+    _, scores, rejected = model.predict(far_texts(random.Random(5)))
+    assert rejected.all(), scores
+    clean = [row.text for row in docs.where(held & F.col("lang").isNotNull()).collect()]
+    clean = [text for text in clean if any(sign.isalpha() for sign in text or "")]
+    assert len(clean) > 250 and model.predict(clean)[2].mean() < 0.02
+
+
 def test_counts_by_hand():
     texts = ["Ab c", "", None, "a1", "ÉTÉ"]
     raw = language.counts(texts)

@@ -5,7 +5,11 @@ boundary), hashed into a fixed number of buckets, damped by a logarithm, weighte
 document frequency and scaled to length one. Document frequencies come from all training
 documents. Each language's training vectors are clustered (spherical k-means) into a few
 centroids; a text gets the language of the centroid with the greatest cosine. A text that is
-farther from every centroid than any of the training sample, with a margin, is rejected.
+farther from it than nearly all training texts of that language and of its length, with a margin, is
+rejected: centroids of one half of the sample are compared with beginnings of the other half's texts,
+cut at several lengths, and a low quantile of the cosines at each length is the language's floor there.
+A language whose sample has fewer than ``LEAST`` texts of a length takes its floor at shorter ones, and
+one without any rejects what has no n-gram in common with it.
 
 Centroids are fitted on a bounded sample, ``SAMPLE`` documents per language or few more, chosen by
 a hash of doc_id. Training reads text and language alone, and no held-out document.
@@ -43,8 +47,12 @@ CENTROIDS = 4
 SAMPLE = 1500
 #: Rounds of k-means.
 ROUNDS = 8
-#: A text is rejected below this share of the lowest cosine in the training sample.
-MARGIN = 0.5
+#: A text is rejected below this share of a low quantile of its language's cosines at its length.
+MARGIN = 0.8
+QUANTILE = 0.01
+#: Characters at which training texts are cut, and the texts that a length needs.
+CUTS = tuple(2**i for i in range(3, 13))
+LEAST = 10
 #: Texts that are counted at once.
 AT_ONCE = 64
 RESULT = "lang_pred string, score double, rejected boolean"
@@ -103,6 +111,40 @@ def cluster(vectors: np.ndarray, k: int, rounds: int = ROUNDS) -> np.ndarray:
     return centroids / np.maximum(np.linalg.norm(centroids, axis=1, keepdims=True), 1e-12)
 
 
+def measured(texts: list[str], buckets: int) -> np.ndarray:
+    """N-gram counts of the texts that have a letter."""
+    parts = [
+        counts(texts[low : low + AT_ONCE], buckets).astype(np.float32)
+        for low in range(0, len(texts), AT_ONCE)
+    ]
+    raw = np.concatenate(parts) if parts else np.zeros((0, buckets), np.float32)
+    return raw[raw.any(axis=1)]
+
+
+def floors(texts: list[str], idf: np.ndarray, k: int) -> np.ndarray:
+    """Two rows: numbers of n-grams, rising from 0, and the least cosine of a text of that size."""
+    halves = [texts[0::2], texts[1::2]]
+    centroids = []
+    for half in halves:
+        raw = measured(half, len(idf))
+        centroids.append(cluster(weighed(raw, idf), k) if len(raw) else None)
+    points = [(0.0, 0.0)]
+    for cut in CUTS:
+        sizes, cosines = [], []
+        for half, other in zip(halves, reversed(centroids)):
+            long = [text[:cut] for text in half if len(text) >= cut]
+            for low in range(0, len(long) if other is not None else 0, AT_ONCE):
+                raw = measured(long[low : low + AT_ONCE], len(idf))
+                sizes.append(raw.sum(axis=1))
+                cosines.append((weighed(raw, idf) @ other.T).max(axis=1))
+        if sum(map(len, sizes)) < LEAST:
+            continue
+        size = float(np.median(np.concatenate(sizes)))
+        if size > points[-1][0]:
+            points.append((size, MARGIN * float(np.quantile(np.concatenate(cosines), QUANTILE))))
+    return np.array(points).T
+
+
 @dataclass
 class Model:
     """What a fit leaves: a few centroids per language, of fixed size each."""
@@ -110,7 +152,7 @@ class Model:
     languages: list[str]
     centroids: np.ndarray
     idf: np.ndarray
-    floor: float
+    floors: list[np.ndarray]
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
         raw = counts(texts, len(self.idf))
@@ -121,7 +163,12 @@ class Model:
         best = cosines.argmax(axis=1)
         score = np.where(known, cosines[np.arange(len(texts)), best], 0.0)
         names = [self.languages[i] if ok else UNKNOWN for i, ok in zip(best, known)]
-        return names, score, ~known | (score < self.floor)
+        sizes = np.log1p(raw.sum(axis=1))
+        least = np.zeros(len(texts))
+        for i in np.unique(best):
+            at, floor = self.floors[i]
+            least[best == i] = np.interp(sizes[best == i], np.log1p(at), floor)
+        return names, score, ~known | (score <= least)
 
 
 def is_held_out(doc_id: Column, parts: int, part: int) -> Column:
@@ -171,25 +218,20 @@ def fit(
 
     def centroids(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         texts = sorted(text for text in rows["text"] if isinstance(text, str))
-        parts = [
-            counts(texts[low : low + AT_ONCE], buckets).astype(np.float32)
-            for low in range(0, len(texts), AT_ONCE)
-        ]
-        raw = np.concatenate(parts) if parts else np.zeros((0, buckets), np.float32)
-        raw = raw[raw.any(axis=1)]
+        raw = measured(texts, buckets)
         if not len(raw):
-            return pd.DataFrame({"lang": [], "centroid": [], "lowest": []})
-        vectors = weighed(raw, idf.astype(np.float32))
-        found = cluster(vectors, k)
-        lowest = float((vectors @ found.T).max(axis=1).min())
+            return pd.DataFrame({"lang": [], "centroid": [], "floors": []})
+        weights = idf.astype(np.float32)
+        found = cluster(weighed(raw, weights), k)
+        least = floors(texts, weights, k).astype("<f8").tobytes()
         return pd.DataFrame(
-            {"lang": key[0], "centroid": [row.astype("<f8").tobytes() for row in found], "lowest": lowest}
+            {"lang": key[0], "centroid": [row.astype("<f8").tobytes() for row in found], "floors": least}
         )
 
     # k rows of fixed size per language
     rows = (
         chosen.groupBy("lang")
-        .applyInPandas(centroids, "lang string, centroid binary, lowest double")
+        .applyInPandas(centroids, "lang string, centroid binary, floors binary")
         .collect()
     )
     rows.sort(key=lambda row: (row["lang"], row["centroid"]))
@@ -197,7 +239,7 @@ def fit(
         [row["lang"] for row in rows],
         np.array([np.frombuffer(row["centroid"], "<f8") for row in rows]).reshape(len(rows), buckets),
         idf,
-        MARGIN * min((row["lowest"] for row in rows), default=0.0),
+        [np.frombuffer(row["floors"], "<f8").reshape(2, -1) for row in rows],
     )
 
 
