@@ -4,6 +4,8 @@ import os
 import sys
 from pathlib import Path
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -73,3 +75,18 @@ def test_folder_of_files(spark, cut, expected, name, monkeypatch):
     assert list(found.columns) == list(theirs.columns)
     assert len(found) == len(theirs) > 0
     assert found.equals(theirs)
+
+
+def test_large_table_comes_in_bounded_micro_batches(spark, tmp_path):
+    """Two files of 40 MB are two micro-batches."""
+    draw = np.random.default_rng(1)
+    (tmp_path / "events.parquet").mkdir()
+    for i in range(2):
+        values = pd.DataFrame({"value": draw.random(5 << 20)})
+        values.to_parquet(tmp_path / f"events.parquet/part-{i}.parquet", index=False)
+        assert (tmp_path / f"events.parquet/part-{i}.parquet").stat().st_size > 40 << 20
+    rows = streams.stream(spark, str(tmp_path), "events")
+    writer = rows.writeStream.format("noop").option("checkpointLocation", str(tmp_path / "checkpoint"))
+    writer.trigger(availableNow=True).start().awaitTermination()
+    batches = [x for x in os.listdir(tmp_path / "checkpoint/commits") if x.isdigit()]
+    assert len(batches) == 2

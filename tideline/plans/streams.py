@@ -20,8 +20,9 @@ from tideline.session import use_utc, work_folder
 from tideline.sources.sinks import write_stream
 from tideline.streaming import batches, forms
 
-#: What a micro-batch reads at most: a bound on what stateful operators hold at once.
-LIMIT = {"maxBytesPerTrigger": 8 << 30}
+#: What a micro-batch reads at most, if no single file is larger: all rows that a key brings in one
+#: meet in one Python worker, decoded, so this is what one worker holds, not what a cluster does.
+LIMIT = {"maxBytesPerTrigger": 64 << 20}
 #: Event time of the closing row.
 END = "2200-01-01 00:00:00"
 
