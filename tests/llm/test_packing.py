@@ -231,3 +231,11 @@ def test_mixed_rows_with_repeats(docs):
     got = collections.Counter((row.doc_id, row.source) for row in mixing.mixed(docs).collect())
     assert got == {key: n for key, n in want.items() if n}
     assert rows_of(mixing.mixed(docs)) == rows_of(mixing.mixed(docs.repartition(2)))
+
+
+def test_matrix_of_many_narrow_partitions(texts):
+    pairs = [(i, f"a few words of document {i}") for i in range(300)]
+    narrow = bfd_packing.pack_matrix(texts(pairs, 60)).collect()
+    one = bfd_packing.pack_matrix(texts(pairs, 1)).collect()
+    assert len(narrow) == len(one) < 5
+    assert sorted(i for row in narrow for i in row.doc_ids) == list(range(300))

@@ -4,8 +4,8 @@ Each task encodes its documents, cuts those longer than a sequence without loss,
 ``BUFFER`` tokens at a time: pieces from the longest to the shortest, each into the open sequence
 with the least room that holds it. The tree has a leaf for each amount of room and finds that
 sequence in log2(capacity) steps. Nothing is shuffled; memory follows the buffer, not the table.
-A buffer holds thousands of sequences, so little room is lost where buffers meet; a task with few
-documents leaves at most its last sequences part empty.
+A buffer holds thousands of sequences, so little room is lost where buffers meet. Partitions too narrow
+for a buffer are read together by one task, after a pass that adds up the lengths of the texts.
 
 Rows are matrix rows: ids (little-endian, two bytes while the vocabulary allows), the cumulative
 lengths of the segments, and the places where positions start again from 0.
@@ -34,6 +34,8 @@ ship_by_value(__name__)
 
 #: Tokens that a task packs at a time.
 BUFFER = 4 << 20
+#: Characters that are expected to give a token.
+CHARS = 4
 #: Fills what is left of a sequence.
 PAD_ID = 0
 #: Bits of a sequence's number within its task.
@@ -109,6 +111,9 @@ def pack_matrix(
     the ids without padding), cumulative (segment lengths, from 0), resets (where positions start
     again), doc_ids and starts (of each segment). ``wide`` gives four bytes per id."""
     narrow = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
+    # narrow pieces together, so that a task has a full buffer; every document has a closing id
+    amount = narrow.agg(F.sum(F.coalesce(F.length("text"), F.lit(0)) + 1)).first()[0] or 0
+    narrow = narrow.coalesce(max(1, amount // (CHARS * buffer)))
     id_type = "<u4" if wide else "<u2"
     kind = narrow.schema["doc_id"].dataType
     schema = T.StructType(
