@@ -16,7 +16,7 @@ from tideline.functions.time import HOUR
 from tideline.operators import words
 from tideline.plans.registry import ARRIVAL, SQL, cents, load, query
 from tideline.plans.rides import trip_sides
-from tideline.session import use_utc, work_folder
+from tideline.session import start_keyed, use_utc, work_folder
 from tideline.sources.sinks import write_stream
 from tideline.streaming import batches, forms
 
@@ -74,7 +74,7 @@ def _finished(rows: DataFrame, folder: str, last: ClosingRow | None = None) -> D
 
     def run():
         writer = write_stream(rows, "parquet", checkpoint=f"{folder}/checkpoint", target=out)
-        writer.start().awaitTermination()
+        start_keyed(writer).awaitTermination()
 
     run()
     if last is not None:

@@ -5,10 +5,14 @@ from __future__ import annotations
 import sys
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -22,7 +26,7 @@ def local_session(cpus: int | str = 8, app: str = "tideline", **conf: str) -> Sp
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "12g")
-        .config("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+        .config(STATE_STORE, ROCKSDB)
         .config("spark.python.unix.domain.socket.enabled", "true")
     )
     for name, value in conf.items():
@@ -36,6 +40,36 @@ def use_utc(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+def _state_store(spark: SparkSession) -> str | None:
+    """The state store that somebody has chosen, for the session or the application. One that
+    cannot hold several states of a key is an error."""
+    chosen = spark.conf.getAll.get(STATE_STORE)
+    if chosen not in (None, ROCKSDB):
+        raise ValueError(f"keyed streams need {STATE_STORE}={ROCKSDB}, but it is set to {chosen}")
+    return chosen
+
+
+@contextmanager
+def keyed_state(spark: SparkSession) -> Iterator[None]:
+    """Streams started inside keep their state in the RocksDB store, as keyed streams must. The
+    option is set only where the session leaves it open, and is open again afterwards: a started
+    stream works on its own copy of the session's options."""
+    if _state_store(spark):
+        yield
+        return
+    spark.conf.set(STATE_STORE, ROCKSDB)
+    try:
+        yield
+    finally:
+        spark.conf.unset(STATE_STORE)
+
+
+def start_keyed(writer: DataStreamWriter) -> StreamingQuery:
+    """Start a stream that may hold keyed state, in any session."""
+    with keyed_state(writer._spark):
+        return writer.start()
+
+
 def work_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder below the cluster's shared checkpoint folder.
 

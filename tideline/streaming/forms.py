@@ -26,7 +26,8 @@ def keyed(
 
     State lasts forever unless ``ttl_ms`` is given: then a key's state is dropped that long
     (wall clock) after its last change, which keeps the state of an endless stream bounded.
-    Wall-clock state (this and ``idle_count``) needs a trigger with an interval; a stream that
+    Start the stream by ``session.start_keyed``, which chooses the state store that keyed state
+    needs where the session leaves it open. Wall-clock state (this and ``idle_count``) needs a trigger with an interval; a stream that
     is to end when its input does never finds that there is nothing left to do.
     """
     if ttl_ms is not None:
