@@ -14,6 +14,7 @@ from . import (
     mixing,
     near_dedup,
     secrets,
+    spelling,
     toxicity,
 )
 from .common import table
@@ -59,6 +60,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_bfd_packing": op1_bfd_packing,
     "op2_toxicity": op2_toxicity,
@@ -70,8 +75,24 @@ QUERIES = {
     "op8_secrets": op8_secrets,
     "op9_histogram_packing": op9_histogram_packing,
     "op10_mixing": op10_mixing,
+    "op13_spelling": op13_spelling,
 }
 
+#: One row with the table of CRC-32, for ``crc32_sql``.
+CRC_STEPS = """crc_steps AS (
+  SELECT list(c ORDER BY i) AS steps FROM (
+    SELECT i, list_reduce(range(8), lambda c, k:
+      xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END), i) AS c FROM range(256) r(i)))"""
+
+
+def crc32_sql(text: str) -> str:
+    """The unsigned CRC-32 of a text's UTF-8 bytes in DuckDB, beside the row of ``crc_steps``."""
+    digits = f"regexp_replace(hex(encode({text})), '(..)', '\\1 ', 'g')"
+    codes = f"list_transform(string_split({digits}, ' ')[:-2], lambda b: ('0x' || b)::BIGINT)"
+    step = "lambda c, b: xor(c >> 8, steps[(xor(c, b) & 255) + 1])"
+    return f"xor(list_reduce({codes}, {step}, 4294967295), 4294967295)"
+
+
 SQL = {
     "op3_exact_dedup": """
 WITH prints AS (
@@ -129,4 +150,40 @@ roots AS (SELECT node, min(other) AS component_id FROM reached GROUP BY node),
 counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
 SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
 FROM embeddings JOIN roots ON vec_id = node LEFT JOIN counts ON vec_id = a""",
+    "op13_spelling": f"""
+WITH RECURSIVE {CRC_STEPS},
+runs AS (
+  SELECT coalesce(doc_id::VARCHAR, '') AS id, count(*) AS n,
+    unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+      'abcdefghijklmnopqrstuvwxyz'), '[A-Za-zÀ-ÿ]+')) AS run
+  FROM documents GROUP BY doc_id, text),
+hashed AS (
+  SELECT run, n, {crc32_sql("id || ':' || run")} AS h
+  FROM (SELECT id, run, sum(n) AS n FROM runs GROUP BY id, run), crc_steps),
+words AS (
+  SELECT word, sum(n)::BIGINT AS n FROM (
+    SELECT n, CASE WHEN h % 97 = 0 THEN run[:h % len(run)] || run[h % len(run) + 2:] ELSE run END AS word
+    FROM hashed)
+  GROUP BY word HAVING len(word) >= 5 AND sum(n) >= 3),
+holes AS (
+  SELECT word, n, i, word[:i] || word[i + 2:] AS rest
+  FROM (SELECT word, n, unnest(range(len(word))) AS i FROM words)),
+pairs AS (
+  SELECT a.word, b.word AS near, b.n AS near_n FROM holes a JOIN holes b USING (rest, i)
+  WHERE a.word <> b.word
+  UNION SELECT h.word, h.rest, w.n FROM holes h JOIN words w ON w.word = h.rest
+  UNION SELECT w.word, h.word, h.n FROM holes h JOIN words w ON w.word = h.rest),
+best AS (
+  SELECT word, count(*) AS n_near, min((-near_n, encode(near))) AS best FROM pairs GROUP BY word),
+named AS (
+  SELECT w.word, w.n, coalesce(n_near, 0)::BIGINT AS n_near,
+    CASE WHEN -best[1] >= 2 * w.n THEN decode(best[2]) END AS form,
+    CASE WHEN -best[1] >= 2 * w.n THEN -best[1] END AS form_n
+  FROM words w LEFT JOIN best USING (word)),
+walk AS (
+  SELECT word, word AS at, form AS next FROM named
+  UNION ALL
+  SELECT walk.word, named.word, named.form FROM walk JOIN named ON named.word = walk.next)
+SELECT named.word, named.form, walk.at AS root, n, n_near, form_n
+FROM named JOIN walk ON walk.word = named.word AND walk.next IS NULL""",
 }
