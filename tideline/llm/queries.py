@@ -13,6 +13,7 @@ from . import (
     licences,
     mixing,
     near_dedup,
+    prefix_trie,
     secrets,
     spelling,
     toxicity,
@@ -60,6 +61,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(table(spark, sf_dir, "documents"))
 
@@ -75,6 +80,7 @@ QUERIES = {
     "op8_secrets": op8_secrets,
     "op9_histogram_packing": op9_histogram_packing,
     "op10_mixing": op10_mixing,
+    "op12_prefix_trie": op12_prefix_trie,
     "op13_spelling": op13_spelling,
 }
 
@@ -150,6 +156,35 @@ roots AS (SELECT node, min(other) AS component_id FROM reached GROUP BY node),
 counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
 SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
 FROM embeddings JOIN roots ON vec_id = node LEFT JOIN counts ON vec_id = a""",
+    "op12_prefix_trie": f"""
+WITH {CRC_STEPS},
+own AS (
+  SELECT conv_id, list((coalesce(role, ''), coalesce(text, '')) ORDER BY turn NULLS FIRST,
+    md5(len(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS turns
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+heads AS (SELECT conv_id, turns, {crc32_sql("conv_id::VARCHAR")} % 6 AS h FROM own, crc_steps),
+rebuilt AS (
+  SELECT c.conv_id, list_concat(coalesce(b.turns, [])[:h], c.turns[h + 1:]) AS path
+  FROM heads c LEFT JOIN own b ON b.conv_id = c.conv_id - c.conv_id % 100),
+steps AS (
+  SELECT conv_id, len(path) AS total, d AS depth, path[:d] AS node
+  FROM (SELECT *, unnest(range(len(path) + 1)) AS d FROM rebuilt)),
+nodes AS (
+  SELECT node, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+    CASE WHEN depth > 0 THEN (count(*) - 1) * len(node[-1][2]) ELSE 0 END AS gain,
+    coalesce(string_agg(conv_id, ',' ORDER BY conv_id) FILTER (total = depth), '') AS ends
+  FROM steps GROUP BY node, depth),
+families AS (
+  SELECT node[:depth - 1] AS node, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1),
+linked AS (SELECT *, coalesce(n_children, 0) AS kids FROM nodes LEFT JOIN families USING (node)),
+spread AS (SELECT node, gain, kids, unnest(range(depth + 1)) AS d FROM linked),
+subtrees AS (
+  SELECT node[:d] AS node, count(*) FILTER (kids = 0) AS n_leaves, sum(gain) AS saved
+  FROM spread GROUP BY 1)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, n.kids AS n_children, n_leaves,
+  saved::BIGINT AS saved_tokens, sha256(n.ends) AS ends_sha256
+FROM linked n JOIN subtrees USING (node)
+LEFT JOIN nodes p ON n.depth > 0 AND p.node = n.node[:n.depth - 1]""",
     "op13_spelling": f"""
 WITH RECURSIVE {CRC_STEPS},
 runs AS (
