@@ -14,6 +14,7 @@ from . import (
     mixing,
     near_dedup,
     prefix_trie,
+    recurrent_lm,
     secrets,
     spelling,
     toxicity,
@@ -61,6 +62,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op11_recurrent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recurrent_lm.scored(table(spark, sf_dir, "documents"))
+
+
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
 
@@ -80,6 +85,7 @@ QUERIES = {
     "op8_secrets": op8_secrets,
     "op9_histogram_packing": op9_histogram_packing,
     "op10_mixing": op10_mixing,
+    "op11_recurrent_lm": op11_recurrent_lm,
     "op12_prefix_trie": op12_prefix_trie,
     "op13_spelling": op13_spelling,
 }
