@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import numpy as np
 
+from ..session import ship_by_value
 from .shingles import Bags, mixed
 
+ship_by_value(__name__)
+
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -16,8 +19,9 @@ def signatures(bags: Bags, documents: int, size: int) -> np.ndarray:
     Each element owns Poisson processes over time, one for each of the weight intervals (0, 1],
     (1, 2], (2, 4], (4, 8], ... that its weight reaches into, with the interval's length as rate;
     weights are whole, so this grid holds them exactly. A point has a random component of the
-    signature and, by halving the interval bit by bit, a weight; it counts if the element's weight
-    covers that. The signature has the earliest time of each component. Points are made in order
+    signature and a whole weight, evenly drawn from the interval; it counts if the element's weight
+    covers that. Of the interval that a weight ends in, the points above it are drawn and passed
+    over, fewer than half on average. The signature has the earliest time of each component. Points are made in order
     of time and an element stops once its time is past all components of its document, so the
     work per document follows elements + size * log(size), not the sum of weights.
     """

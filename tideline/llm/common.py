@@ -94,10 +94,13 @@ def join_groups(
 ) -> DataFrame:
     """Join rows with a table of one row per key that counts the key's rows in ``size``.
 
-    The rows of keys with more than ``hot`` rows stay where they are and meet a broadcast of
-    those keys, which are fewer than rows / hot and are counted first; all others are shuffled.
-    Pass settled tables: both are read more than once.
+    Few groups are broadcast, after counting. Of many groups, the rows of keys with more than
+    ``hot`` rows stay where they are and meet a broadcast of those keys, which are fewer than
+    rows / hot and are counted too; all others are shuffled. Pass settled tables: both are read
+    more than once.
     """
+    if groups.count() <= BROADCAST_ROWS:
+        return rows.join(F.broadcast(groups), key)
     big = groups.where(F.col(size) > hot)
     known = settled(big)
     if known.count() > BROADCAST_ROWS:

@@ -25,7 +25,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -35,6 +34,7 @@ from pyspark.sql import functions as F
 
 from ..session import ship_by_value
 from .common import whole
+from .kept import once
 
 ship_by_value(__name__)
 
@@ -58,10 +58,10 @@ AT_ONCE = 64
 RESULT = "lang_pred string, score double, rejected boolean"
 
 
-@lru_cache(maxsize=1)
 def _letters() -> np.ndarray:
     """Whether each code point is a letter."""
-    return np.fromiter((chr(i).isalpha() for i in range(0x110000)), bool, 0x110000)
+    every = range(0x110000)
+    return once("letters", lambda: np.fromiter((chr(i).isalpha() for i in every), bool, len(every)))
 
 
 def counts(texts: list[str | None], buckets: int = BUCKETS) -> np.ndarray:

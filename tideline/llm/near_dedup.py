@@ -5,13 +5,18 @@ Equal multisets are one node from the start, so copies cost one row each. A node
 signature is cut into bands; nodes that agree in a band meet in a bucket, and candidates are
 verified by the weighted Jaccard similarity of their multisets, 0.8 or more.
 
-No bucket emits all its pairs. First each bucket's members are compared with one leader, another
-one in each bucket, and the links that hold are closed to components. After that only pairs of
-different components can add anything. Small buckets list these pairs; large ones are cut into
-blocks, and blocks of the members outside the largest component are compared with all blocks as
-matrices, inside the tasks. So every candidate pair is either decided or already connected.
-
-With 25 bands of 5 values a pair of similarity 0.8 is missed with probability 0.00005.
+Only buckets of several nodes matter: buckets are counted first, and no other row of a band goes
+on. No bucket emits all its pairs. First each bucket's members are compared with its leader, the
+first in one order of all nodes, so that buckets of the same nodes give the same pairs, and the
+links that hold are closed to components. After that only pairs of different components can add
+anything. Small buckets list these pairs; large ones are cut into blocks, and blocks of the members
+outside the largest component are compared with all blocks as matrices, inside the tasks. So every
+candidate pair is either decided or already connected. Before multisets travel for a listed pair, a
+byte of each of its signature values is compared.
+
+With 25 bands of 5 values a pair of similarity 0.8 is missed with probability 0.00005. A listed
+pair is dropped unread if fewer than 78 of the 125 bytes agree, which has probability 0.000001 at
+a similarity of 0.8 or more.
 
 Defined results: a null or blank text is like no other document; a text with fewer than five words
 is one shingle; of a class the smallest doc_id is kept, null last, and of rows repeated with it
@@ -47,6 +52,10 @@ LARGE = 64
 BLOCK = 128
 #: Columns of a block's matrix that are held at once.
 SLAB = 1 << 14
+#: Least share of signature values of a pair whose multisets are worth comparing.
+ALIKE = 78 / 125
+#: Most names of nodes that are broadcast to pick their multisets, 8 bytes each.
+NAMES = 2_000_000
 
 
 def band_hashes(signature: np.ndarray, bands: int, rows: int) -> np.ndarray:
@@ -62,7 +71,8 @@ def fingerprints(
     docs: DataFrame, doc_id: str, text: str, words: int, bands: int, rows: int
 ) -> DataFrame:
     """Land one row per document: doc_id, print, row (its number), digest (of the multiset), size,
-    bands, and items: the multiset as sorted 32-bit hashes of (shingle, copy)."""
+    bands, marks (a byte of each signature value), and items: the multiset as sorted 32-bit hashes
+    of (shingle, copy)."""
     narrow = docs.select(
         F.col(doc_id).alias("doc_id"),
         text_print(F.col(text)).alias("print"),
@@ -74,6 +84,7 @@ def fingerprints(
         T.StructField("digest", T.BinaryType()),
         T.StructField("size", T.LongType()),
         T.StructField("bands", T.ArrayType(T.LongType())),
+        T.StructField("marks", T.BinaryType()),
         T.StructField("items", T.BinaryType()),
     ]
 
@@ -83,7 +94,9 @@ def fingerprints(
             for first, raws in chunks(texts):
                 n = len(raws)
                 found = bags(raws, words)
-                hashes = band_hashes(signatures(found, n, bands * rows), bands, rows)
+                signature = signatures(found, n, bands * rows)
+                hashes = band_hashes(signature, bands, rows)
+                marks = (mixed(signature.view(np.uint64)) >> np.uint64(56)).astype(np.uint8)
                 copy = np.arange(found.weights.sum()) - np.repeat(
                     np.cumsum(found.weights) - found.weights, found.weights
                 )
@@ -113,6 +126,7 @@ def fingerprints(
                         pa.array(digests, pa.binary()),
                         pa.array(sizes, pa.int64()),
                         pa.array(lists, pa.list_(pa.int64())),
+                        pa.array([mark.tobytes() for mark in marks], pa.binary()),
                         pa.array(bags_, pa.binary()),
                     ],
                     names=[field.name for field in fields],
@@ -122,25 +136,63 @@ def fingerprints(
     return landed(described.withColumn("row", F.monotonically_increasing_id()), "shingles")
 
 
-def _overlap(one: bytes, other: bytes) -> float:
-    a, b = np.frombuffer(one, "<u4"), np.frombuffer(other, "<u4")
-    both = np.concatenate([a, b])
-    both.sort(kind="stable")
-    shared = int((both[1:] == both[:-1]).sum())
-    return shared / (len(both) - shared)
+def _values(column: pa.Array, kind: str) -> tuple[np.ndarray, np.ndarray]:
+    """The values of a binary column one after the other, and how many each row has."""
+    width = np.dtype(kind).itemsize
+    ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+    raw = np.frombuffer(column.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]]
+    return raw.copy().view(kind), np.diff(ends) // width
+
+
+def overlaps(batch: pa.RecordBatch) -> np.ndarray:
+    """The weighted Jaccard similarity of the multisets in of_a and of_b, row by row."""
+    rows = np.arange(len(batch), dtype=np.uint64)
+    keys, total = [], np.zeros(len(batch), np.int64)
+    for name in ("of_a", "of_b"):
+        values, sizes = _values(batch.column(name), "<u4")
+        keys.append(np.repeat(rows << np.uint64(32), sizes) | values)
+        total += sizes
+    both = np.concatenate(keys)
+    both.sort()
+    twice = both[1:][both[1:] == both[:-1]] >> np.uint64(32)
+    shared = np.bincount(twice.astype(np.int64), minlength=len(batch))
+    return shared / np.maximum(total - shared, 1)
 
 
 def verified(pairs: DataFrame, items: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (a, b) whose multisets are similar enough; items has (node, items)."""
-    left = items.select(F.col("node").alias("a"), F.col("items").alias("of_a"))
-    right = items.select(F.col("node").alias("b"), F.col("items").alias("of_b"))
-    joined = pairs.join(left, "a").join(right, "b").select("a", "b", "of_a", "of_b")
+    """The pairs (a, b) whose multisets are similar enough; items has (node, items). Each pair
+    brings the multiset of a to that of b: let b be the one that is in many pairs."""
+    ones = items.join(if_small(pairs.withColumnRenamed("a", "node"), NAMES), "node")
+    ones = ones.select(F.col("node").alias("a"), "b", F.col("items").alias("of_a"))
+    others = items.join(if_small(pairs.select(F.col("b").alias("node")).distinct(), NAMES), "node", "left_semi")
+    others = others.select(F.col("node").alias("b"), F.col("items").alias("of_b"))
+    joined = ones.join(others, "b").select("a", "b", "of_a", "of_b")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            both = zip(batch.column("of_a"), batch.column("of_b"))
-            good = [_overlap(a.as_py(), b.as_py()) >= similarity for a, b in both]
-            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+            for low in range(0, len(batch), 256):
+                some = batch.slice(low, 256)
+                yield some.select(["a", "b"]).filter(pa.array(overlaps(some) >= similarity))
+
+    return joined.mapInArrow(check, "a long, b long")
+
+
+def alike(pairs: DataFrame, marks: DataFrame, share: float = ALIKE) -> DataFrame:
+    """The pairs (a, b) of which at least ``share`` of the marks agree; marks has (node, marks)."""
+    left = marks.select(F.col("node").alias("a"), F.col("marks").alias("of_a"))
+    right = marks.select(F.col("node").alias("b"), F.col("marks").alias("of_b"))
+    ones = left.join(if_small(pairs, NAMES), "a")
+    names = if_small(pairs.select("b").distinct(), NAMES)
+    joined = ones.join(right.join(names, "b", "left_semi"), "b").select("a", "b", "of_a", "of_b")
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if len(batch):
+                one, other = (
+                    _values(batch.column(c), "u1")[0].reshape(len(batch), -1) for c in ("of_a", "of_b")
+                )
+                good = (one == other).sum(axis=1) >= share * one.shape[1]
+                yield batch.select(["a", "b"]).filter(pa.array(good))
 
     return joined.mapInArrow(check, "a long, b long")
 
@@ -211,35 +263,29 @@ def _across_blocks(crowd: DataFrame, items: DataFrame, similarity: float) -> Dat
     return met.select("left", "right").mapInArrow(compare, "a long, b long")
 
 
-def similar_links(
-    nodes: DataFrame, items: DataFrame, similarity: float = SIMILARITY
-) -> DataFrame:
-    """Links (a, b) that connect all candidates similar enough: nodes has (node, size, bands),
-    items (node, items). Both are read several times: pass settled tables."""
+def similar_links(nodes: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """Links (a, b) that connect all candidates similar enough: nodes is a landed table with node,
+    size, bands, marks and items, of which each step reads what it needs."""
     buckets = nodes.select("node", "size", F.explode("bands").alias("bucket"))
-    lead = F.struct(F.xxhash64("node", "bucket"), F.col("node").alias("node"), F.col("size").alias("size"))
-    shared = counted(
-        buckets.groupBy("bucket")
-        .agg(F.count("*").alias("n"), F.min(lead).alias("leader"))
-        .where("n > 1")
-    )
+    # the first exchange carries nothing but buckets; rows of those that are shared follow
+    shared = counted(buckets.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"))
     crowd = counted(join_groups(buckets, shared, "bucket", "n"))
-    items = items.join(if_small(crowd.select("node").distinct()), "node", "left_semi")
+    known = nodes.join(if_small(crowd.select("node").distinct(), NAMES), "node", "left_semi")
+    known = landed(known.select("node", "marks", "items"), "candidates")
+    items, marks = known.select("node", "items"), known.select("node", "marks")
     near = F.least("size", "other") >= F.greatest("size", "other") * similarity
 
-    def pairs(rows: DataFrame) -> DataFrame:
-        ends = [F.least("node", "mate").alias("a"), F.greatest("node", "mate").alias("b")]
-        return counted(rows.where("node <> mate").where(near).select(*ends).distinct())
-
-    first = pairs(
-        crowd.select(
-            "node", "size", F.col("leader.node").alias("mate"), F.col("leader.size").alias("other")
-        )
+    lead = F.struct(F.xxhash64("node").alias("at"), F.col("node").alias("node"), F.col("size").alias("size"))
+    heads = counted(crowd.groupBy("bucket", "n").agg(F.min(lead).alias("leader")))
+    led = join_groups(crowd.drop("n"), heads, "bucket", "n").select(
+        "node", "size", F.col("leader.node").alias("mate"), F.col("leader.size").alias("other")
     )
-    stars = settled(verified(first, items, similarity))
+    led = led.where("node <> mate").where(near)
+    first = counted(led.select(F.col("node").alias("a"), F.col("mate").alias("b")).distinct())
+    stars = settled(verified(counted(alike(first, marks)), items, similarity))
     roots = components(stars, "a", "b")
     rooted = counted(
-        crowd.drop("leader").join(roots, "node", "left")
+        crowd.drop("n").join(roots, "node", "left")
         .withColumn("root", F.coalesce("root", "node"))
     )
     # the larger part of a bucket: its most frequent root among few kept per task
@@ -262,9 +308,13 @@ def similar_links(
         F.col("size").alias("other"),
         F.col("root").alias("its_root"),
     )
-    across = small.join(mates, "bucket").where("root < its_root")
-    rest = pairs(across).join(first, ["a", "b"], "left_anti")
-    listed = verified(rest, items, similarity)
+    across = small.join(mates, "bucket").where("root < its_root").where(near)
+    ends = [F.least("node", "mate").alias("a"), F.greatest("node", "mate").alias("b")]
+    # a node has met its leaders, which are lesser in their order, already
+    rest = across.select(*ends).distinct()
+    met = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    rest = counted(rest.join(if_small(met, NAMES), ["a", "b"], "left_anti"))
+    listed = verified(counted(alike(rest, marks)), items, similarity)
     large = mixed_.where(F.col("members") > LARGE).select("bucket", "node", "root", "main")
     blocks = _across_blocks(large, items, similarity)
     return stars.unionByName(settled(listed)).unionByName(settled(blocks))
@@ -284,17 +334,16 @@ def classes(
     prints = fingerprints(docs, doc_id, text, words, bands, band_rows)
     own = prints.select("doc_id", "print", "row", "digest")
     nodes = counted(
-        prints.where("digest is not null")
+        own.where("digest is not null")
         .groupBy("digest")
-        .agg(
-            F.min("row").alias("node"),
-            F.count("*").alias("copies"),
-            F.min_by("size", "row").alias("size"),
-            F.min_by("bands", "row").alias("bands"),
-        )
+        .agg(F.min("row").alias("node"), F.count("*").alias("copies"))
     )
-    items = prints.select(F.col("row").alias("node"), "items")
-    links = similar_links(nodes, items, similarity)
+    # of equal multisets the first row is the node; the others take no further part
+    several = nodes.where("copies > 1")
+    copies = join_groups(own.where("digest is not null"), several, "digest", "copies")
+    copies = if_small(copies.where("row <> node").select("row"), NAMES)
+    single = prints.where("digest is not null").join(copies, "row", "left_anti")
+    links = similar_links(single.withColumnRenamed("row", "node"), similarity)
     roots = components(links, "a", "b")
     named = counted(
         nodes.select("digest", "node", "copies")

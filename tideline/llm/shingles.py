@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 
 from ..session import ship_by_value
+from .kept import once
 
 ship_by_value(__name__)
 
@@ -35,7 +35,6 @@ def mixed(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(31))
 
 
-@lru_cache(maxsize=2)
 def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse modulo 2^64."""
 
@@ -79,8 +78,9 @@ def bags(raws: list[bytes], words: int = WORDS) -> Bags:
     """
     data = np.frombuffer(b" ".join(raws) + b" ", np.uint8)
     bounds = np.cumsum([0, *(len(raw) + 1 for raw in raws)])
-    size = 1 << max(20, int(len(data)).bit_length())
-    power, inverse = _powers(size)
+    size = 1 << max(21, int(len(data)).bit_length())
+    # larger sizes, for single long texts, are not worth keeping
+    power, inverse = once("powers", lambda: _powers(size)) if size == 1 << 21 else _powers(size)
     solid = (data != 32) & ((data < 9) | (data > 13))
     edges = np.flatnonzero(np.diff(solid.astype(np.int8), prepend=0))
     starts, ends = edges[::2], edges[1::2]

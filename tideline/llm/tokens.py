@@ -10,7 +10,6 @@ from __future__ import annotations
 import base64
 import zlib
 from collections.abc import Callable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import ship_by_value
+from .kept import once
 
 ship_by_value(__name__)
 
@@ -32,9 +32,12 @@ END_ID = 0
 CAPACITY = 2048
 
 
-@lru_cache(maxsize=2)
 def encoder(vocabulary: str = VOCABULARY) -> Callable[[str], list[int]]:
     """The function from text to ids, loaded once per worker."""
+    return once(f"encoder {vocabulary}", lambda: _loaded(vocabulary))
+
+
+def _loaded(vocabulary: str) -> Callable[[str], list[int]]:
     import public_tokenizers
     import tiktoken
     from tokenizers import Tokenizer
