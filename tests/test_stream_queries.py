@@ -69,7 +69,7 @@ def expected():
 @pytest.mark.parametrize("name", STREAMS)
 def test_folder_of_files(spark, cut, expected, name, monkeypatch):
     """One file per micro-batch gives the same rows as the SQL form over the whole table."""
-    monkeypatch.setattr(streams, "LIMIT", {"maxFilesPerTrigger": 1})
+    monkeypatch.setattr(streams, "limit", lambda spark, keyed: {"maxFilesPerTrigger": 1})
     found = plain(plans.QUERIES[name](spark, cut[name in BY_ARRIVAL]).toPandas())
     theirs = expected(name)
     assert list(found.columns) == list(theirs.columns)
@@ -78,15 +78,19 @@ def test_folder_of_files(spark, cut, expected, name, monkeypatch):
 
 
 def test_large_table_comes_in_bounded_micro_batches(spark, tmp_path):
-    """Two files of 40 MB are two micro-batches."""
+    """Two files of 40 MB are two micro-batches where a key's rows meet, else one."""
     draw = np.random.default_rng(1)
     (tmp_path / "events.parquet").mkdir()
     for i in range(2):
         values = pd.DataFrame({"value": draw.random(5 << 20)})
         values.to_parquet(tmp_path / f"events.parquet/part-{i}.parquet", index=False)
         assert (tmp_path / f"events.parquet/part-{i}.parquet").stat().st_size > 40 << 20
-    rows = streams.stream(spark, str(tmp_path), "events")
-    writer = rows.writeStream.format("noop").option("checkpointLocation", str(tmp_path / "checkpoint"))
-    writer.trigger(availableNow=True).start().awaitTermination()
-    batches = [x for x in os.listdir(tmp_path / "checkpoint/commits") if x.isdigit()]
-    assert len(batches) == 2
+    for keyed, expected in ((True, 2), (False, 1)):
+        rows = streams.stream(spark, str(tmp_path), "events", keyed=keyed)
+        checkpoint = tmp_path / f"checkpoint-{keyed}"
+        writer = rows.writeStream.format("noop").option("checkpointLocation", str(checkpoint))
+        writer.trigger(availableNow=True).start().awaitTermination()
+        batches = [x for x in os.listdir(checkpoint / "commits") if x.isdigit()]
+        assert len(batches) == expected
+    cores = spark.sparkContext.defaultParallelism
+    assert streams.limit(spark, False)["maxBytesPerTrigger"] == cores * streams.BYTES_PER_CORE

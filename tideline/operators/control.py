@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tideline.operators.running import Fold, running
-from tideline.operators.skew import lookup_join
+from tideline.operators.skew import HOT_ROWS, lookup_join
 
 
 def blocklist_anti(words: DataFrame, control: DataFrame, on: Sequence[str]) -> DataFrame:
@@ -47,3 +47,33 @@ def dynamic_rule_filter(
         limit, none = F.when(none, start).otherwise(limit), F.lit(False)
     passes = none | (size <= limit)
     return ruled.filter(passes).withColumn("rule", limit).drop("_control", "_newest")
+
+
+def rules_asof(
+    rows: DataFrame,
+    is_control: Column,
+    name: str,
+    rule: Column,
+    size: Column,
+    order: Sequence[str],
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """Rows whose ``size`` is within the newest rule of their ``name`` that arrived before them.
+
+    Many named rules are in force at once, each changes on its own; control rows set the rule of
+    their name from their arrival on. Rows pass where their name has no rule yet, or a null one, and
+    where they have no name. The rule in force comes out as ``rule``. A name with very many rows is
+    split along the arrival order (see ``running``).
+    """
+    stamp = F.struct(*[F.col(c) for c in order], rule.alias("_limit"))
+    newest = Fold("max", F.when(is_control, stamp), inclusive=False)
+    ruled = running(
+        rows.withColumn("_sets", F.coalesce(is_control, F.lit(False))),
+        [name],
+        order,
+        {"_newest": newest},
+        hot_rows=hot_rows,
+    )
+    limit = F.when(F.col(name).isNotNull(), F.col("_newest._limit"))
+    passes = limit.isNull() | (size <= limit)
+    return ruled.filter(~F.col("_sets") & passes).withColumn("rule", limit).drop("_sets", "_newest")

@@ -98,6 +98,26 @@ def dynamic_rule_filter(spark, sf_dir):
     return rows.select("event_id", "cents", F.coalesce("rule", F.lit(-1)).alias("rule"))
 
 
+@query(
+    """SELECT d.event_id, d.grp, d.cents, coalesce(r.cents, -1) AS rule
+        FROM (SELECT event_id, user_id % 64 AS grp, CAST(round(value * 100) AS BIGINT) AS cents
+              FROM events WHERE event_type IS DISTINCT FROM 'signup') d
+        ASOF LEFT JOIN (SELECT event_id, user_id % 64 AS grp, CAST(round(value * 100) AS BIGINT) AS cents
+              FROM events WHERE event_type = 'signup') r
+        ON d.grp = r.grp AND d.event_id > r.event_id
+        WHERE r.cents IS NULL OR d.cents <= r.cents"""
+)
+def rules_asof(spark, sf_dir):
+    """A signup sets the largest amount that may pass in its group of users."""
+    rows = events(spark, sf_dir).select(
+        "event_id", (F.col("user_id") % 64).alias("grp"), "event_type", "cents"
+    )
+    ruled = control.rules_asof(
+        rows, F.col("event_type") == "signup", "grp", F.col("cents"), F.col("cents"), _ORDER
+    )
+    return ruled.select("event_id", "grp", "cents", F.coalesce("rule", F.lit(-1)).alias("rule"))
+
+
 # One step per row of a key: the saved row of either side is kept in (l, r).
 @query(
     """WITH RECURSIVE base AS (SELECT user_id, event_id, event_type = 'view' AS is_left,

@@ -18,29 +18,41 @@ from tideline.plans.registry import ARRIVAL, SQL, cents, load, query
 from tideline.plans.rides import trip_sides
 from tideline.session import start_keyed, use_utc, work_folder
 from tideline.sources.sinks import write_stream
-from tideline.streaming import batches, forms
-
-#: What a micro-batch reads at most, if no single file is larger: all rows that a key brings in one
-#: meet in one Python worker, decoded, so this is what one worker holds, not what a cluster does.
-LIMIT = {"maxBytesPerTrigger": 64 << 20}
+from tideline.streaming import batches, folds, forms
+
+#: What a micro-batch reads per core of the cluster. Spark's aggregations and the folds spread the
+#: rows of a key, so a micro-batch may be as large as the cluster likes.
+BYTES_PER_CORE = 256 << 20
+#: What it reads for a keyed processor, if no single file is larger: all rows that a key brings in
+#: one meet in one Python worker, decoded, so this is what one worker holds.
+BYTES_PER_WORKER = 64 << 20
 #: Event time of the closing row.
 END = "2200-01-01 00:00:00"
 
 
-def stream(spark: SparkSession, sf_dir: str, table: str, closing: str | None = None) -> DataFrame:
+def limit(spark: SparkSession, keyed: bool) -> dict[str, int]:
+    """How much a micro-batch reads."""
+    cores = spark.sparkContext.defaultParallelism
+    return {"maxBytesPerTrigger": BYTES_PER_WORKER if keyed else BYTES_PER_CORE * cores}
+
+
+def stream(
+    spark: SparkSession, sf_dir: str, table: str, closing: str | None = None, keyed: bool = False
+) -> DataFrame:
     """A table, a file or a folder of files, as a stream in the order in which its files came.
 
-    ``closing`` is a folder that gets the closing row."""
+    ``closing`` is a folder that gets the closing row; ``keyed`` says that the rows of a key in a
+    micro-batch meet in one worker."""
     use_utc(spark)
     schema = load(spark, sf_dir, table).schema
     reader = spark.readStream.schema(schema)
     # a plain path must be a folder; a pattern may also name one file
-    rows = reader.options(**LIMIT).parquet(f"{sf_dir.rstrip('/')}/{table}.parque[t]")
+    rows = reader.options(**limit(spark, keyed)).parquet(f"{sf_dir.rstrip('/')}/{table}.parque[t]")
     return rows if closing is None else rows.unionByName(reader.parquet(closing))
 
 
-def event_stream(spark, sf_dir, closing: str | None = None) -> DataFrame:
-    rows = stream(spark, sf_dir, "events", closing).withColumn("cents", cents("value"))
+def event_stream(spark, sf_dir, closing: str | None = None, keyed: bool = False) -> DataFrame:
+    rows = stream(spark, sf_dir, "events", closing, keyed).withColumn("cents", cents("value"))
     return rows.withColumn("ts", F.col("ts").cast("timestamp"))  # watermarks need this type
 
 
@@ -61,11 +73,18 @@ class ClosingRow:
         self.row.write.mode("append").parquet(self.folder)
 
 
-def finish(spark, sf_dir, name: str, build: Callable[[DataFrame], DataFrame], close: bool = False):
+def finish(
+    spark,
+    sf_dir,
+    name: str,
+    build: Callable[[DataFrame], DataFrame],
+    close: bool = False,
+    keyed: bool = False,
+):
     """Run ``build`` on the stream of events to its end and read what it wrote."""
     folder = work_folder(spark, name)
     last = ClosingRow(spark, sf_dir, folder) if close else None
-    rows = build(event_stream(spark, sf_dir, last.folder if last else None))
+    rows = build(event_stream(spark, sf_dir, last.folder if last else None, keyed))
     return _finished(rows, folder, last)
 
 
@@ -151,17 +170,35 @@ def stream_session_dynamic_gap(spark, sf_dir):
     return finish(spark, sf_dir, "gaps", build, close=True)
 
 
-def _average(spark, sf_dir, store):
-    def build(rows):
-        return forms.count_average(rows, "user_id", ["event_id"], "cents", 3, store)
+def _folded(spark, sf_dir, name: str, columns: list[str], make) -> DataFrame:
+    """What a writer of folds put out over the whole stream of events."""
+    folder = finish_batches(spark, sf_dir, name, lambda rows: rows.select(*columns), make)
+    return spark.read.parquet(f"{folder}/out").drop("batch")
 
-    found = finish(spark, sf_dir, f"average-{store}", build)
-    return found.withColumn("average", F.round("average", 4))
+
+KEYED = ["user_id", "event_id", "cents"]
+
+
+def _counted(spark, sf_dir, every, size=None):
+    def make(path):
+        return folds.counted_writer(path, "user_id", ["event_id"], "cents", every, size)
+
+    return _folded(spark, sf_dir, "counted", KEYED, make)
 
 
 @query(SQL["count_avg"])
 def stream_count_avg(spark, sf_dir):
-    return _average(spark, sf_dir, "value")
+    found = _counted(spark, sf_dir, 3, 3)
+    average = F.round(F.col("total") / F.col("given"), 4)
+    return found.select("user_id", F.expr("rn div 3").alias("block"), average.alias("average"))
+
+
+def _average(spark, sf_dir, store):
+    def build(rows):
+        return forms.count_average(rows, "user_id", ["event_id"], "cents", 3, store)
+
+    found = finish(spark, sf_dir, f"average-{store}", build, keyed=True)
+    return found.withColumn("average", F.round("average", 4))
 
 
 @query(SQL["count_avg"])
@@ -174,21 +211,14 @@ def stream_count_avg_map(spark, sf_dir):
     return _average(spark, sf_dir, "map")
 
 
-def _counted(spark, sf_dir, every, size=None):
-    def build(rows):
-        return forms.count_window(rows, "user_id", ["event_id"], "cents", every, size)
-
-    return finish(spark, sf_dir, "counted", build)
-
-
 @query(SQL["count_window_cumulative"])
 def stream_count_window_cumulative(spark, sf_dir):
-    return _counted(spark, sf_dir, 3)
+    return _counted(spark, sf_dir, 3).drop("given")
 
 
 @query(SQL["count_window_sliding"])
 def stream_count_window_sliding(spark, sf_dir):
-    return _counted(spark, sf_dir, 2, 3)
+    return _counted(spark, sf_dir, 2, 3).drop("given")
 
 
 @query(SQL["count_window_tumbling"])
@@ -197,35 +227,39 @@ def stream_count_window_tumbling(spark, sf_dir):
     return found.select("user_id", F.expr("rn div 3").alias("block"), "total")
 
 
-def _folded(spark, sf_dir, with_text):
-    def build(rows):
-        return forms.running_fold(rows, "user_id", ["event_id"], "cents", with_text)
+def _running(spark, sf_dir, with_text):
+    def make(path):
+        return folds.running_writer(path, "user_id", ["event_id"], "cents", with_text)
 
-    return finish(spark, sf_dir, "fold", build).withColumnRenamed("seq", "event_id")
+    return _folded(spark, sf_dir, "fold", KEYED, make)
 
 
 @query(SQL["running_sum"])
 def stream_running_sum(spark, sf_dir):
-    return _folded(spark, sf_dir, False).select("event_id", "user_id", "total")
+    return _running(spark, sf_dir, False).select("event_id", "user_id", "total")
 
 
 @query(SQL["running_text"])
 def stream_running_text(spark, sf_dir):
-    return _folded(spark, sf_dir, True).select("event_id", "user_id", "text")
+    return _running(spark, sf_dir, True).select("event_id", "user_id", "text")
 
 
 @query(SQL["join_slots"])
 def stream_join_slots(spark, sf_dir):
     def build(rows):
-        sides = rows.filter(F.col("event_type").isin("view", "purchase")).select(
+        return rows.filter(F.col("event_type").isin("view", "purchase")).select(
             "user_id",
             F.col("event_id").alias("seq"),
             (F.col("event_type") == "view").alias("is_left"),
             "event_id",
         )
-        return forms.pair_slots(sides, "user_id", "seq", "is_left", "event_id")
 
-    return finish(spark, sf_dir, "slots", build).withColumnRenamed("seq", "event_id")
+    def make(path):
+        return folds.slots_writer(path, "user_id", "seq", "is_left", "event_id")
+
+    folder = finish_batches(spark, sf_dir, "slots", build, make)
+    found = spark.read.parquet(f"{folder}/out").drop("batch")
+    return found.withColumnRenamed("seq", "event_id")
 
 
 @query(
@@ -236,28 +270,46 @@ def stream_join_slots(spark, sf_dir):
 def stream_blocklist(spark, sf_dir):
     """A user's events pass until the user's first error."""
 
+    def make(path):
+        return folds.blocklist_writer(path, F.col("event_type") == "error", "user_id", "event_id")
+
+    found = _folded(spark, sf_dir, "blocked", ["user_id", "event_id", "event_type"], make)
+    return found.filter("event_type IS NOT NULL").select("event_id", "user_id")
+
+
+@query(SQL["rules_asof"])
+def stream_rules_asof(spark, sf_dir):
+    """A signup sets the largest amount that may pass in its group of users, from its arrival on."""
+
     def build(rows):
-        rows = rows.withColumn("seq", F.col("event_id"))
-        errors = F.col("event_type") == "error"
-        return forms.blocklist(
-            rows.filter(~errors), rows.filter(errors), "user_id", "seq", ["event_id"]
-        )
+        return rows.select("event_id", (F.col("user_id") % 64).alias("grp"), "event_type", "cents")
 
-    return finish(spark, sf_dir, "blocked", build)
+    def make(path):
+        cents_ = F.col("cents")
+        return folds.rules_writer(path, F.col("event_type") == "signup", "grp", cents_, cents_, ["event_id"])
+
+    folder = finish_batches(spark, sf_dir, "rules", build, make)
+    found = spark.read.parquet(f"{folder}/out")
+    return found.select("event_id", "grp", "cents", F.coalesce("rule", F.lit(-1)).alias("rule"))
 
 
 @query(SQL["join_rides_fares"])
 def stream_join_rides_fares(spark, sf_dir):
     """Open orders stand for started rides, their lines for fares, joined on the ride's id.
 
-    The dates of this table come in no order, so the bound spans all of them.
+    A fare is forgotten once it has met its ride. (The dates of these tables come in no order, so
+    no watermark bounds the join; ``forms.join_rides_fares`` is for those that do.)
     """
-    fares, started = trip_sides(
-        stream(spark, sf_dir, "lineitem"), stream(spark, sf_dir, "orders"), times=True
-    )
-    pairs = forms.join_rides_fares(started, fares, "l_orderkey", "ride_ts", "fare_ts", "9999 days")
-    columns = pairs.select("l_orderkey", "l_linenumber", "o_custkey", "fare")
-    return _finished(columns, work_folder(spark, "join"))
+    fares, started = trip_sides(stream(spark, sf_dir, "lineitem"), stream(spark, sf_dir, "orders"))
+    started = started.withColumn("is_ride", F.lit(True))
+    rows = fares.withColumn("is_ride", F.lit(False)).unionByName(started, allowMissingColumns=True)
+    folder = work_folder(spark, "join")
+
+    def make(path):
+        return folds.matched_writer(path, "is_ride", "l_orderkey", ["o_custkey"], ["l_linenumber", "fare"])
+
+    _run_batches(rows, folder, make)
+    return spark.read.parquet(f"{folder}/out").drop("batch")
 
 
 @query(SQL["stop_segments"])
@@ -269,7 +321,7 @@ def stream_stop_segments(spark, sf_dir):
             _with_throttle(rows), "user_id", "ts", "value", "throttle", "1 hour", stop
         )
 
-    found = finish(spark, sf_dir, "segments", build, close=True)
+    found = finish(spark, sf_dir, "segments", build, close=True, keyed=True)
     return found.withColumn("erraticness", F.round("erraticness", 4))
 
 
