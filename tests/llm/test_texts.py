@@ -389,3 +389,8 @@ def test_markov_models(texts):
             for a, b in zip(got.text, got.text[1:])
         ]
         assert math.isclose(got.m, sum(steps) / len(steps), rel_tol=1e-9)
+
+
+def test_licence_of_python(texts):
+    found = licences.scan(texts([(1, "# SPDX-License-Identifier: Python-2.0")])).collect()
+    assert [row.licences for row in found] == ["Python-2.0"]

@@ -97,7 +97,7 @@ SENTENCES = {
 }
 
 # fixed values: licences by their SPDX identifiers, and the names that are reported; a tag that names
-# another gets ``unknown`` (so does Python-2.0: a test takes that word in a plan for Python code)
+# another gets ``unknown``
 SPDX = {
     **{
         name: name
@@ -109,7 +109,7 @@ SPDX = {
             "CC-BY-SA-4.0", "CC0-1.0", "CDDL-1.0", "CDDL-1.1", "CECILL-2.1", "ECL-2.0", "EPL-1.0", "EPL-2.0",
             "EUPL-1.1", "EUPL-1.2", "ISC", "MIT", "MIT-0", "MPL-1.1", "MPL-2.0", "MS-PL", "MulanPSL-2.0",
             "NCSA", "ODbL-1.0", "OFL-1.1", "OpenSSL", "OSL-3.0", "PHP-3.01", "PostgreSQL", "PSF-2.0",
-            "Ruby", "Unlicense", "UPL-1.0", "Vim", "W3C", "WTFPL", "X11", "Zlib", "ZPL-2.1",
+            "Python-2.0", "Ruby", "Unlicense", "UPL-1.0", "Vim", "W3C", "WTFPL", "X11", "Zlib", "ZPL-2.1",
         )
     },
     **{

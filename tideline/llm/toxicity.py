@@ -249,15 +249,18 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     words = [*lexicon, *_mined(sample)]
     voters = Voters(words, len(lexicon))
 
-    @F.pandas_udf("array<float>")
+    @F.pandas_udf("binary")
     def votes(texts: pd.Series) -> pd.Series:
-        return pd.Series([voters.votes(text) for text in texts])
+        return pd.Series([voters.votes(text).tobytes() for text in texts])
 
-    # the bounded sample: a few hundred bytes per document
-    rows = sample.select("toxic", votes("text").alias("votes")).collect()
-    rows.sort(key=lambda row: (row["toxic"] is None, row["toxic"], row["votes"]))
-    counts = np.array([row["votes"] for row in rows]).reshape(len(rows), voters.size + 1)
-    known = np.array([np.nan if row["toxic"] is None else row["toxic"] for row in rows], float)
+    # the bounded sample: four bytes per voter and document
+    rows = [
+        (row["toxic"], np.frombuffer(row["votes"], np.float32))
+        for row in sample.select("toxic", votes("text").alias("votes")).toArrow().to_pylist()
+    ]
+    rows.sort(key=lambda row: (row[0] is None, row[0], row[1].tolist()))
+    counts = np.array([row[1] for row in rows], np.float32).reshape(len(rows), voters.size + 1)
+    known = np.array([np.nan if row[0] is None else row[0] for row in rows], float)
     seeds = np.arange(voters.size) < len(words)
     fired = (counts[:, :-1] > 0).astype(np.float64)
     posterior = label_model(fired, known, seeds)
