@@ -19,7 +19,7 @@ from tideline.plans import streams  # noqa: E402
 
 FOLDER = Path("/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not FOLDER.exists(), reason="no test tables here")
-STREAMS = [name for name in plans.QUERIES if name.startswith("stream_")]
+STREAMS = [name for name in plans.SQL if name.startswith("stream_")]
 #: Queries whose arrival order is not that of the events.
 BY_ARRIVAL = {
     "stream_car_sort",
@@ -77,6 +77,17 @@ def test_folder_of_files(spark, cut, expected, name, monkeypatch):
     assert found.equals(theirs)
 
 
+def test_windows_of_arrival(spark, cut, monkeypatch):
+    """Four files written 100 seconds apart; as a stream, file by file, and as a table."""
+    monkeypatch.setattr(streams, "limit", lambda spark, keyed: {"maxFilesPerTrigger": 1})
+    found = plain(plans.QUERIES["stream_arrival_window_count"](spark, cut[False]).toPandas())
+    table = plain(plans.QUERIES["arrival_window_count"](spark, cut[False]).toPandas())
+    assert found.equals(table)
+    starts = [pd.Timestamp(1_700_000_000 + 100 * i, unit="s").floor("min") for i in range(4)]
+    assert sorted(set(found["window_start"])) == [f"{start:%Y-%m-%d %H:%M:%S.%f}" for start in starts]
+    assert sum(map(int, found["n"])) == spark.read.parquet(f"{FOLDER}/events.parquet").count()
+
+
 def test_large_table_comes_in_bounded_micro_batches(spark, tmp_path):
     """Two files of 40 MB are two micro-batches where a key's rows meet, else one."""
     draw = np.random.default_rng(1)

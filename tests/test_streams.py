@@ -259,6 +259,24 @@ def test_window_elements(spark, tmp_path):
     assert rows_of(spark.read.parquet(f"{folder}/late"), "seq") == rows_of(too_late, "seq") != []
 
 
+def test_windows_of_an_idle_source_close_by_a_heartbeat(spark, tmp_path):
+    """Rows stop; beats go on, in a source of their own."""
+    rows = Feed(spark, tmp_path / "rows", "key string, t long, ts timestamp")
+    beats = Feed(spark, tmp_path / "beats", "key string, t long, ts timestamp")
+    rows.add(at_seconds(spark, [("a", 1), ("a", 2), ("b", 7), (None, 8)]))
+    beats.add(at_seconds(spark, [("x", 1)]))
+
+    def run():
+        counts = forms.live_window_count(rows.stream(), beats.stream(), "ts", "1 second", "5 seconds", ["key"])
+        return rows_of(rows.run(counts), "window_start", "key", "n")
+
+    # the rows themselves close the first window, and no other
+    assert [row[1:] for row in run()] == [("a", 2)]
+    assert [row[1:] for row in run()] == [("a", 2)]
+    beats.add(at_seconds(spark, [("x", 30)]))
+    assert sorted((row[1:] for row in run()), key=repr) == [("a", 2), ("b", 1), (None, 1)]
+
+
 def test_hourly_top_driver(spark, tmp_path):
     rng = random.Random(9)
     rows = [(i, rng.randrange(5), rng.randrange(90), i * 120) for i in range(200)]

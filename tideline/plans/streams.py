@@ -13,10 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideline.functions.time import HOUR
+from tideline.operators import time_windows as tw
 from tideline.operators import words
 from tideline.plans.registry import ARRIVAL, SQL, cents, load, query
 from tideline.plans.rides import trip_sides
 from tideline.session import start_keyed, use_utc, work_folder
+from tideline.sources.lines import with_arrival
 from tideline.sources.sinks import write_stream
 from tideline.streaming import batches, folds, forms
 
@@ -144,6 +146,27 @@ def stream_sliding_count(spark, sf_dir):
     return finish(spark, sf_dir, "sliding", build, close=True)
 
 
+@query()
+def stream_arrival_window_count(spark, sf_dir):
+    """Events and their amounts per type and minute of arrival; the closing row arrives at the end."""
+    folder = work_folder(spark, "arrival")
+    last = ClosingRow(spark, sf_dir, folder)
+    given = stream(spark, sf_dir, "events")
+    closing = spark.readStream.schema(given.schema).parquet(last.folder)
+    closing = closing.withColumn("arrived", F.lit(END).cast("timestamp"))
+    rows = with_arrival(given)
+    rows = rows.unionByName(closing).withColumn("cents", cents("value"))
+    found = tw.time_window(
+        rows.withWatermark("arrived", "0 seconds"),
+        "arrived",
+        "1 minute",
+        keys=["event_type"],
+        n=F.count("event_id"),
+        total=F.sum("cents"),
+    )
+    return _finished(found, folder, last)
+
+
 def _with_throttle(rows: DataFrame) -> DataFrame:
     return rows.withColumn("throttle", (F.col("cents") % 1000) / 100)
 

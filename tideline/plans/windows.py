@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from tideline.functions.time import HOUR
 from tideline.operators import sessions as session_ops
 from tideline.operators import time_windows as tw
-from tideline.plans.registry import EVENTS_SQL, events, query
+from tideline.plans.registry import EVENTS_SQL, cents, events, load, query
+from tideline.sources.lines import with_arrival
 
 _HOURLY = f"(SELECT *, date_trunc('hour', ts) AS window_start FROM {EVENTS_SQL})"
 _END = "window_start + INTERVAL 1 HOUR AS window_end"
@@ -134,3 +135,13 @@ def session_dynamic_gap(spark, sf_dir):
 def session_fixed_gap(spark, sf_dir):
     gap = F.lit(2 * HOUR).cast("long")
     return session_ops.sessions(events(spark, sf_dir), "user_id", "ts", gap, total=F.col("cents"))
+
+
+@query()
+def arrival_window_count(spark, sf_dir):
+    """Events and their amounts per type and minute of arrival, that is, of their file's writing. (The
+    tables do not hold that time, so there is no SQL form.)"""
+    rows = with_arrival(load(spark, sf_dir, "events")).withColumn("cents", cents("value"))
+    return tw.time_window(
+        rows, "arrived", "1 minute", keys=["event_type"], n=F.count("event_id"), total=F.sum("cents")
+    )

@@ -49,3 +49,9 @@ def queue_options(
     if stream:
         known["maxOffsetsPerTrigger"] = options.pop("max_rows", "1000000")
     return known | options
+
+
+def with_arrival(rows: DataFrame, name: str = "arrived") -> DataFrame:
+    """Add when each row arrived: the time at which its file was written. Unlike the clock at which
+    a job happens to read, it is the same when files are read again, in batch or as a stream."""
+    return rows.withColumn(name, F.col("_metadata.file_modification_time"))

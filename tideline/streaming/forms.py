@@ -228,6 +228,27 @@ def window_count(rows, ts: str, delay: str, width: str, slide: str | None = None
     return tw.window_count(rows.withWatermark(ts, delay), ts, width, slide, keys)
 
 
+def with_heartbeat(rows: DataFrame, beats: DataFrame, ts: str) -> DataFrame:
+    """Rows and beats in one stream, told apart by ``is_beat``; a beat has a time and nothing else.
+
+    Spark's watermark moves with rows only, so the windows of a source that falls idle stay open.
+    Beats (of the ``rate`` source, say, or of any stream that goes on) move it without them: put the
+    watermark on this stream and leave beats out of what is counted, not out of the stream.
+    """
+    kind = rows.schema[ts].dataType
+    beat = beats.select(F.col(ts).cast(kind).alias(ts), F.lit(True).alias("is_beat"))
+    return rows.withColumn("is_beat", F.lit(False)).unionByName(beat, allowMissingColumns=True)
+
+
+def live_window_count(
+    rows: DataFrame, beats: DataFrame, ts: str, delay: str, width: str, keys: Sequence[str] = ()
+) -> DataFrame:
+    """Counts per window and key that come out also after the rows have stopped."""
+    both = with_heartbeat(rows, beats, ts).withWatermark(ts, delay)
+    real = F.count(F.when(~F.col("is_beat"), 1))
+    return tw.time_window(both, ts, width, keys=keys, n=real).filter("n > 0")
+
+
 def stop_segments(events, car: str, ts: str, speed: str, throttle: str, delay: str, is_stop=None):
     """Segments closed by a stop, once the watermark has passed the stop."""
     kind = time_type(events, ts)
