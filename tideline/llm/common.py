@@ -17,6 +17,9 @@ WORD = r"[^\x20\x09-\x0D]+"
 ROW_BITS = 33
 #: Most rows of a narrow table that is broadcast.
 BROADCAST_ROWS = 500_000
+#: Most decisions on documents, two numbers each, that are broadcast to the documents; of more,
+#: both are shuffled once.
+KEPT_ROWS = 1_000_000
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -115,13 +118,28 @@ def whole(docs: DataFrame) -> DataFrame:
     return docs.select(F.struct(*[docs[f"`{name}`"] for name in docs.columns]).alias("doc"))
 
 
+def one_of_each(docs: DataFrame, same: Column) -> DataFrame:
+    """(_one, doc): of the rows that agree in ``same`` (a struct of ``doc``'s columns) one, with all its
+    columns. Only rows that are repeated shuffle; they are found by counting narrow rows."""
+    rows = whole(docs).select(same.alias("_one"), "doc")
+    repeated = settled(rows.groupBy("_one").count().where("count > 1").select(F.col("_one").alias("_again")))
+    if repeated.isEmpty():
+        return rows
+    again = F.col("_one").eqNullSafe(F.col("_again"))
+    known = if_small(repeated)
+    # of rows that differ in other columns the first in the order of all columns
+    order = F.to_json("doc")
+    reduced = rows.join(known, again, "left_semi").groupBy("_one").agg(F.min_by("doc", order).alias("doc"))
+    return rows.join(known, again, "left_anti").unionByName(reduced)
+
+
 def keep(docs: DataFrame, kept: DataFrame, doc_id: str, text: str) -> DataFrame:
     """The documents whose (doc_id, print) is in ``kept``; of repeated rows one."""
     one = F.struct(
         F.col(f"doc.`{doc_id}`").alias("doc_id"), text_print(F.col(f"doc.`{text}`")).alias("print")
     )
-    single = whole(docs).groupBy(one.alias("_one")).agg(F.first("doc").alias("doc"))
-    wanted = kept.select(F.struct("doc_id", "print").alias("_kept")).distinct()
+    wanted = if_small(kept.select(F.struct("doc_id", "print").alias("_kept")).distinct(), KEPT_ROWS)
+    single = one_of_each(docs, one)
     return single.join(wanted, F.col("_one").eqNullSafe(F.col("_kept")), "left_semi").select("doc.*")
 
 

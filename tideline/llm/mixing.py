@@ -20,7 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, hash_bits, if_small, ranked, settled, text_print, whole
+from .common import KEPT_ROWS, WORD, hash_bits, if_small, one_of_each, ranked, settled, text_print
 
 #: Weights of the sources in code point order, repeating.
 WEIGHTS = (3, 1, 2)
@@ -152,8 +152,8 @@ def mixed(
         F.col(f"doc.`{source}`").alias("source"),
         text_print(F.col(f"doc.`{text}`")).alias("print"),
     )
-    single = whole(docs).groupBy(one.alias("_one")).agg(F.first("doc").alias("doc"))
-    joined = single.join(taken, F.col("_one").eqNullSafe(F.col("_same")))
+    single = one_of_each(docs, one)
+    joined = single.join(if_small(taken, KEPT_ROWS), F.col("_one").eqNullSafe(F.col("_same")))
     # two steps, so that no array of a much repeated document gets long
     runs = joined.withColumn("_run", F.explode(F.expr(f"sequence(0L, (_copies - 1) div {RUN})")))
     rest = f"least({RUN}L, _copies - _run * {RUN}L)"
