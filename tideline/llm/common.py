@@ -133,14 +133,16 @@ def one_of_each(docs: DataFrame, same: Column) -> DataFrame:
     return rows.join(known, again, "left_anti").unionByName(reduced)
 
 
-def keep(docs: DataFrame, kept: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """The documents whose (doc_id, print) is in ``kept``; of repeated rows one."""
+def keep(docs: DataFrame, decided: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """The documents of which a row with their (doc_id, print) is ``kept`` in ``decided``, a row per
+    document; of repeated rows one. What goes is named to the documents, as it is the lesser part."""
     one = F.struct(
         F.col(f"doc.`{doc_id}`").alias("doc_id"), text_print(F.col(f"doc.`{text}`")).alias("print")
     )
-    wanted = if_small(kept.select(F.struct("doc_id", "print").alias("_kept")).distinct(), KEPT_ROWS)
+    named = decided.groupBy(F.struct("doc_id", "print").alias("_gone")).agg(F.max("kept").alias("kept"))
+    gone = if_small(named.where("not kept").select("_gone"), KEPT_ROWS)
     single = one_of_each(docs, one)
-    return single.join(wanted, F.col("_one").eqNullSafe(F.col("_kept")), "left_semi").select("doc.*")
+    return single.join(gone, F.col("_one").eqNullSafe(F.col("_gone")), "left_anti").select("doc.*")
 
 
 def text_print(text: Column) -> Column:

@@ -52,6 +52,8 @@ LARGE = 64
 BLOCK = 128
 #: Columns of a block's matrix that are held at once.
 SLAB = 1 << 14
+#: Documents whose texts a worker decodes at once.
+STEP = 512
 #: Least share of signature values of a pair whose multisets are worth comparing.
 ALIKE = 78 / 125
 #: Most names of nodes that are broadcast to pick their multisets, 8 bytes each.
@@ -89,7 +91,9 @@ def fingerprints(
     ]
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        # small steps, so that a batch of long texts is not held twice
+        steps = (batch.slice(low, STEP) for batch in batches for low in range(0, batch.num_rows, STEP))
+        for batch in steps:
             texts = batch.column("text").to_pylist()
             for first, raws in chunks(texts):
                 n = len(raws)
@@ -371,4 +375,4 @@ def classes(
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **how) -> DataFrame:
     """One document of each class, with all its columns."""
-    return keep(docs, classes(docs, doc_id, text, **how).where("kept"), doc_id, text)
+    return keep(docs, classes(docs, doc_id, text, **how), doc_id, text)

@@ -15,7 +15,7 @@ ship_by_value(__name__)
 #: Words of a shingle.
 WORDS = 5
 #: Bytes of text that are worked on at once (more only for a single longer text).
-AT_ONCE = 1 << 20
+AT_ONCE = 1 << 19
 #: Bits of a shingle's hash beside its document's number.
 HASH_BITS = 48
 _BASE = 0x5851F42D4C957F2D
@@ -78,9 +78,9 @@ def bags(raws: list[bytes], words: int = WORDS) -> Bags:
     """
     data = np.frombuffer(b" ".join(raws) + b" ", np.uint8)
     bounds = np.cumsum([0, *(len(raw) + 1 for raw in raws)])
-    size = 1 << max(21, int(len(data)).bit_length())
+    size = 1 << max(20, int(len(data)).bit_length())
     # larger sizes, for single long texts, are not worth keeping
-    power, inverse = once("powers", lambda: _powers(size)) if size == 1 << 21 else _powers(size)
+    power, inverse = once("powers", lambda: _powers(size)) if size == 1 << 20 else _powers(size)
     solid = (data != 32) & ((data < 9) | (data > 13))
     edges = np.flatnonzero(np.diff(solid.astype(np.int8), prepend=0))
     starts, ends = edges[::2], edges[1::2]
