@@ -352,43 +352,120 @@ def test_base_spans(texts, docs, nothing):
     assert secrets.digest(nothing).count() == 0
 
 
-def test_markov_models(texts):
-    """The chosen tokens are those that the two models, counted by hand, tell apart."""
-    draw = random.Random(5)
-    signs = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+SIGNS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+FORMS = [
+    lambda a, b, c, n, day: f"{a}_{b}_{c}".lower(),
+    lambda a, b, c, n, day: f"{a}_{b}_{c}".upper(),
+    lambda a, b, c, n, day: a.lower() + b.capitalize() + c.capitalize(),
+    lambda a, b, c, n, day: f"{a}/{b}/{c}".lower(),
+    lambda a, b, c, n, day: f"{a}-{b}-{n % 1000}".lower(),
+    lambda a, b, c, n, day: f"{a}/{day}/{b.lower()}_{c.lower()}",
+    lambda a, b, c, n, day: a.capitalize() + b.capitalize() + str(n % 100),
+    lambda a, b, c, n, day: f"{day}-{day}-{b.lower()}",
+]
+
+
+def secret_texts(draw):
     pairs = []
     for i in range(300):
-        secret = "".join(draw.choices(signs, k=32))
-        pairs.append((i, prose(draw, "en", 30) + f" token = {secret} " + prose(draw, "en", 30)))
-    plain = "understandinghereandthere"
-    hidden = "".join(draw.choices(signs, k=40))
-    pairs.append((1000, f"see {plain} or {hidden} now"))
-    found = {row.doc_id: row for row in secrets.digest(texts(pairs)).collect()}
-    begin = 4 + len(plain) + 4
-    assert found[1000].spans == f"markov:{begin}:{begin + 40}"
-    assert all("markov" not in found[i].spans for i in range(300))
-    model = secrets.train(texts(pairs))
-    assert len(model) == len(secrets.ALPHABET) ** 2
+        key = "".join(draw.choices(SIGNS, k=32))
+        pairs.append((i, prose(draw, "en", 30) + f" token = {key} " + prose(draw, "en", 30)))
+    return pairs
+
 
-    counts = {}
-    seen, values = collections.Counter(), set()
+def labelled_by_hand(pairs):
+    """(random, token) -> whether only held-out texts have it."""
+    seen = collections.defaultdict(list)
     for _, text in pairs:
+        held = zlib.crc32(text.encode()) % secrets.HELD == 0
         for match in re.finditer(PATTERNS[0][1], text, re.IGNORECASE):
-            values.add(match[2])
-        seen.update(set(re.findall(secrets.WORD, re.sub(PATTERNS[0][1], " ", text, flags=re.IGNORECASE))))
-    words = {word for word, n in seen.items() if n > 1}
-    for random_, tokens in ((True, values), (False, words)):
-        for token in tokens:
-            for a, b in zip(token, token[1:]):
-                counts[random_, a + b] = counts.get((random_, a + b), 0) + 1
-    assert np.allclose(model, secrets.ratios(counts))
-    row = texts([(1, plain), (2, hidden)]).select(secrets.mean_ratio(F.col("text"), model).alias("m"), "text")
-    for got in row.collect():
-        steps = [
-            model[secrets.ALPHABET.index(a) * len(secrets.ALPHABET) + secrets.ALPHABET.index(b)]
-            for a, b in zip(got.text, got.text[1:])
-        ]
-        assert math.isclose(got.m, sum(steps) / len(steps), rel_tol=1e-9)
+            seen[True, match[2], 1].append(held)
+        sha = hashlib.sha256(text.encode())
+        key = base64.b64encode(sha.digest()).decode().rstrip("=")
+        plain = re.sub("[+/]", "", key)
+        safe = key.replace("+", "-").replace("/", "_")
+        for token in (key, safe, plain, plain.upper(), plain.lower(), sha.hexdigest()):
+            seen[True, token, 1].append(held)
+        rest = re.sub(PATTERNS[0][1], " ", text, flags=re.IGNORECASE)
+        for word in set(re.findall(secrets.WORD, rest)):
+            seen[False, word, 2].append(held)
+        words = re.findall(secrets.PROSE, rest)
+        for i in range(len(words) // 3):
+            a, b, c = words[3 * i : 3 * i + 3]
+            n = zlib.crc32((a + b).encode())
+            day = f"{n % 100 + 1970}-{n % 12 + 1:02}-{n % 28 + 1:02}"
+            seen[False, FORMS[i % len(FORMS)](a, b, c, n, day), 1].append(held)
+    return {(side, token): all(held) for (side, token, least), held in seen.items() if len(held) >= least}
+
+
+def stretch_by_hand(token, table):
+    """The best sum over all stretches of a token."""
+    place = {sign: i for i, sign in enumerate(secrets.ALPHABET)}
+    size = len(place)
+    steps = [table[place[a] * size + place[b]] for a, b in zip(token, token[1:])]
+    return max(math.fsum(steps[i:j]) for i in range(len(steps)) for j in range(i + 1, len(steps) + 1))
+
+
+def test_markov_models(texts):
+    """Samples, models, threshold and stretches are those made by hand."""
+    draw = random.Random(5)
+    pairs = secret_texts(draw)
+    frame = texts(pairs)
+    found = {(row.random, row.token): row.held for row in secrets.labelled(frame).collect()}
+    want = labelled_by_hand(pairs)
+    assert found == want
+    counts = collections.Counter(
+        (side, a + b) for (side, token), held in want.items() if not held for a, b in zip(token, token[1:])
+    )
+    model = secrets.train(frame)
+    assert len(model.ratios) == len(secrets.ALPHABET) ** 2
+    assert np.allclose(model.ratios, secrets.ratios(counts))
+    long = {side: [] for side in (True, False)}
+    for (side, token), held in want.items():
+        if held and len(token) >= secrets.TOKEN.least:
+            long[side].append(math.floor(max(0.0, stretch_by_hand(token, model.ratios))))
+    plain = sum(score >= model.threshold for score in long[False]) / len(long[False])
+    assert math.isclose(model.false, plain) and plain <= secrets.FALSE
+    missed = sum(score < model.threshold for score in long[True]) / len(long[True])
+    assert math.isclose(model.missed, missed, abs_tol=1e-12) and missed < 0.02
+    tokens = ["understandinghereandthere", "".join(draw.choices(SIGNS, k=40)), "usr/local/X9fk2Lq8Zt41Vb7w"]
+    rows = texts(list(enumerate(tokens))).select("text", secrets.stretch(F.col("text"), model.ratios).alias("s"))
+    for row in rows.collect():
+        assert math.isclose(row.s.score, max(0.0, stretch_by_hand(row.text, model.ratios)), rel_tol=1e-9)
+
+
+ORDINARY = [
+    "usr/local/lib/python/site-packages/numpy/core",
+    "HTTP_STATUS_INTERNAL_SERVER_ERROR",
+    "2024-10-11-12-33-44-55-66-77",
+    "123e4567-e89b-42d3-a456-426614174000",
+    "prefix/123e4567-e89b-42d3-a456-426614174000/here",
+    "4111111111111111111111",
+    "getConnectionFactoryFromRegistry",
+    "understandinghereandthere",
+    "================================",
+    "--------------------------------",
+]
+
+
+def test_ordinary_and_random_tokens(texts):
+    draw = random.Random(6)
+    pairs = secret_texts(draw)
+    model = secrets.train(texts(pairs))
+    keys = ["".join(draw.choices(SIGNS, k=k)) for k in (18, 20, 24, 40, 64)]
+    keys += ["".join(draw.choices("0123456789abcdef", k=23)), "".join(draw.choices(SIGNS[:26] + SIGNS[52:], k=24))]
+    padded = base64.b64encode(draw.randbytes(32)).decode()
+    key = keys[2]
+    cases = [(f"see {token} there", []) for token in ORDINARY]
+    cases += [(f"it is {token}.", [(6, 6 + len(token))]) for token in [*keys, padded]]
+    address = f"https://example.org/callback/of/the/service/{key}/done"
+    cases += [(address, [(address.index(key), address.index(key) + len(key))])]
+    cases += [(f"long_name={key}", [(10, 10 + len(key))]), (f"é🙂 {key}", [(3, 3 + len(key))])]
+    rows = secrets.digest(texts(list(enumerate(text for text, _ in cases))), model=model).collect()
+    for row in rows:
+        text, want = cases[row.doc_id]
+        assert row.spans == ",".join(f"markov:{a}:{b}" for a, b in want), text
+    assert all("markov" not in row.spans for row in secrets.digest(texts(pairs), model=model).collect())
 
 
 def test_licence_of_python(texts):
