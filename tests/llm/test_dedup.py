@@ -30,7 +30,7 @@ def exact_by_hand(pairs):
     return sorted(found, key=repr)
 
 
-@pytest.mark.parametrize("bits", [64, 1 << 27])
+@pytest.mark.parametrize("bits", [64, 256, 1 << 27])
 def test_exact_groups(docs, bits):
     pairs = [(row.doc_id, row.text) for row in docs.select("doc_id", "text").collect()]
     found = exact_dedup.exact_groups(docs, filter_bits=bits)
@@ -41,8 +41,9 @@ def test_exact_groups(docs, bits):
     assert found.where("kept and not (doc_id <=> keep_id)").count() == 0
 
 
-def test_exact_keep_first(docs):
-    kept = exact_dedup.keep_first(docs)
+@pytest.mark.parametrize("bits", [128, 1 << 27])
+def test_exact_keep_first(docs, bits):
+    kept = exact_dedup.keep_first(docs, filter_bits=bits)
     assert kept.columns == docs.columns
     found = exact_dedup.exact_groups(docs).where("kept")
     assert rows_of(kept, "doc_id") == rows_of(found, "doc_id")
@@ -55,6 +56,24 @@ def test_exact_hot_group(texts):
     assert rows_of(found, "doc_id", "keep_id", "group_size", "text_sha256") == exact_by_hand(pairs)
 
 
+def test_exact_slices(texts):
+    """A corpus beyond one filter: each slice has its own, few documents without a copy are suspects."""
+    pairs = [(i, "hot" if i % 3 == 0 else f"text {i // 2 if i % 10 == 0 else i}") for i in range(3000)]
+    docs, bits = texts(pairs), 1 << 14
+    number = exact_dedup.slices(docs, bits)
+    assert number == 5
+    found = exact_dedup.exact_groups(docs, filter_bits=bits)
+    assert rows_of(found, "doc_id", "keep_id", "group_size", "text_sha256") == exact_by_hand(pairs)
+    prints = docs.select("doc_id", exact_dedup.normal_sha256(F.col("text")).alias("sha"))
+    marked = exact_dedup.judged(prints, "sha", number, bits)
+    assert marked.count() == 3000
+    sizes = {row.doc_id: row.group_size for row in found.collect()}
+    rows = {row.doc_id: row["_suspect"] for row in marked.collect()}
+    assert all(rows[i] for i, size in sizes.items() if size > 1)
+    single = [rows[i] for i, size in sizes.items() if size == 1]
+    assert sum(single) < 0.03 * len(single)
+
+
 def test_empty_tables(nothing):
     assert exact_dedup.exact_groups(nothing).count() == 0
     assert exact_dedup.keep_first(nothing).count() == 0

@@ -6,8 +6,10 @@ an ordinary small table, at most ``filter_bits / 64`` rows of one 64-bit word, a
 In pass two documents outside the filter pass straight through; only the others shuffle, grouped
 by SHA-256.
 
-The filter has a fixed greatest size. A corpus too large for it gets more false suspects, whose
-rows shuffle too; results are the same for any size.
+The filter has a fixed greatest size, so a corpus of more than ``filter_bits / BITS_EACH`` documents is
+judged in slices of its hash space, one after the other, each with a filter of its own: of documents
+without a copy 0.6 % become suspects, at any size. The narrow table of hashes is sorted by slice
+inside its tasks and written as Parquet, so that a slice reads its own pages of it.
 
 Defined results: a null text counts as empty; texts that differ only in runs of blanks are equal;
 a null doc_id sorts after all others; of rows repeated with the same text and doc_id exactly one
@@ -20,12 +22,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BLANKS, join_groups, settled, whole
+from ..session import work_folder
+from .common import BLANKS, KEPT_ROWS, if_small, join_groups, landed, settled, whole
 
 #: Bits of the filter: 2^27 bits are at most 2^21 words, 32 MB of data, on each executor.
 FILTER_BITS = 1 << 27
 #: Bits that one hash sets.
 HASHES = 2
+#: Bits of the filter for each document.
+BITS_EACH = 24
 
 
 def normal_sha256(text: Column) -> Column:
@@ -62,16 +67,35 @@ def with_suspicion(df: DataFrame, sha: str, bits: DataFrame, filter_bits: int) -
     return df.withColumn("_suspect", suspect).drop(*inner)
 
 
+def slices(docs: DataFrame, filter_bits: int) -> int:
+    """Into how many slices the hashes of these documents are cut."""
+    return max(1, -(-docs.count() * BITS_EACH // filter_bits))
+
+
+def judged(prints: DataFrame, sha: str, number: int, filter_bits: int) -> DataFrame:
+    """The rows with ``_suspect``, from two passes over each slice of their hashes."""
+    if number == 1:
+        known = settled(prints)
+        return with_suspicion(known, sha, repeated_bits(known, sha, filter_bits), filter_bits)
+    at = F.pmod(F.xxhash64(F.col(sha), F.lit(-1)), F.lit(number)).cast("int")
+    sliced = landed(prints.withColumn("_slice", at).sortWithinPartitions("_slice"), "hashes")
+    path = work_folder(prints.sparkSession, "judged")
+    for i in range(number):
+        part = sliced.where(F.col("_slice") == i).drop("_slice")
+        marked = with_suspicion(part, sha, repeated_bits(part, sha, filter_bits), filter_bits)
+        marked.write.parquet(f"{path}/slice={i}")
+    schema = marked.schema
+    return prints.sparkSession.read.schema(schema).parquet(path).select(*schema.names)
+
+
 def exact_groups(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", filter_bits: int = FILTER_BITS
 ) -> DataFrame:
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256."""
-    prints = settled(
-        docs.select(F.col(doc_id).alias("doc_id"), normal_sha256(F.col(text)).alias("text_sha256"))
-        .withColumn("_row", F.monotonically_increasing_id())
-    )
-    bits = repeated_bits(prints, "text_sha256", filter_bits)
-    marked = with_suspicion(prints, "text_sha256", bits, filter_bits)
+    prints = docs.select(
+        F.col(doc_id).alias("doc_id"), normal_sha256(F.col(text)).alias("text_sha256")
+    ).withColumn("_row", F.monotonically_increasing_id())
+    marked = judged(prints, "text_sha256", slices(docs, filter_bits), filter_bits)
     single = marked.where(~F.col("_suspect")).select(
         "doc_id",
         F.col("doc_id").alias("keep_id"),
@@ -102,11 +126,21 @@ def keep_first(
     """The documents that stay, with all their columns.
 
     Whole rows shuffle only for suspects, and of those one per task and text: the smallest row
-    of a text is found by partial aggregation, so many copies do not meet in one task.
+    of a text is found by partial aggregation, so many copies do not meet in one task. Where the
+    hashes are judged in slices, the suspects' hashes that do repeat are named to the documents:
+    broadcast if they are counted to be few, else by a join on the hash.
     """
     rows = whole(docs).withColumn("_sha", normal_sha256(F.col(f"doc.`{text}`")))
-    hashes = settled(docs.select(normal_sha256(F.col(text)).alias("_sha")))
-    marked = with_suspicion(rows, "_sha", repeated_bits(hashes, "_sha", filter_bits), filter_bits)
+    hashes = docs.select(normal_sha256(F.col(text)).alias("_sha"))
+    number = slices(docs, filter_bits)
+    if number == 1:
+        hashes = settled(hashes)
+        marked = with_suspicion(rows, "_sha", repeated_bits(hashes, "_sha", filter_bits), filter_bits)
+        suspects, single = marked.where("_suspect"), marked.where(~F.col("_suspect"))
+    else:
+        found = judged(hashes, "_sha", number, filter_bits).where("_suspect")
+        again = if_small(found.groupBy("_sha").count().where("count > 1").select("_sha"), KEPT_ROWS)
+        suspects, single = rows.join(again, "_sha", "left_semi"), rows.join(again, "_sha", "left_anti")
     first = F.struct(F.col(f"doc.`{doc_id}`").isNull(), F.col(f"doc.`{doc_id}`"))
-    reduced = marked.where("_suspect").groupBy("_sha").agg(F.min_by("doc", first).alias("doc"))
-    return marked.where(~F.col("_suspect")).select("doc.*").unionByName(reduced.select("doc.*"))
+    reduced = suspects.groupBy("_sha").agg(F.min_by("doc", first).alias("doc"))
+    return single.select("doc.*").unionByName(reduced.select("doc.*"))
