@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tideline.operators import control, pairing
 from tideline.operators import count_windows as cw
+from tideline.operators.accumulators import Average, Quantile, accumulate
 from tideline.plans.registry import EVENTS_SQL, events, query
 
 _BY_USER = "PARTITION BY user_id ORDER BY event_id"
@@ -152,3 +153,27 @@ def join_slots(spark, sf_dir):
     )
     pairs = pairing.pair_slots(rows, "user_id", "seq", "is_left", "event_id")
     return pairs.withColumnRenamed("seq", "event_id")
+
+
+@query(f"SELECT user_id, CAST(sum(cents) AS DOUBLE) / count(cents) AS average FROM {EVENTS_SQL} GROUP BY user_id")
+def accumulated_average(spark, sf_dir):
+    """A user's own average, in four steps."""
+    rows = events(spark, sf_dir).select("user_id", "cents")
+    return accumulate(rows, ["user_id"], "cents", Average(), "average")
+
+
+_PLACE = "(cents >> greatest(0, length(bin(cents)) - 6)) << greatest(0, length(bin(cents)) - 6)"
+
+
+@query(
+    f"""WITH p AS (SELECT event_type, {_PLACE} AS place, count(*) AS n FROM {EVENTS_SQL}
+            WHERE cents IS NOT NULL GROUP BY ALL),
+        r AS (SELECT event_type, place, sum(n) OVER (PARTITION BY event_type ORDER BY place) AS seen,
+            sum(n) OVER (PARTITION BY event_type) AS total FROM p)
+        SELECT event_type, CAST(min(place) AS BIGINT) AS median FROM r WHERE seen >= 0.5 * total
+        GROUP BY event_type"""
+)
+def accumulated_median(spark, sf_dir):
+    """A sketch of the amounts of each of a few keys: each key has a large part of the rows."""
+    rows = events(spark, sf_dir).select("event_type", "cents")
+    return accumulate(rows, ["event_type"], "cents", Quantile(0.5), "median")
