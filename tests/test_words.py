@@ -72,3 +72,46 @@ def test_setup_and_teardown_run_once_per_task(spark, tmp_path):
     done = words.flat_map_with_setup(source, setup, {"p": "v"}, "id long", lambda: note("close"))
     assert done.agg(F.sum("id")).first()[0] == 499500
     assert open(log).read().split("\n")[:2] == ["open v", "close"]
+
+
+def test_table_function_life_cycle(spark, tmp_path):
+    """Set up once per partition, torn down once, in a call from DataFrames and from SQL."""
+    import uuid
+
+    import pyarrow as pa
+
+    folder = str(tmp_path)
+
+    def note(what):
+        open(f"{folder}/{what}-{uuid.uuid4().hex}", "w").close()
+
+    def setup(parameters):
+        note("open")
+
+        def twice(batch):
+            n = pa.concat_arrays([batch.column("n"), batch.column("n")])
+            return pa.table([n, pa.repeat(parameters["tag"], len(n))], names=["n", "tag"])
+
+        return twice
+
+    double = words.table_function(setup, {"tag": "x"}, "n long, tag string", lambda: note("close"))
+    numbers = spark.range(0, 1000, 1, 5).withColumnRenamed("id", "n")
+    want = sorted([(n, "x") for n in range(1000)] * 2, key=repr)
+    assert rows_of(double(numbers.asTable())) == want
+    assert len(list(tmp_path.glob("open-*"))) == len(list(tmp_path.glob("close-*"))) == 5
+    spark.udtf.register("double_rows", double)
+    numbers.createOrReplaceTempView("numbers_to_double")
+    found = spark.sql("SELECT n, tag FROM double_rows(TABLE(SELECT * FROM numbers_to_double))")
+    assert rows_of(found) == want
+    plan = double(numbers.asTable())._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+
+
+def test_tokenizer_is_the_tokenizer(spark):
+    lines = [(1, "A b  c "), (2, ""), (3, "   "), (4, None), (None, "x"), (6, "É\tü z")]
+    df = spark.createDataFrame(lines, "doc_id long, text string").repartition(3)
+    by_function = words.tokenizer("doc_id", "text", "bigint", {"tag": "t"})(df.asTable())
+    by_frame = words.parametrized_tokenize(df, "doc_id", "text", {"tag": "t"})
+    assert rows_of(by_function) == rows_of(by_frame)
+    assert by_function.schema == by_frame.schema
+    assert words.tokenizer("doc_id", "text", "bigint", {"tag": "t"})(df.limit(0).asTable()).count() == 0

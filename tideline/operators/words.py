@@ -10,6 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.udtf import UserDefinedTableFunction
 
 from tideline.functions.text import words_of
 from tideline.operators.running import Fold, chunk_levels, running
@@ -114,3 +115,51 @@ def parametrized_tokenize(
     return flat_map_with_setup(
         columns, setup, parameters, f"{line_id} {kind}, word string, one int, tag string"
     )
+
+
+def table_function(
+    setup: Callable[[Mapping[str, str]], Callable[[pa.RecordBatch], pa.Table]],
+    parameters: Mapping[str, str],
+    returns: str,
+    teardown: Callable[[], None] | None = None,
+) -> UserDefinedTableFunction:
+    """A table function on Arrow batches with a life cycle: ``setup`` gets the parameters once per
+    partition, before the first row, and gives what turns a batch into any number of rows;
+    ``teardown`` runs after the last one. Use it on ``df.asTable()``, or register it and call it in
+    SQL with ``TABLE (...)``; the rows stay in their partitions, nothing is shuffled. A partition
+    without rows sets nothing up."""
+
+    class Run:
+        def __init__(self):
+            self.convert = setup(parameters)
+
+        def eval(self, batch: pa.RecordBatch) -> Iterator[pa.Table]:
+            yield self.convert(batch)
+
+        def terminate(self) -> Iterator[pa.Table]:
+            if teardown is not None:
+                teardown()
+            return iter(())
+
+    return F.arrow_udtf(Run, returnType=returns)
+
+
+def tokenizer(
+    line_id: str, line: str, kind: str, parameters: Mapping[str, str]
+) -> UserDefinedTableFunction:
+    """Tokens of the lines of a table with columns ``line_id`` (of type ``kind``) and ``line``,
+    as rows of them with the word, 1, and the job parameter ``tag``."""
+
+    def setup(params: Mapping[str, str]) -> Callable[[pa.RecordBatch], pa.Table]:
+        tag = params["tag"]
+
+        def split(batch: pa.RecordBatch) -> pa.Table:
+            places, found = _words(batch.column(line).to_pandas())
+            ids = batch.column(line_id).take(pa.array(places))
+            ones, tags = pa.repeat(pa.scalar(1, pa.int32()), len(ids)), pa.repeat(tag, len(ids))
+            word = pa.array(found, pa.string(), from_pandas=True)
+            return pa.table([ids, word, ones, tags], names=[line_id, "word", "one", "tag"])
+
+        return split
+
+    return table_function(setup, parameters, f"{line_id} {kind}, word string, one int, tag string")

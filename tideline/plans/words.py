@@ -43,6 +43,15 @@ def parametrized_tokenize(spark, sf_dir):
     return words.parametrized_tokenize(documents, "doc_id", "text", {"tag": "shoreline"})
 
 
+@query(f"SELECT doc_id, word, 1 AS one, 'shoreline' AS tag FROM {_TOKENS}")
+def tokenize_table_function(spark, sf_dir):
+    """The same through a table function that is set up once per partition."""
+    documents = load(spark, sf_dir, "documents").select("doc_id", "text")
+    kind = documents.schema["doc_id"].dataType.simpleString()
+    tokens = words.tokenizer("doc_id", "text", kind, {"tag": "shoreline"})
+    return tokens(documents.asTable())
+
+
 @query(f"SELECT doc_id, pos, word FROM {_PLACED} WHERE word NOT IN (SELECT word FROM {_BLOCKED})")
 def blocklist_anti(spark, sf_dir):
     tokens = words.tokens_at(load(spark, sf_dir, "documents"), "text", "doc_id")
