@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tideline.operators import control, pairing
+from tideline.operators import control, pairing, triggers
 from tideline.operators import count_windows as cw
 from tideline.operators.accumulators import Average, Quantile, accumulate
 from tideline.plans.registry import EVENTS_SQL, events, query
@@ -177,3 +177,26 @@ def accumulated_median(spark, sf_dir):
     """A sketch of the amounts of each of a few keys: each key has a large part of the rows."""
     rows = events(spark, sf_dir).select("event_type", "cents")
     return accumulate(rows, ["event_type"], "cents", Quantile(0.5), "median")
+
+
+@query(
+    f"""WITH g AS (SELECT user_id, event_id, cents, event_type = 'signup' AS stop, count(*) FILTER
+            (event_type = 'signup') OVER ({_BY_USER} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+            AS stops FROM {EVENTS_SQL}),
+        p AS (SELECT *, (row_number() OVER (PARTITION BY user_id, stops ORDER BY event_id) - 1) // 4
+            AS pane FROM g)
+        SELECT user_id, max(event_id) AS last_id, count(*) AS n, CAST(sum(cents) AS BIGINT) AS total
+        FROM p GROUP BY user_id, stops, pane HAVING count(*) = 4 OR bool_or(stop)"""
+)
+def trigger_count_or_stop(spark, sf_dir):
+    """A user's window closes with its fourth event, or with a signup."""
+    rows = events(spark, sf_dir).select("user_id", "event_id", "event_type", "cents")
+    stop = (F.col("event_type") == "signup").cast("int")
+    found = triggers.windows(rows, ["user_id"], _ORDER, stop, triggers.count_or_stop(4))
+    windows = found.groupBy("user_id", "window_no").agg(
+        F.max("event_id").alias("last_id"),
+        F.count(F.lit(1)).alias("n"),
+        F.sum("cents").alias("total"),
+        F.max("closes").alias("closed"),
+    )
+    return windows.where("closed").select("user_id", "last_id", "n", "total")
