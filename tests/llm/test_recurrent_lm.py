@@ -142,3 +142,20 @@ def test_models_are_averaged_by_tokens_in_two_levels(spark, monkeypatch):
     assert all(np.array_equal(found[name], again[name]) for name in found)
     assert not np.allclose(found["C"], model["C"])
     assert found["E"].shape == model["E"].shape and np.isfinite(found["O"]).all()
+
+
+def test_every_training_document_is_learned_from(texts, monkeypatch):
+    """By default the model trains on all documents that are not held out, not on a sample."""
+    seen = []
+    train = lm.trained
+
+    def spy(ids, *args, **kwargs):
+        seen.append(sorted(row.draw for row in ids.select("draw").collect()))
+        return train(ids, *args, **kwargs)
+
+    monkeypatch.setattr(lm, "trained", spy)
+    pairs = [(i, f"word{i % 5} and more words") for i in range(80)]
+    lm.scored(texts(pairs), words=5, classes=2).collect()
+    learned = [i for i, _ in pairs if not held_out(i)]
+    draws = sorted(zlib.crc32(str(i).encode()) for i in learned)
+    assert seen == [draws]

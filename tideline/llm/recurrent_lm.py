@@ -10,8 +10,8 @@ included, add up to one. A gated recurrent unit reads the tokens; a token's prob
 of its class times that of the token within the class.
 
 Training. Truncated backpropagation through windows of ``WINDOW`` tokens, in numpy, over whole
-documents; the state is carried from window to window. One in ``ONE_IN`` training documents (by
-hash) is used, so what is learned from grows with the corpus. They are dealt in ``ROUNDS`` parts;
+documents; the state is carried from window to window. Every training document is learned from
+(``ONE_IN`` = 1; a caller may ask for one in ``one_in`` by hash). They are dealt in ``ROUNDS`` parts;
 in each, every task trains the current model on its rows, and the models are averaged by the tokens
 they have seen, in two levels. The model itself has a fixed size.
 
@@ -60,7 +60,7 @@ WINDOW = 32
 LANES = 256
 TRAIN_LANES = 64
 ROUNDS = 3
-ONE_IN = 8
+ONE_IN = 1
 RATE = 0.01
 #: Tokens of a round that one task trains on, about.
 PER_TASK = 500_000
