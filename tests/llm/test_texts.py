@@ -471,3 +471,11 @@ def test_ordinary_and_random_tokens(texts):
 def test_licence_of_python(texts):
     found = licences.scan(texts([(1, "# SPDX-License-Identifier: Python-2.0")])).collect()
     assert [row.licences for row in found] == ["Python-2.0"]
+
+
+def test_language_learns_from_every_training_row(tongues):
+    """Centroids and floors come from all rows of a language, whatever sample size is asked for."""
+    whole, few = language.fit(tongues), language.fit(tongues, sample=1)
+    assert whole.languages == few.languages
+    assert np.allclose(whole.centroids, few.centroids)
+    assert all(np.allclose(a, b) for a, b in zip(whole.floors, few.floors))

@@ -6,13 +6,14 @@ document frequency and scaled to length one. Document frequencies come from all
 documents. Each language's training vectors are clustered (spherical k-means) into a few
 centroids; a text gets the language of the centroid with the greatest cosine. A text that is
 farther from it than nearly all training texts of that language and of its length, with a margin, is
-rejected: centroids of one half of the sample are compared with beginnings of the other half's texts,
-cut at several lengths, and a low quantile of the cosines at each length is the language's floor there.
-A language whose sample has fewer than ``LEAST`` texts of a length takes its floor at shorter ones, and
+rejected: centroids of one half of its documents (by hash) are compared with beginnings of the other
+half's texts, cut at several lengths, and a low quantile of the cosines at each length is the language's
+floor there. A language with fewer than ``LEAST`` texts of a length takes its floor at shorter ones, and
 one without any rejects what has no n-gram in common with it.
 
-Centroids are fitted on a bounded sample, ``SAMPLE`` documents per language or few more, chosen by
-a hash of doc_id. Training reads text and language alone, and no held-out document.
+Centroids and floors are fitted on every training document, as Spark jobs: k-means sums vectors per
+centroid in the tasks and adds them up by key, medians and quantiles are Spark's exact percentiles.
+Training reads text and language alone, and no held-out document.
 
 Defined results: a null text and one without a letter get ``und``, score 0, rejected; so does
 every text if nothing could be learned. Documents without language are not learned from. A null
@@ -33,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ship_by_value
-from .common import whole
+from .common import landed, whole
 from .kept import once
 
 ship_by_value(__name__)
@@ -198,48 +199,190 @@ def _document_frequencies(training: DataFrame, buckets: int) -> tuple[np.ndarray
     return frequencies, {row["lang"]: row["count"] for row in languages}
 
 
-def fit(
-    labelled: DataFrame, buckets: int = BUCKETS, sample: int = SAMPLE, k: int = CENTROIDS
-) -> Model:
-    """Learn from rows (doc_id, text, lang); rows without language are left out."""
+def _weighed_texts(texts: list, idf: np.ndarray) -> tuple[np.ndarray, list[str]]:
+    """Normalised TF-IDF rows of the texts that have a letter, and those texts."""
+    found, kept = [], []
+    for low in range(0, len(texts), AT_ONCE):
+        part = texts[low : low + AT_ONCE]
+        raw = counts(part, len(idf)).astype(np.float32)
+        has = raw.any(axis=1)
+        found.append(raw[has])
+        kept.extend(text for text, ok in zip(part, has) if ok)
+    raw = np.concatenate(found) if found else np.zeros((0, len(idf)), np.float32)
+    return weighed(raw, idf), kept
+
+
+_SUMS = pa.schema([("lang", pa.string()), ("part", pa.int32()), ("i", pa.int32()), ("n", pa.int64()), ("sum", pa.binary())])
+_LEAST = pa.schema([("lang", pa.string()), ("part", pa.int32()), ("value", pa.float64()), ("text", pa.string())])
+_CUTS = pa.schema([("lang", pa.string()), ("cut", pa.int32()), ("size", pa.float64()), ("cosine", pa.float64())])
+
+
+def _by_key(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, list[str]]]:
+    """Texts of each (lang, part) in each batch."""
+    for batch in batches:
+        frame = batch.to_pandas()
+        for key, rows in frame.groupby(["lang", "part"], sort=False):
+            yield key, list(rows["text"])
+
+
+def _summed(rows: DataFrame, step, buckets: int) -> dict[tuple, tuple[int, np.ndarray]]:
+    """Sums that tasks give per (lang, part, centroid), added up by key."""
+
+    def add(key: tuple, found: pd.DataFrame) -> pd.DataFrame:
+        total = np.zeros(buckets)
+        for raw in found["sum"]:
+            total += np.frombuffer(raw, "<f8")
+        return pd.DataFrame({"lang": [key[0]], "part": [key[1]], "i": [key[2]], "n": [int(found["n"].sum())],
+                             "sum": [total.tobytes()]})
+
+    schema = "lang string, part int, i int, n long, sum binary"
+    partial = rows.mapInArrow(step, schema)
+    done = partial.groupBy("lang", "part", "i").applyInPandas(add, schema).collect()
+    return {(row["lang"], row["part"], row["i"]): (row["n"], np.frombuffer(row["sum"], "<f8")) for row in done}
+
+
+def _clustered(rows: DataFrame, idf: np.ndarray, k: int, rounds: int = ROUNDS) -> dict[tuple, np.ndarray]:
+    """``cluster`` per (lang, part) over all rows (lang, part, text), as Spark jobs: sums of vectors
+    per centroid are added up over the tasks, the farthest vector is the least of the tasks' least."""
+    buckets = len(idf)
+
+    def means(batches):
+        for key, texts in _by_key(batches):
+            vectors, _ = _weighed_texts(texts, idf)
+            if len(vectors):
+                yield pa.RecordBatch.from_pylist(
+                    [{"lang": key[0], "part": int(key[1]), "i": 0, "n": len(vectors),
+                      "sum": vectors.astype(np.float64).sum(axis=0).tobytes()}], _SUMS
+                )
+
+    sums = _summed(rows, means, buckets)
+    sizes = {key[:2]: n for key, (n, _) in sums.items()}
+    centroids = {key[:2]: (total / n)[None, :] for key, (n, total) in sums.items()}
+    for _ in range(1, k):
+        growing = {key: value for key, value in centroids.items() if len(value) < min(k, sizes[key])}
+        if not growing:
+            break
+
+        def farthest(batches, growing=growing):
+            for key, texts in _by_key(batches):
+                key = (key[0], int(key[1]))
+                if key not in growing:
+                    continue
+                vectors, kept = _weighed_texts(texts, idf)
+                if len(vectors):
+                    nearest = (vectors @ growing[key].T).max(axis=1)
+                    least = nearest.min()
+                    text = min(t for t, v in zip(kept, nearest) if v == least)
+                    yield pa.RecordBatch.from_pylist(
+                        [{"lang": key[0], "part": key[1], "value": float(least), "text": text}], _LEAST
+                    )
+
+        least = rows.mapInArrow(farthest, "lang string, part int, value double, text string")
+        least = least.groupBy("lang", "part").agg(F.min(F.struct("value", "text")).alias("m")).collect()
+        for row in least:
+            vector, _ = _weighed_texts([row["m"]["text"]], idf)
+            key = (row["lang"], row["part"])
+            centroids[key] = np.vstack([centroids[key], vector])
+    for _ in range(rounds):
+        centroids = {
+            key: value / np.where((norm := np.linalg.norm(value, axis=1, keepdims=True)) > 0, norm, 1)
+            for key, value in centroids.items()
+        }
+
+        def assigned(batches, current=centroids):
+            for key, texts in _by_key(batches):
+                key = (key[0], int(key[1]))
+                vectors, _ = _weighed_texts(texts, idf)
+                if not len(vectors) or key not in current:
+                    continue
+                owner = (vectors @ current[key].T).argmax(axis=1)
+                found = []
+                for i in np.unique(owner):
+                    chosen = vectors[owner == i].astype(np.float64)
+                    found.append({"lang": key[0], "part": key[1], "i": int(i), "n": len(chosen),
+                                  "sum": chosen.sum(axis=0).tobytes()})
+                yield pa.RecordBatch.from_pylist(found, _SUMS)
+
+        sums = _summed(rows, assigned, buckets)
+        for (lang, part, i), (n, total) in sums.items():
+            centroids[(lang, part)][i] = total / n
+    return {
+        key: value / np.maximum(np.linalg.norm(value, axis=1, keepdims=True), 1e-12)
+        for key, value in centroids.items()
+    }
+
+
+def _floors(rows: DataFrame, idf: np.ndarray, centroids: dict[tuple, np.ndarray]) -> dict[str, np.ndarray]:
+    """``floors`` per language over all its rows: beginnings of each half's texts against the other
+    half's centroids; medians and quantiles exact, by Spark's percentile per language and cut."""
+
+    def measured_cuts(batches):
+        for key, texts in _by_key(batches):
+            lang, part = key[0], int(key[1])
+            other = centroids.get((lang, 1 - part))
+            if part < 0 or other is None:
+                continue
+            found = []
+            for cut in CUTS:
+                long = [text[:cut] for text in texts if len(text) >= cut]
+                for low in range(0, len(long), AT_ONCE):
+                    raw = measured(long[low : low + AT_ONCE], len(idf))
+                    cosines = (weighed(raw, idf) @ other.T).max(axis=1)
+                    found += [
+                        {"lang": lang, "cut": cut, "size": float(a), "cosine": float(b)}
+                        for a, b in zip(raw.sum(axis=1), cosines)
+                    ]
+            if found:
+                yield pa.RecordBatch.from_pylist(found, _CUTS)
+
+    found = rows.mapInArrow(measured_cuts, "lang string, cut int, size double, cosine double")
+    found = found.groupBy("lang", "cut").agg(
+        F.count("*").alias("n"),
+        F.percentile("size", F.lit(0.5)).alias("size"),
+        F.percentile("cosine", F.lit(QUANTILE)).alias("cosine"),
+    )
+    # a row per language and cut
+    at = {}
+    for row in found.collect():
+        at.setdefault(row["lang"], {})[row["cut"]] = row
+    least = {}
+    for lang in {key[0] for key in centroids}:
+        points = [(0.0, 0.0)]
+        for cut in CUTS:
+            row = at.get(lang, {}).get(cut)
+            if row is None or row["n"] < LEAST:
+                continue
+            if row["size"] > points[-1][0]:
+                points.append((row["size"], MARGIN * row["cosine"]))
+        least[lang] = np.array(points).T
+    return least
+
+
+def fit(labelled: DataFrame, buckets: int = BUCKETS, sample: int = SAMPLE, k: int = CENTROIDS) -> Model:
+    """Learn from rows (doc_id, text, lang); rows without language are left out. Centroids and
+    floors come from every training row; ``sample`` is kept for callers and plays no part."""
     training = labelled.where(F.col("lang").isNotNull()).select(
         F.col("doc_id").cast("string").alias("doc_id"), "text", "lang"
     )
     frequencies, sizes = _document_frequencies(training, buckets)
     idf = np.log((1 + sum(sizes.values())) / (1 + frequencies)) + 1
-    # the share of each language's documents that gives the sample its size
-    spark = labelled.sparkSession
-    shares = spark.createDataFrame(
-        [(lang, min(1.0, sample / size)) for lang, size in sizes.items()],
-        "lang string, _share double",
+    weights = idf.astype(np.float32)
+    # each text in its language as a whole (part -1) and in one of two halves by hash
+    half = F.pmod(F.xxhash64("doc_id", "text"), F.lit(2)).cast("int")
+    rows = training.where(F.col("text").isNotNull()).select(
+        "lang", F.explode(F.array(F.lit(-1), half)).alias("part"), "text"
     )
-    draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20)) / (1 << 20)
-    chosen = training.join(F.broadcast(shares), "lang").where(draw < F.col("_share"))
-
-    def centroids(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        texts = sorted(text for text in rows["text"] if isinstance(text, str))
-        raw = measured(texts, buckets)
-        if not len(raw):
-            return pd.DataFrame({"lang": [], "centroid": [], "floors": []})
-        weights = idf.astype(np.float32)
-        found = cluster(weighed(raw, weights), k)
-        least = floors(texts, weights, k).astype("<f8").tobytes()
-        return pd.DataFrame(
-            {"lang": key[0], "centroid": [row.astype("<f8").tobytes() for row in found], "floors": least}
-        )
-
-    # k rows of fixed size per language
-    rows = (
-        chosen.groupBy("lang")
-        .applyInPandas(centroids, "lang string, centroid binary, floors binary")
-        .collect()
+    rows = landed(rows, "language_fit")
+    centroids = _clustered(rows, weights, k)
+    least = _floors(rows, weights, centroids)
+    found = sorted(
+        (lang, row.tobytes(), row) for (lang, part), value in centroids.items() if part < 0 for row in value
     )
-    rows.sort(key=lambda row: (row["lang"], row["centroid"]))
     return Model(
-        [row["lang"] for row in rows],
-        np.array([np.frombuffer(row["centroid"], "<f8") for row in rows]).reshape(len(rows), buckets),
+        [lang for lang, _, _ in found],
+        np.array([row for _, _, row in found]).reshape(len(found), buckets),
         idf,
-        [np.frombuffer(row["floors"], "<f8").reshape(2, -1) for row in rows],
+        [least[lang] for lang, _, _ in found],
     )
 
 
