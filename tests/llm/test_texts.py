@@ -125,6 +125,21 @@ def test_language_floors_on_the_test_tables(spark):
     assert len(clean) > 250 and model.predict(clean)[2].mean() < 0.02
 
 
+def test_language_fit_counts_each_text_once():
+    """A text is read once per pass, for its language as a whole (part -1) and for its half."""
+    import pyarrow as pa
+
+    texts = ["the one", "der ein", "", "le que", "then he", "1 2"]
+    batch = pa.RecordBatch.from_pydict(
+        {"lang": ["en", "de", "en", "fr", "en", "en"], "part": [0, 1, 1, 0, 1, 0], "text": texts}
+    )
+    idf = np.ones(language.BUCKETS, np.float32)
+    found = {key: kept for key, _, kept in language._vectors_by_key(iter([batch]), idf)}
+    assert found[("en", -1)] == ["the one", "then he"]
+    assert found[("en", 0)] == ["the one"] and found[("en", 1)] == ["then he"]
+    assert found[("de", -1)] == found[("de", 1)] == ["der ein"] and found[("de", 0)] == []
+
+
 def test_counts_by_hand():
     texts = ["Ab c", "", None, "a1", "ÉTÉ"]
     raw = language.counts(texts)

@@ -199,22 +199,23 @@ def _document_frequencies(training: DataFrame, buckets: int) -> tuple[np.ndarray
     return frequencies, {row["lang"]: row["count"] for row in languages}
 
 
-def _weighed_texts(texts: list, idf: np.ndarray) -> tuple[np.ndarray, list[str]]:
-    """Normalised TF-IDF rows of the texts that have a letter, and those texts."""
-    found, kept = [], []
+def _weighed_texts(texts: list, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Normalised TF-IDF rows of the texts that have a letter, and which texts have one."""
+    found, has = [], []
     for low in range(0, len(texts), AT_ONCE):
-        part = texts[low : low + AT_ONCE]
-        raw = counts(part, len(idf)).astype(np.float32)
-        has = raw.any(axis=1)
-        found.append(raw[has])
-        kept.extend(text for text, ok in zip(part, has) if ok)
+        raw = counts(texts[low : low + AT_ONCE], len(idf)).astype(np.float32)
+        some = raw.any(axis=1)
+        found.append(raw[some])
+        has.append(some)
     raw = np.concatenate(found) if found else np.zeros((0, len(idf)), np.float32)
-    return weighed(raw, idf), kept
+    return weighed(raw, idf), np.concatenate(has) if has else np.zeros(0, bool)
 
 
 _SUMS = pa.schema([("lang", pa.string()), ("part", pa.int32()), ("i", pa.int32()), ("n", pa.int64()), ("sum", pa.binary())])
 _LEAST = pa.schema([("lang", pa.string()), ("part", pa.int32()), ("value", pa.float64()), ("text", pa.string())])
 _CUTS = pa.schema([("lang", pa.string()), ("cut", pa.int32()), ("size", pa.float64()), ("cosine", pa.float64())])
+#: Texts of a language that are turned into vectors at once.
+CHUNK = 1024
 
 
 def _by_key(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, list[str]]]:
@@ -225,6 +226,23 @@ def _by_key(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, list[str
             yield key, list(rows["text"])
 
 
+def _vectors_by_key(batches: Iterator[pa.RecordBatch], idf: np.ndarray) -> Iterator[tuple[tuple, np.ndarray, list]]:
+    """Vectors and texts of each (lang, part) in each batch of rows (lang, part, text), a chunk at a
+    time: each text is counted once, for its language as a whole (part -1) and for its half."""
+    for batch in batches:
+        frame = batch.to_pandas()
+        for lang, rows in frame.groupby("lang", sort=False):
+            texts, halves = list(rows["text"]), rows["part"].to_numpy()
+            for low in range(0, len(texts), CHUNK):
+                vectors, has = _weighed_texts(texts[low : low + CHUNK], idf)
+                kept = [text for text, ok in zip(texts[low : low + CHUNK], has) if ok]
+                half = halves[low : low + CHUNK][has]
+                yield (lang, -1), vectors, kept
+                for part in (0, 1):
+                    chosen = half == part
+                    yield (lang, part), vectors[chosen], [text for text, ok in zip(kept, chosen) if ok]
+
+
 def _summed(rows: DataFrame, step, buckets: int) -> dict[tuple, tuple[int, np.ndarray]]:
     """Sums that tasks give per (lang, part, centroid), added up by key."""
 
@@ -241,19 +259,27 @@ def _summed(rows: DataFrame, step, buckets: int) -> dict[tuple, tuple[int, np.nd
     return {(row["lang"], row["part"], row["i"]): (row["n"], np.frombuffer(row["sum"], "<f8")) for row in done}
 
 
+def _task_sums(totals: dict[tuple, list]) -> Iterator[pa.RecordBatch]:
+    """A task's sums per (lang, part, centroid), one row each."""
+    found = [{"lang": lang, "part": part, "i": i, "n": n, "sum": total.tobytes()}
+             for (lang, part, i), (n, total) in totals.items()]
+    if found:
+        yield pa.RecordBatch.from_pylist(found, _SUMS)
+
+
 def _clustered(rows: DataFrame, idf: np.ndarray, k: int, rounds: int = ROUNDS) -> dict[tuple, np.ndarray]:
-    """``cluster`` per (lang, part) over all rows (lang, part, text), as Spark jobs: sums of vectors
-    per centroid are added up over the tasks, the farthest vector is the least of the tasks' least."""
+    """``cluster`` per (lang, part) over all rows (lang, part, text), part being a text's half, as
+    Spark jobs: sums of vectors per centroid are added up over the tasks, the farthest vector is the
+    least of the tasks' least. Each language as a whole is part -1."""
     buckets = len(idf)
 
     def means(batches):
-        for key, texts in _by_key(batches):
-            vectors, _ = _weighed_texts(texts, idf)
+        totals = {}
+        for key, vectors, _ in _vectors_by_key(batches, idf):
             if len(vectors):
-                yield pa.RecordBatch.from_pylist(
-                    [{"lang": key[0], "part": int(key[1]), "i": 0, "n": len(vectors),
-                      "sum": vectors.astype(np.float64).sum(axis=0).tobytes()}], _SUMS
-                )
+                n, total = totals.setdefault((*key, 0), [0, np.zeros(buckets)])
+                totals[(*key, 0)] = [n + len(vectors), total + vectors.sum(axis=0, dtype=np.float64)]
+        yield from _task_sums(totals)
 
     sums = _summed(rows, means, buckets)
     sizes = {key[:2]: n for key, (n, _) in sums.items()}
@@ -264,18 +290,17 @@ def _clustered(rows: DataFrame, idf: np.ndarray, k: int, rounds: int = ROUNDS) -
             break
 
         def farthest(batches, growing=growing):
-            for key, texts in _by_key(batches):
-                key = (key[0], int(key[1]))
-                if key not in growing:
-                    continue
-                vectors, kept = _weighed_texts(texts, idf)
-                if len(vectors):
+            least = {}
+            for key, vectors, kept in _vectors_by_key(batches, idf):
+                if key in growing and len(vectors):
                     nearest = (vectors @ growing[key].T).max(axis=1)
-                    least = nearest.min()
-                    text = min(t for t, v in zip(kept, nearest) if v == least)
-                    yield pa.RecordBatch.from_pylist(
-                        [{"lang": key[0], "part": key[1], "value": float(least), "text": text}], _LEAST
-                    )
+                    value = nearest.min()
+                    text = min(t for t, v in zip(kept, nearest) if v == value)
+                    least[key] = min(least.get(key, (np.inf, "")), (float(value), text))
+            found = [{"lang": lang, "part": part, "value": value, "text": text}
+                     for (lang, part), (value, text) in least.items()]
+            if found:
+                yield pa.RecordBatch.from_pylist(found, _LEAST)
 
         least = rows.mapInArrow(farthest, "lang string, part int, value double, text string")
         least = least.groupBy("lang", "part").agg(F.min(F.struct("value", "text")).alias("m")).collect()
@@ -290,18 +315,16 @@ def _clustered(rows: DataFrame, idf: np.ndarray, k: int, rounds: int = ROUNDS) -
         }
 
         def assigned(batches, current=centroids):
-            for key, texts in _by_key(batches):
-                key = (key[0], int(key[1]))
-                vectors, _ = _weighed_texts(texts, idf)
+            totals = {}
+            for key, vectors, _ in _vectors_by_key(batches, idf):
                 if not len(vectors) or key not in current:
                     continue
                 owner = (vectors @ current[key].T).argmax(axis=1)
-                found = []
                 for i in np.unique(owner):
-                    chosen = vectors[owner == i].astype(np.float64)
-                    found.append({"lang": key[0], "part": key[1], "i": int(i), "n": len(chosen),
-                                  "sum": chosen.sum(axis=0).tobytes()})
-                yield pa.RecordBatch.from_pylist(found, _SUMS)
+                    chosen = vectors[owner == i]
+                    n, total = totals.get((*key, int(i)), (0, 0.0))
+                    totals[(*key, int(i))] = (n + len(chosen), total + chosen.sum(axis=0, dtype=np.float64))
+            yield from _task_sums(totals)
 
         sums = _summed(rows, assigned, buckets)
         for (lang, part, i), (n, total) in sums.items():
@@ -367,11 +390,9 @@ def fit(labelled: DataFrame, buckets: int = BUCKETS, sample: int = SAMPLE, k: in
     frequencies, sizes = _document_frequencies(training, buckets)
     idf = np.log((1 + sum(sizes.values())) / (1 + frequencies)) + 1
     weights = idf.astype(np.float32)
-    # each text in its language as a whole (part -1) and in one of two halves by hash
+    # each text once, with its half by hash; the steps take it for its language as a whole too
     half = F.pmod(F.xxhash64("doc_id", "text"), F.lit(2)).cast("int")
-    rows = training.where(F.col("text").isNotNull()).select(
-        "lang", F.explode(F.array(F.lit(-1), half)).alias("part"), "text"
-    )
+    rows = training.where(F.col("text").isNotNull()).select("lang", half.alias("part"), "text")
     rows = landed(rows, "language_fit")
     centroids = _clustered(rows, weights, k)
     least = _floors(rows, weights, centroids)
